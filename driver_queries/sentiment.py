@@ -8,7 +8,7 @@ from driver_queries.registry import query, r6, table
 from tallywing.constants import LABEL_COLUMNS
 from tallywing.functions.values import label_by_threshold
 from tallywing.operators.sentiment import accuracy, add_labels, labels, match_flags, scores, tokenize, vocabulary
-from tallywing.session import settle
+from tallywing.session import settle, spread
 
 # Scores of a word, from its length and first letter; multiples of 1/8, so sums are exact.
 POS = "case length(word) % 5 when 0 then 'n' when 1 then 'a' when 2 then 'r' when 3 then 'v' else 'x' end"
@@ -18,8 +18,8 @@ VALENCE = "cast(length(word) % 9 - 4 as double) / 2"
 
 
 def document_words(spark, sf):
-    """Every word of the documents once, with ``no`` and ``nicht``-like short words among them."""
-    return tokenize(table(spark, sf, "documents"), "doc_id", "text").select("word").distinct()
+    """Every word of the documents once."""
+    return tokenize(documents(spark, sf), "doc_id", "text").select("word").distinct()
 
 
 def document_vocabulary(spark, sf):
@@ -35,7 +35,7 @@ def document_vocabulary(spark, sf):
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
 def scored(spark, sf):
@@ -106,7 +106,7 @@ classified as (select doc_id, {GOLD} as gold, {ALL_LABELS} from scored left join
 
 
 def gold_documents(spark, sf):
-    judged = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    judged = spread(table(spark, sf, "documents"), "doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     return judged.selectExpr("doc_id", "text", f"{GOLD} as gold")
 
 

@@ -10,10 +10,11 @@ from tallywing.functions import text as T
 from tallywing.functions.geo import coordinates, find_pair, parse_pair
 from tallywing.functions.timestamps import parse_minute
 from tallywing.operators.sentiment import classify_with, tokenize
+from tallywing.session import spread
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
 @query(r"""

@@ -45,9 +45,9 @@ def before_comma(text: Column) -> Column:
     return F.substring_index(text, ",", 1)
 
 
-def words(text: Column) -> Column:
-    """Lower-case words of a text, in order."""
-    return F.regexp_extract_all(F.lower(text), F.lit("([a-z']+)"), F.lit(1))
+def words(text: Column, fold: bool = True) -> Column:
+    """Lower-case words of a text, in order; ``fold=False`` for a text already in lower case."""
+    return F.regexp_extract_all(F.lower(text) if fold else text, F.lit("([a-z']+)"), F.lit(1))
 
 
 def top_of_lists(values: Column, counts: Column, n: int) -> Column:

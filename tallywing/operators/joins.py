@@ -38,14 +38,16 @@ def join_lookup(
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
     salt_by: Sequence[str] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join a large table to a lookup on equally named key columns (``left`` or ``inner``).
 
     ``salt_by`` names the columns whose values spread the rows of a hot key in the shuffled form
     (default: all). The salt is a hash of the row, so a recomputed task gives the same salts.
+    ``small`` passes on a measurement already made.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(lookup, max_rows):
+    if fits_broadcast(lookup, max_rows) if small is None else small:
         return facts.join(F.broadcast(lookup), keys, how)
     row_hash = F.xxhash64(*(salt_by or facts.columns))
     salted = facts.withColumn("_salt", F.pmod(row_hash, F.lit(salts)).cast("int"))
@@ -115,11 +117,13 @@ def nearest_within(
     number of candidates per point stays small however many targets there are.
     """
     payload = [target_id, *keep]
-    places = (
+    places = settle(
         targets.filter(is_finite(F.col(x)) & is_finite(F.col(y)))
         .groupBy(F.col(x).alias("_tx"), F.col(y).alias("_ty"))
         .agg(F.min_by(F.struct(*payload), F.col(target_id)).alias("_target"))
     )
+    neighbours = 9
+    small = fits_broadcast(places, max_rows // neighbours, BROADCAST_BYTES // neighbours)
     spots = points.select(x, y).filter(is_finite(F.col(x)) & is_finite(F.col(y))).distinct()
     best = spots.withColumn("_best", F.lit(None).cast(_hit_type(targets, payload)))
     offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
@@ -144,7 +148,7 @@ def nearest_within(
             "_cy": F.when(open_spot, _cell(F.col(y), radius)),
         })
         best = (
-            join_lookup(located, cells, ["_cx", "_cy"], "left", max_rows, salt_by=[x, y])
+            join_lookup(located, cells, ["_cx", "_cy"], "left", salt_by=[x, y], small=small)
             .select(x, y, F.coalesce("_best", hit).alias("_best"))
             .groupBy(x, y)
             .agg(F.min("_best").alias("_best"))

@@ -37,7 +37,7 @@ def summarize(df: DataFrame, group: str, value: str, approximate: bool = False)
         done = summary.withColumn("median", F.get("_b", F.lit(0)))
     else:
         summary = settle(summary)
-        done = join_lookup(summary, _exact_medians(rows, summary), "_g", "left")
+        done = summary.join(_exact_medians(rows, summary), "_g", "left")
     return done.select(F.col(f"_g.{group}").alias(group), "mean", "median", "count", "min", "max")
 
 

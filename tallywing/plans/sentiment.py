@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallywing.constants import SENTIMENT_DROP
 from tallywing.operators.sentiment import accuracy, add_labels, match_flags, with_gold
 from tallywing.plans.clean import clean_feedback
-from tallywing.session import stage
+from tallywing.session import spread, stage
 
 
 def classify_feedback(raw: DataFrame, vocab: DataFrame, gold: str = "airline_sentiment_gold") -> DataFrame:
@@ -17,7 +17,7 @@ def classify_feedback(raw: DataFrame, vocab: DataFrame, gold: str = "airline_sen
     pass and in the join back, and only rows with a gold label are tokenized.
     """
     rows = with_gold(clean_feedback(raw, drop=SENTIMENT_DROP), gold)
-    numbered = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "cleaned")
+    numbered = spread(stage(rows.withColumn("_row", F.monotonically_increasing_id()), "cleaned"), "_row")
     return match_flags(add_labels(numbered, "_row", "text", vocab), gold).drop("_row")
 
 

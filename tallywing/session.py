@@ -61,6 +61,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash a scanned table by ``keys`` when its files give fewer tasks than there are cores.
+
+    For work that costs much more than reading, on tables that are few or small files. A large table
+    has more tasks than cores and stays as it is. Meant for plain scans: asking another plan for its
+    number of tasks may run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a large intermediate as Parquet into the shared folder and read it back.
 
