@@ -29,7 +29,12 @@ def _load(read: Callable[[], DataFrame], path: str, hint: str) -> DataFrame:
 
 
 def read_feedback(
-    spark: SparkSession, path: str, schema: str | StructType = RAW_SCHEMA, corrupt_column: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType = RAW_SCHEMA,
+    corrupt_column: str | None = None,
+    header: bool = True,
+    pattern: str = "*.csv",
 ) -> DataFrame:
     """All feedback CSV files of a folder in one scan, without the combined file.
 
@@ -37,7 +42,7 @@ def read_feedback(
     kept there as text (see :func:`valid_rows`); else its unreadable fields are null.
     """
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    reader = spark.read.options(**CSV_OPTIONS, pathGlobFilter="*.csv")
+    reader = spark.read.options(**{**CSV_OPTIONS, "header": header, "pathGlobFilter": pattern})
     if corrupt_column:
         # Spark cannot check headers against a schema that also holds the column for bad rows.
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("mode", "PERMISSIVE")
