@@ -85,9 +85,9 @@ def scores(docs: DataFrame, key: str, text: str, vocab: DataFrame) -> DataFrame:
     """
     body = F.col(text)
     # The leading blank keeps a negation word at the very start from being in run 0.
-    runs_of_text = F.split(F.concat(F.lit(" "), F.lower(body)), _before_negation())
     tokens = (
-        docs.select(key, (F.length(body) > 0).alias("_has_text"), F.posexplode_outer(runs_of_text).alias("run", "_run_text"))
+        docs.select(key, (F.length(body) > 0).alias("_has_text"), F.concat(F.lit(" "), F.lower(body)).alias("_lower"))
+        .select(key, "_has_text", F.posexplode_outer(F.split("_lower", _before_negation())).alias("run", "_run_text"))
         .select(key, "_has_text", "run", F.posexplode_outer(words(F.col("_run_text"), fold=False)).alias("pos", "word"))
     )
     found = join_lookup(tokens, vocab, "word", "left", salt_by=[key, "run", "pos"])

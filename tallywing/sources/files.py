@@ -38,7 +38,7 @@ def read_feedback(
 ) -> DataFrame:
     """All feedback CSV files of a folder in one scan, without the combined file.
 
-    Header names are checked against the schema. With ``corrupt_column`` a row that does not fit is
+    Header names are checked against the schema. A blank field is null. With ``corrupt_column`` a row that does not fit is
     kept there as text (see :func:`valid_rows`); else its unreadable fields are null.
     """
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
