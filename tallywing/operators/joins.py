@@ -1,7 +1,8 @@
 """Lookup, anti and nearest-neighbour joins.
 
 A side is broadcast only after its size was measured; beyond the bound the same join runs shuffled,
-with the lookup repeated once per salt so that one hot key is spread over many tasks.
+with the lookup repeated once per salt so that one hot key is spread over several tasks. Adaptive
+execution splits what is still too large for one task.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from tallywing.session import settle
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+SALTS = 8
 
 
 def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -70,29 +71,50 @@ def first_per_key(lookup: DataFrame, key: str, order: str) -> DataFrame:
     )
 
 
+NEIGHBOURS = 9
+# Targets one point may have to look at in the widest search before rows are used instead of lists.
+LIST_BOUND = 1_000
+
+
 def _cell(value: Column, size: float) -> Column:
     # A hair over the search radius: neighbours exactly one radius apart stay in adjacent cells.
     return F.floor(value / F.lit(size * (1 + 1e-9)))
 
 
-def _search_radii(targets: DataFrame, x: str, y: str, reach: float, crowd: int, max_halvings: int) -> list[float]:
-    """Radii to try, small to large: halve until no cell of that size holds over ``crowd`` targets."""
+def _fullest_cells(places: DataFrame, reach: float, max_halvings: int) -> dict[int, int]:
+    """Targets in the fullest cell for each number of halvings of the cell size; one small job."""
     level = F.explode(F.sequence(F.lit(0), F.lit(max_halvings))).alias("level")
     size = F.lit(reach * (1 + 1e-9)) / F.pow(F.lit(2.0), F.col("level"))
     fullest = (
-        targets.select(x, y, level)
-        .groupBy("level", F.floor(F.col(x) / size).alias("cx"), F.floor(F.col(y) / size).alias("cy"))
+        places.select("_tx", "_ty", level)
+        .groupBy("level", F.floor(F.col("_tx") / size).alias("cx"), F.floor(F.col("_ty") / size).alias("cy"))
         .count()
         .groupBy("level")
         .agg(F.max("count").alias("fullest"))
-        .filter(F.col("fullest") <= crowd)
-        .agg(F.min("level"))
-        .first()[0]
     )
-    halvings = max_halvings if fullest is None else fullest
+    return {r["level"]: r["fullest"] for r in fullest.collect()}
+
+
+def _search_radii(fullest: dict[int, int], reach: float, crowd: int) -> list[float]:
+    """Radii to try, small to large: halved until no cell of that size holds over ``crowd`` targets."""
+    halvings = next((k for k in sorted(fullest) if fullest[k] <= crowd), max(fullest, default=0))
     return [reach / 2**k for k in range(halvings, -1, -1)]
 
 
+def _neighbour_cells(places: DataFrame, radius: float) -> DataFrame:
+    """Each target once per cell from which it can be seen: its own and the eight around."""
+    offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    return (
+        places.withColumn("_dx", F.explode(offsets))
+        .withColumn("_dy", F.explode(offsets))
+        .select(
+            (_cell(F.col("_tx"), radius) + F.col("_dx")).alias("_cx"),
+            (_cell(F.col("_ty"), radius) + F.col("_dy")).alias("_cy"),
+            "_tx", "_ty", "_target",
+        )
+    )
+
+
 def nearest_within(
     points: DataFrame,
     targets: DataFrame,
@@ -102,19 +124,23 @@ def nearest_within(
     target_id: str = "id",
     keep: Sequence[str] = (),
     how: str = "inner",
-    crowd: int = 8,
+    crowd: int = 4,
     max_halvings: int = 12,
     max_rows: int = BROADCAST_ROWS,
+    list_bound: int = LIST_BOUND,
 ) -> DataFrame:
     """Attach to each point the nearest target at planar distance <= ``reach``; ties by smallest id.
 
-    Both sides name their coordinates ``x`` and ``y``. Adds ``target_id``, ``keep`` and ``distance``.
+    Both sides name their coordinates ``x`` and ``y``. Adds ``distance``, ``target_id`` and ``keep``.
 
-    Points sharing coordinates are searched once. The search looks into the 3x3 grid cells around a
-    point, first with a small cell, then with a doubled one for points that found nothing within
-    that radius, up to ``reach``: a hit within the radius is the true nearest, because every target
-    that close lies in the searched cells. A search radius starts where no cell is crowded, so the
-    number of candidates per point stays small however many targets there are.
+    The search looks into the 3x3 grid cells around a point, first with a small cell, then with a
+    doubled one for points that found nothing within that radius, up to ``reach``: a hit within the
+    radius is the true nearest, because every target that close lies in the searched cells. It
+    starts where no cell is crowded, so most points see few targets however many there are.
+
+    When the targets are measured to be few, each cell's targets are one broadcast row and the
+    points are not shuffled at all. Otherwise candidates are rows of a shuffled join, and points
+    sharing coordinates are searched once.
     """
     payload = [target_id, *keep]
     places = settle(
@@ -122,43 +148,63 @@ def nearest_within(
         .groupBy(F.col(x).alias("_tx"), F.col(y).alias("_ty"))
         .agg(F.min_by(F.struct(*payload), F.col(target_id)).alias("_target"))
     )
-    neighbours = 9
-    small = fits_broadcast(places, max_rows // neighbours, BROADCAST_BYTES // neighbours)
+    fullest = _fullest_cells(places, reach, max_halvings)
+    radii = _search_radii(fullest, reach, crowd)
+    fields = ", ".join(f"`{c}`: {targets.schema[c].dataType.simpleString()}" for c in payload)
+    unknown = F.lit(None).cast(f"struct<distance: double, {fields}>")
+    small = fits_broadcast(places, max_rows // NEIGHBOURS, BROADCAST_BYTES // NEIGHBOURS)
+    if small and fullest.get(0, 0) * NEIGHBOURS <= list_bound:
+        best = _search_lists(points.withColumn("_best", unknown), places, radii, x, y, payload)
+        if how == "inner":
+            best = best.filter(F.col("_best").isNotNull())
+        return best.select(*points.columns, "_best.*")
     spots = points.select(x, y).filter(is_finite(F.col(x)) & is_finite(F.col(y))).distinct()
-    best = spots.withColumn("_best", F.lit(None).cast(_hit_type(targets, payload)))
-    offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    for radius in _search_radii(places, "_tx", "_ty", reach, crowd, max_halvings):
-        cells = (
-            places.withColumn("_dx", F.explode(offsets))
-            .withColumn("_dy", F.explode(offsets))
-            .select(
-                (_cell(F.col("_tx"), radius) + F.col("_dx")).alias("_cx"),
-                (_cell(F.col("_ty"), radius) + F.col("_dy")).alias("_cy"),
-                "_tx", "_ty", "_target",
-            )
-        )
-        open_spot = F.col("_best").isNull()
-        distance = planar_distance(F.col(x), F.col(y), F.col("_tx"), F.col("_ty"))
-        hit = F.when(
-            distance <= radius,
-            F.struct(distance.alias("distance"), *[F.col(f"_target.{c}").alias(c) for c in payload]),
-        )
-        located = best.withColumns({
-            "_cx": F.when(open_spot, _cell(F.col(x), radius)),
-            "_cy": F.when(open_spot, _cell(F.col(y), radius)),
-        })
-        best = (
-            join_lookup(located, cells, ["_cx", "_cy"], "left", salt_by=[x, y], small=small)
-            .select(x, y, F.coalesce("_best", hit).alias("_best"))
-            .groupBy(x, y)
-            .agg(F.min("_best").alias("_best"))
-        )
+    best = _search_rows(spots.withColumn("_best", unknown), places, radii, x, y, payload, small)
     found = settle(best.filter(F.col("_best").isNotNull()).select(x, y, "_best.*"))
     return join_lookup(points, found, [x, y], how, max_rows)
 
 
-def _hit_type(targets: DataFrame, payload: Sequence[str]) -> str:
-    fields = ", ".join(f"`{c}`: {targets.schema[c].dataType.simpleString()}" for c in payload)
-    return f"struct<distance: double, {fields}>"
+def _open_cells(best: DataFrame, radius: float, x: str, y: str) -> DataFrame:
+    """The cell of each point still without a target; null for the others."""
+    is_open = F.col("_best").isNull() & is_finite(F.col(x)) & is_finite(F.col(y))
+    return best.withColumns({
+        "_cx": F.when(is_open, _cell(F.col(x), radius)),
+        "_cy": F.when(is_open, _cell(F.col(y), radius)),
+    })
+
+
+def _hit(distance: Column, target: Column, payload: Sequence[str]) -> Column:
+    return F.struct(distance.alias("distance"), *[target[c].alias(c) for c in payload])
+
+
+def _nearest_listed(near: Column, radius: float, x: Column, y: Column, payload: Sequence[str]) -> Column:
+    hits = F.transform(near, lambda t: _hit(planar_distance(x, y, t["_tx"], t["_ty"]), t["_target"], payload))
+    return F.array_min(F.filter(hits, lambda h: h["distance"] <= radius))
 
 
+def _search_lists(best: DataFrame, places: DataFrame, radii: list[float], x: str, y: str, payload: Sequence[str]) -> DataFrame:
+    columns = best.columns
+    for radius in radii:
+        cells = (
+            _neighbour_cells(places, radius)
+            .groupBy("_cx", "_cy")
+            .agg(F.collect_list(F.struct("_tx", "_ty", "_target")).alias("_near"))
+        )
+        nearest = _nearest_listed(F.col("_near"), radius, F.col(x), F.col(y), payload)
+        seen = _open_cells(best, radius, x, y).join(F.broadcast(cells), ["_cx", "_cy"], "left")
+        best = seen.withColumn("_best", F.coalesce("_best", nearest)).select(*columns)
+    return best
+
+
+def _search_rows(
+    best: DataFrame, places: DataFrame, radii: list[float], x: str, y: str, payload: Sequence[str], small: bool
+) -> DataFrame:
+    for radius in radii:
+        distance = planar_distance(F.col(x), F.col(y), F.col("_tx"), F.col("_ty"))
+        hit = F.when(distance <= radius, _hit(distance, F.col("_target"), payload))
+        seen = join_lookup(
+            _open_cells(best, radius, x, y), _neighbour_cells(places, radius), ["_cx", "_cy"], "left",
+            salt_by=[x, y], small=small,
+        )
+        best = seen.select(x, y, F.coalesce("_best", hit).alias("_best")).groupBy(x, y).agg(F.min("_best").alias("_best"))
+    return best

@@ -66,8 +66,8 @@ def _exact_medians(rows: DataFrame, summary: DataFrame) -> DataFrame:
 
 def share_of_total(df: DataFrame, *keys: str) -> DataFrame:
     """Count per key and its percentage of all rows."""
-    total = df.agg(F.count("*")).scalar()
-    tally = counts(df, *keys)
+    tally = settle(counts(df, *keys))
+    total = tally.agg(F.sum("n")).scalar()
     return tally.withColumn("percent", F.col("n").cast("double") * 100 / total)
 
 

@@ -35,15 +35,15 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session (tests) gets a temporary folder when the setting is missing; on a cluster
     a machine-local folder would lose data with its machine, so that is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="tallywing-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+        folder = tempfile.mkdtemp(prefix="tallywing-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

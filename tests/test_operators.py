@@ -142,8 +142,8 @@ def brute_nearest(points, targets, reach):
     return out
 
 
-@pytest.mark.parametrize("max_rows", [joins.BROADCAST_ROWS, 0])
-def test_nearest_matches_brute_force(table, max_rows):
+@pytest.mark.parametrize("limits", [{}, {"list_bound": 0}, {"max_rows": 0}])
+def test_nearest_matches_brute_force(table, limits):
     rng = random.Random(5)
     # A third of the points share one spot; targets crowd into one corner, with equal spots.
     points = [(i, 1.0, 1.0) for i in range(60)] + [(100 + i, rng.uniform(-40, 40), rng.uniform(-40, 40)) for i in range(100)]
@@ -153,7 +153,7 @@ def test_nearest_matches_brute_force(table, max_rows):
     points.append((903, 10.0, 10.0))
     near = joins.nearest_within(
         table(points, "p int, longitude double, latitude double"),
-        table(targets, "id int, longitude double, latitude double"), 9.0, max_rows=max_rows,
+        table(targets, "id int, longitude double, latitude double"), 9.0, **limits,
     )
     got = {r["p"]: r["id"] for r in near.collect()}
     assert got == brute_nearest(points, targets, 9.0)
@@ -163,8 +163,18 @@ def test_nearest_matches_brute_force(table, max_rows):
 def test_nearest_at_the_threshold(table, rows):
     points = table([("at", 0.0, 0.0), ("beyond", 100.0, 0.0), ("between", 50.0, 0.0)], "p string, longitude double, latitude double")
     targets = table([(1, 3.0, 0.0), (2, 103.1, 0.0), (4, 49.0, 0.0), (3, 51.0, 0.0)], "id int, longitude double, latitude double")
-    near = joins.nearest_within(points, targets, 3.0, how="left")
-    assert rows(near, "p", "id", "distance") == [("at", 1, 3.0), ("between", 3, 1.0), ("beyond", None, None)]
+    for limits in ({}, {"list_bound": 0}, {"max_rows": 0}):
+        near = joins.nearest_within(points, targets, 3.0, how="left", **limits)
+        assert rows(near, "p", "id", "distance") == [("at", 1, 3.0), ("between", 3, 1.0), ("beyond", None, None)]
+
+
+def test_nearest_to_few_targets_does_not_shuffle_points(table):
+    points = table([(1, 0.0, 0.0)], "p int, longitude double, latitude double")
+    targets = table([(1, 1.0, 1.0)], "id int, longitude double, latitude double")
+    text = joins.nearest_within(points, targets, 3.0)._jdf.queryExecution().executedPlan().toString()
+    assert text.split("BroadcastExchange")[0].count("Exchange") == 0
+    none = joins.nearest_within(points, targets.filter("id > 1"), 3.0, how="left")
+    assert none.first()["id"] is None
 
 
 def test_first_per_key_and_anti(table, rows):
