@@ -148,7 +148,7 @@ def test_nearest_matches_brute_force(table, limits):
     # A third of the points share one spot; targets crowd into one corner, with equal spots.
     points = [(i, 1.0, 1.0) for i in range(60)] + [(100 + i, rng.uniform(-40, 40), rng.uniform(-40, 40)) for i in range(100)]
     points += [(900, None, 1.0), (901, float("nan"), 1.0), (902, float("inf"), 0.0)]
-    targets = [(i, rng.uniform(0, 0.5), rng.uniform(0, 0.5)) for i in range(60)]
+    targets = [(i, rng.uniform(0, 3), rng.uniform(0, 3)) for i in range(60)]
     targets += [(100 + i, rng.uniform(-40, 40), rng.uniform(-40, 40)) for i in range(15)] + [(5000, 10.0, 10.0), (4000, 10.0, 10.0)]
     points.append((903, 10.0, 10.0))
     near = joins.nearest_within(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywing.constants import LABEL_COLUMNS
 from tallywing.operators.sentiment import vocabulary
-from tallywing.plans import reports
+from tallywing.plans import jobs, reports
 from tallywing.plans.clean import clean_feedback
 from tallywing.plans.countries import resolve_countries, top_countries
 from tallywing.plans.reasons import render_reasons, top_reasons
@@ -116,3 +116,32 @@ def test_reports(raw, rows):
     profile = {r["airline"]: r for r in reports.group_profile(cleaned).collect()}
     assert profile["United"]["top_reasons"] == ["Late", "Lost"] and profile["United"]["median"] == 0.5
     assert rows(reports.totals(cleaned)) == [("NULL", 0), ("United", 4)]
+
+
+def test_jobs_from_files_to_files(spark, raw, table, rows, tmp_path):
+    from tallywing.sources.files import read_countries
+    from tallywing.sources.sinks import write_csv
+
+    data, at = str(tmp_path / "data"), lambda name: str(tmp_path / name)
+    write_csv(raw, data)
+    (tmp_path / "cities.json").write_text('[{"id": 1, "name": "Oslo", "country_name": "Norway"}]')
+    (tmp_path / "countries.json").write_text(
+        '[{"id": 1, "name": "Norway", "iso3": "NOR", "latitude": "62", "longitude": "10", "timezones": [], "translations": {}}]'
+    )
+    (tmp_path / "codes.tsv").write_text("NOR\tNorway\nFRA\tFrance\n")
+    cleaned = jobs.clean_job(spark, data, at("cleaned"))
+    assert rows(cleaned) == rows(jobs.clean_job(spark, "no such folder", at("cleaned")))
+    jobs.reasons_job(cleaned, at("reasons"))
+    assert sorted(r[0] for r in spark.read.text(at("reasons")).collect()) == ["United\tLate_4", "United\tLost_1"]
+    resolved = jobs.countries_job(spark, cleaned, at("cities.json"), at("countries.json"), at("resolved"))
+    assert rows(resolved, "_id", "iso3") == [(4, "NOR")]
+    jobs.top_countries_job(spark, resolved, at("codes.tsv"), 5, "negative", at("top"))
+    assert [r[0] for r in spark.read.text(at("top")).collect()] == ["Norway\t1"]
+    jobs.trust_job(cleaned, at("trust"))
+    assert rows(spark.read.csv(at("trust"), header=True)) == [("app", "1.0", "1.0"), ("web", "0.5", "0.5")]
+    lexicon = table([("good", "a", 1.0, 0.0)], "word string, pos string, pos_score double, neg_score double")
+    accuracy = jobs.sentiment_job(spark, data, at("classified"), at("accuracy"), lexicon)
+    assert ("sentiment", 1, 2, 50.0) in rows(accuracy)
+    jobs.report_job(cleaned, resolved, read_countries(spark, at("countries.json")), at("reports"))
+    assert spark.read.csv(at("reports/airline_profile"), header=True).first()["top_reasons"] == "Late|Lost"
+    assert len(list((tmp_path / "reports").iterdir())) == 6
