@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driver_queries.registry import query, r6, table
 from driver_queries.sentiment import DOWN, NEGATION_LIST, POS, UP, VALENCE
+from tallywing.constants import COORDINATE_PATTERN
 from tallywing.operators.sentiment import vocabulary
 from tallywing.plans.clean import clean_feedback
 from tallywing.plans.countries import resolve_countries, top_countries
@@ -153,9 +154,9 @@ def cities(spark, sf):
 
 RESOLVED = f"""{CLEAN},
 loc as (select *, try_cast(case when tweet_coord is not null then split_part(tweet_coord, ',', 1)
-                 else nullif(regexp_extract(tweet_location, '([\\+-]?\\d+(?:\\.\\d+)?),\\s?([\\+-]?\\d+(?:\\.\\d+)?)', 1), '') end as double) as lat,
+                 else nullif(regexp_extract(tweet_location, '{COORDINATE_PATTERN}', 1), '') end as double) as lat,
                try_cast(case when tweet_coord is not null then split_part(tweet_coord, ',', 2)
-                 else nullif(regexp_extract(tweet_location, '([\\+-]?\\d+(?:\\.\\d+)?),\\s?([\\+-]?\\d+(?:\\.\\d+)?)', 2), '') end as double) as lon from clean),
+                 else nullif(regexp_extract(tweet_location, '{COORDINATE_PATTERN}', 2), '') end as double) as lon from clean),
 countries as (select {COUNTRY_SQL} from nation),
 near as (select _unit_id, iso3, row_number() over (partition by _unit_id order by
            sqrt((lat - latitude) * (lat - latitude) + (lon - longitude) * (lon - longitude)), id) rk

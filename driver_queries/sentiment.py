@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from driver_queries.registry import query, r6, table
 from tallywing.constants import LABEL_COLUMNS
 from tallywing.functions.values import label_by_threshold
-from tallywing.operators.sentiment import accuracy, add_labels, labels, match_flags, scores, tokenize, vocabulary
+from tallywing.operators.sentiment import accuracy, add_labels, labels, match_flags, scores, tagged_scores, tokenize, vocabulary
 from tallywing.session import settle, spread
 
 # Scores of a word, from its length and first letter; multiples of 1/8, so sums are exact.
@@ -22,16 +22,20 @@ def document_words(spark, sf):
     return tokenize(documents(spark, sf), "doc_id", "text").select("word").distinct()
 
 
-def document_vocabulary(spark, sf):
-    words = settle(document_words(spark, sf))
+def document_lexicon(words):
     first = words.selectExpr("word", f"{POS} as pos", f"{UP} as pos_score", f"{DOWN} as neg_score")
     # Some words are listed under a second part of speech with the scores the other way round.
     second = words.filter("length(word) % 5 = 1").selectExpr(
         "word", "'n' as pos", f"{DOWN} as pos_score", f"{UP} as neg_score"
     )
+    return first.unionByName(second)
+
+
+def document_vocabulary(spark, sf):
+    words = settle(document_words(spark, sf))
     stops = words.filter("length(word) <= 2")
     valences = words.filter("length(word) >= 4").selectExpr("word", f"{VALENCE} as valence")
-    return settle(vocabulary(first.unionByName(second), stops, valences))
+    return settle(vocabulary(document_lexicon(words), stops, valences))
 
 
 def documents(spark, sf):
@@ -104,6 +108,22 @@ score_query("sentiment_no_stopwords", "score_no_stop", 0.1)
 score_query("sentiment_negation", "score_negated", 0.1)
 score_query("sentiment_compound", "compound", 0.05)
 
+# Tags that a tagger might give, from the word's place in the text.
+TAG = "case pos % 4 when 0 then 'NNS' when 1 then 'JJ' when 2 then 'RBR' else 'VBD' end"
+
+
+@query(f"""with {SCORES},
+e as (select word, pos as p, case when count(*) > 1 then arg_max(up - down, up) else max(up - down) end as delta from lexicon
+      where pos in ('n', 'a', 'r') group by word, pos),
+g as (select doc_id, word, case pos % 4 when 0 then 'n' when 1 then 'a' when 2 then 'r' else 'v' end as p from tok)
+select doc_id, floor(coalesce(sum(delta) / count(delta), 0) * 1e6 + 0.5e0) / 1e6 as score
+from g left join e using (word, p) group by doc_id""")
+def sentiment_tagged(spark, sf):
+    tokens = tokenize(documents(spark, sf), "doc_id", "text").selectExpr("doc_id", "word", f"{TAG} as tag")
+    scored_docs = tagged_scores(tokens, "doc_id", document_lexicon(settle(document_words(spark, sf))))
+    return scored_docs.withColumn("score", half_up(F.col("score")))
+
+
 WAYS = (("score", 0.1), ("score_no_stop", 0.1), ("score_negated", 0.1), ("score", 0.2), ("score", 0.05), ("compound", 0.05))
 ALL_LABELS = ", ".join(f"{label_sql(s, t)} as {n}" for n, (s, t) in zip(LABEL_COLUMNS, WAYS))
 GOLD = "case quality when 1 then 'positive' when 0 then 'negative' else 'Unknown' end"

@@ -62,6 +62,23 @@ def vocabulary(
     return scored.join(valued, "word", "full_outer")
 
 
+def tagged_scores(tokens: DataFrame, key: str, lexicon: DataFrame) -> DataFrame:
+    """(key, score) for tokens that a tagger marked: ``tokens`` is (key, word, tag).
+
+    Each word is looked up under the part of speech of its own tag, so one word can score
+    differently in different places. 0 where no word scores.
+    """
+    entries = (
+        lexicon.filter(F.col("pos").isin(*SCORED_POS))
+        .groupBy(F.lower("word").alias("word"), F.col("pos").alias("_pos"))
+        .agg(F.max_by(F.col("pos_score") - F.col("neg_score"), F.col("pos_score")).alias("delta"))
+    )
+    marked = tokens.select(key, F.lower("word").alias("word"), lexicon_pos(F.col("tag")).alias("_pos"))
+    found = join_lookup(marked, entries, ["word", "_pos"], "left")
+    sums = found.groupBy(key).agg(F.sum("delta").alias("_d"), F.count("delta").alias("_n"))
+    return sums.select(key, F.when(F.col("_n") > 0, F.col("_d") / F.col("_n")).otherwise(F.lit(0.0)).alias("score"))
+
+
 def _before_negation() -> str:
     """Pattern of the empty string before each negation word that is a whole word.
 

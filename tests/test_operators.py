@@ -115,6 +115,13 @@ def test_exact_medians(table, size):
     assert got["none"]["median"] is None and got["none"]["count"] == 0
 
 
+def test_medians_with_more_groups_than_fit_a_broadcast(table, monkeypatch):
+    data = [("hot", float(i)) for i in range(3001)] + [(f"g{i}", float(i + j)) for i in range(40) for j in range(4)]
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **k: False)
+    got = {r["g"]: r["median"] for r in stats.summarize(table(data, "g string, v double"), "g", "v").collect()}
+    assert got == {"hot": 1500.0, **{f"g{i}": i + 1.5 for i in range(40)}}
+
+
 def test_lookup_join_is_the_same_shuffled_and_broadcast(table, rows):
     # One key holds two thirds of the rows, among them equal rows; null keys match nothing.
     facts = table([("hot", i % 5) for i in range(200)] + [(f"k{i}", i) for i in range(90)] + [(None, 1)] * 10, "k string, v int")

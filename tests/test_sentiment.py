@@ -95,6 +95,14 @@ def test_user_classifier_skips_empty_texts(table, rows):
     assert "ArrowEvalPython" in out._jdf.queryExecution().toString()
 
 
+def test_tagged_words_score_by_their_tag(table, rows):
+    tokens = table(
+        [(1, "Fair", "JJ"), (1, "fair", "NN"), (2, "fair", "NNS"), (2, "good", "VB"), (3, "xyz", "DT")],
+        "id int, word string, tag string",
+    )
+    assert rows(S.tagged_scores(tokens, "id", table(LEXICON, SCHEMA))) == [(1, (0.375 - 0.75) / 2), (2, -0.75), (3, 0.0)]
+
+
 def test_tokens(table, rows):
     df = table([(1, "One, two\none")], "id int, text string")
     assert rows(S.tokenize(df, "id", "text")) == [(1, 0, "one"), (1, 1, "two"), (1, 2, "one")]
