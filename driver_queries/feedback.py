@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driver_queries.registry import query, r6, table
-from driver_queries.sentiment import DOWN, NEGATION_LIST, POS, UP, VALENCE
-from tallywing.constants import COORDINATE_PATTERN
+from driver_queries.sentiment import DOWN, NEGATION_LIST, POS, UP, VALENCE, WAYS, label_sql
+from tallywing.constants import COORDINATE_PATTERN, LABEL_COLUMNS
+from tallywing.functions.text import words
 from tallywing.operators.sentiment import vocabulary
 from tallywing.plans.clean import clean_feedback
 from tallywing.plans.countries import resolve_countries, top_countries
@@ -212,8 +213,6 @@ WORD_SOURCE = "select distinct unnest(regexp_extract_all(lower(text), '([a-z'']+
 
 
 def conversation_vocabulary(spark, sf):
-    from tallywing.functions.text import words
-
     found = table(spark, sf, "conversations").select(F.explode(words(F.col("text"))).alias("word")).distinct()
     found = settle(found)
     lexicon = found.selectExpr("word", f"{POS} as pos", f"{UP} as pos_score", f"{DOWN} as neg_score")
@@ -222,8 +221,6 @@ def conversation_vocabulary(spark, sf):
 
 
 def _accuracy_sql() -> str:
-    from driver_queries.sentiment import LABEL_COLUMNS, WAYS, label_sql
-
     labels = ", ".join(f"{label_sql(s, t)} as {n}" for n, (s, t) in zip(LABEL_COLUMNS, WAYS))
     rows = " union all ".join(
         f"select '{c}' as classifier, count(*) filter (where {c} = gold) as matches, count(*) as total,"

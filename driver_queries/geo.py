@@ -1,9 +1,7 @@
-"""Nearest-target join and two-step country resolution."""
+"""Nearest-target join."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from driver_queries.registry import query, r6, table
 from tallywing.operators.joins import nearest_within
 

@@ -1,7 +1,6 @@
 """What the plans must look like, and that results do not depend on how rows are spread."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from driver_queries.registry import table as load

@@ -2,7 +2,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallywing.constants import LABEL_COLUMNS, NEGATIONS
 from tallywing.operators import sentiment as S
