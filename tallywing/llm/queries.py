@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import quality, sql
+from tallywing.llm import lines, quality, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,13 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query(sql.LINES)
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What removing repeated multi-line chunks leaves of every document."""
+    df = lines.drop_repeated_chunks(documents(spark, sf).select("doc_id", "text"))
+    return df.select("doc_id", "lines_report_.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query(sql.QUALITY)
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Base counts and robust-outlier verdict of every document."""
