@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import lines, quality, sql
+from tallywing.llm import decontaminate, lines, quality, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +37,12 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Base counts and robust-outlier verdict of every document."""
     return quality.quality_verdicts(documents(spark, sf)).drop("outlyingness")
+
+
+@query(sql.CONTAMINATION)
+def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of every document that stand in a test item's window."""
+    df = decontaminate.contamination(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return df.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))

@@ -63,3 +63,23 @@ select doc_id, sum(n)::bigint as n_lines, count(*)::bigint as n_chunks, count(*)
        coalesce(sum(n) filter (where gone), 0)::bigint as n_removed_lines,
        sha256(coalesce(string_agg(chunk, chr(10) order by first) filter (where not gone), '')) as kept_sha256
 from ranked group by doc_id"""
+
+
+def _bench_words(table: str, key: str) -> str:
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"select {key}, [w for w in regexp_split_to_array({low}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if w <> ''] as w from {table}"
+
+
+CONTAMINATION = f"""with item as ({_bench_words('benchmark', 'item_id')}),
+iw as (select distinct item_id, least(len(w), 10) as n, array_to_string(w[i + 1:i + least(len(w), 10)], ' ') as win
+       from (select item_id, w, unnest(range(len(w) - least(len(w), 10) + 1)) as i from item where len(w) > 0)),
+doc as ({_bench_words('documents', 'doc_id')}),
+dw as (select doc_id, n, i, array_to_string(w[i + 1:i + n], ' ') as win
+       from (select doc_id, w, n, unnest(range(len(w) - n + 1)) as i from doc, (select distinct n from iw) sizes where len(w) >= n)),
+hit as (select doc_id, n, i, item_id from dw join iw using (n, win)),
+words as (select doc_id, count(distinct p)::bigint as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hit) group by doc_id),
+items as (select doc_id, count(*)::bigint as n_items, string_agg(item, ',' order by item) as list
+          from (select distinct doc_id, item_id::varchar as item from hit) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join words using (doc_id) left join items using (doc_id)"""
