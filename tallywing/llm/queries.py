@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import decontaminate, lines, quality, sql
+from tallywing.llm import decontaminate, lines, packing, quality, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +47,9 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return df.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query()
+def op6_harmonic_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 tokens."""
+    return packing.pack(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
