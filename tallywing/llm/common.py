@@ -6,10 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywing.session import stage
 
-#: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
-BLANK = r"[ \t-\r]"
-
-
 def words(text: str) -> str:
     """SQL: the words of a text column, split at blanks; null gives none."""
     return f"filter(split(coalesce({text}, ''), '[ \\\\t-\\\\r]+'), w -> w != '')"
@@ -33,6 +29,15 @@ def small(df: DataFrame, name: str) -> DataFrame:
     return stage(df, name)
 
 
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Mark a written table for broadcast when it was counted to have at most ``rows`` rows.
+
+    Beyond that the join stays a shuffled one with the same result. Many small files would make Spark's
+    own estimate from file sizes too large.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def free(df: DataFrame, *names: str) -> list[str]:
     """Names like those asked for that no column of ``df`` has, whatever its case."""
     taken = {c.lower() for c in df.columns}

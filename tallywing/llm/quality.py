@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallywing.llm.common import BLANK, free, small, words
+from tallywing.llm.common import bounded, free, small, words
 from tallywing.session import stage
 
 #: Share of a group that the determinant is taken over.
@@ -36,6 +36,8 @@ CUT = 60.0
 #: Least standard deviation of each statistic, in thousandths: a group whose core never shows a
 #: symbol must not reject the first one.
 FLOORS = (400, 150, 60, 150, 150, 80)
+#: Groups up to which their estimates (about 250 bytes each) are broadcast.
+GROUPS = 200_000
 DIM = len(FLOORS)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _PAIRS = [(i, j) for i in range(DIM) for j in range(i + 1)]
@@ -167,7 +169,7 @@ def estimates(vec: DataFrame) -> DataFrame:
     """Reweighted MCD estimate per (lang_key, source_key) from rows (lang_key, source_key, f0..f5)."""
     spark = vec.sparkSession
     groups = small(spark.sql(grouped_sql("{vec}"), vec=vec), "groups")
-    vec = vec.join(groups, ["lang_key", "source_key"]).select("grp", *(f"f{i}" for i in range(DIM)))
+    vec = vec.join(bounded(groups, GROUPS), ["lang_key", "source_key"]).select("grp", *(f"f{i}" for i in range(DIM)))
 
     def run(sql: str, name: str, **tables: DataFrame) -> DataFrame:
         return small(spark.sql(sql, **tables), name)
@@ -177,7 +179,7 @@ def estimates(vec: DataFrame) -> DataFrame:
         last = step == STEPS
         inner = distance_sql("{vec}", "{estimate}", "v.grp")
         sql = factor_sql(moments_sql(inner, f"d2 <= {REWEIGHT_CUT}e0" if last else None, REWEIGHT_FACTOR if last else CORE_FACTOR))
-        estimate = run(sql, "estimate", vec=vec, estimate=estimate.withColumnRenamed("grp", "grp2"))
+        estimate = run(sql, "estimate", vec=vec, estimate=bounded(estimate.withColumnRenamed("grp", "grp2"), GROUPS))
     return small(groups.join(estimate, "grp"), "estimates")
 
 
@@ -185,7 +187,7 @@ def judge(counted: DataFrame, estimate: DataFrame) -> DataFrame:
     """Add ``kept`` and the squared distance ``outlyingness`` (null without words) to counted rows."""
     spark = counted.sparkSession
     table = estimate.withColumnsRenamed({"lang_key": "lk_", "source_key": "sk_"}).drop("grp")
-    df = counted.join(table, (F.col("lang_key") == F.col("lk_")) & (F.col("source_key") == F.col("sk_")), "left")
+    df = counted.join(bounded(table, GROUPS), (F.col("lang_key") == F.col("lk_")) & (F.col("source_key") == F.col("sk_")), "left")
     for i in range(DIM):
         z = F.expr(f"(f{i} - m{i}{''.join(f' - l{i}{k} * z{k}_' for k in range(i))}) / l{i}{i}")
         df = df.withColumn(f"z{i}_", z)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import decontaminate, lines, packing, quality, sql
+from tallywing.llm import decontaminate, lines, packing, partenum, quality, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,9 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 def op6_harmonic_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
     return packing.pack(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Component of every document under links of five-word shingle similarity 0.8 or more."""
+    return partenum.link_components(documents(spark, sf).select("doc_id", "text"))
