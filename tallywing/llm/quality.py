@@ -17,9 +17,9 @@ repeated rows count as often as they occur and get the same verdict; an empty ta
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tallywing.llm.common import bounded, free, small, words
+from tallywing.llm.common import bounded, free, row_key, small, words
 from tallywing.session import stage
 
 #: Share of a group that the determinant is taken over.
@@ -38,6 +38,8 @@ CUT = 60.0
 FLOORS = (400, 150, 60, 150, 150, 80)
 #: Groups up to which their estimates (about 250 bytes each) are broadcast.
 GROUPS = 200_000
+#: Rejected rows (8 bytes of key each) up to which their list is broadcast.
+REJECTED = 4_000_000
 DIM = len(FLOORS)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _PAIRS = [(i, j) for i in range(DIM) for j in range(i + 1)]
@@ -192,30 +194,34 @@ def judge(counted: DataFrame, estimate: DataFrame) -> DataFrame:
         z = F.expr(f"(f{i} - m{i}{''.join(f' - l{i}{k} * z{k}_' for k in range(i))}) / l{i}{i}")
         df = df.withColumn(f"z{i}_", z)
     df = df.withColumn("outlyingness", F.expr(" + ".join(f"z{i}_ * z{i}_" for i in range(DIM))))
-    df = df.withColumn("kept", F.expr(f"not base_failed and outlyingness <= {CUT}"))
+    df = df.withColumn("kept", F.expr(f"not base_failed and coalesce(outlyingness <= {CUT}, false)"))
     return df.drop("lk_", "sk_", *table.columns, *(f"z{i}_" for i in range(DIM)))
 
 
-def _vectors(counted: DataFrame) -> DataFrame:
-    return counted.filter("n_words > 0").select("lang_key", "source_key", *(f"f{i}" for i in range(DIM)))
+def _verdicts(docs: DataFrame, keep: list[Column], text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """``keep``, counts and verdict per row. Counts are written once, without the texts; all later steps read those."""
+    rows = docs.select(*keep, F.col(text_col).alias("text_"), F.col(lang_col).alias("lang_"), F.col(source_col).alias("source_"))
+    counted = with_keys(with_counts(rows, "text_"), "lang_", "source_").drop("text_", "lang_", "source_")
+    counted = stage(counted, "counted")
+    vectors = counted.filter("n_words > 0").select("lang_key", "source_key", *(f"f{i}" for i in range(DIM)))
+    return judge(counted, estimates(vectors))
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                      source_col: str = "source") -> DataFrame:
-    """One row per document: id, base counts, base verdict, ``kept`` and ``outlyingness``.
-
-    The counts are written once, without the texts, and all later steps read those.
-    """
-    counted = with_keys(with_counts(docs.select(
-        F.col(id_col), F.col(text_col), F.col(lang_col).alias("lang_"), F.col(source_col).alias("source_")), text_col), "lang_", "source_")
-    counted = stage(counted.drop(text_col, "lang_", "source_"), "counted")
-    return judge(counted, estimates(_vectors(counted))).select(id_col, *COUNTS, "base_failed", "kept", "outlyingness")
+    """One row per document: id, base counts, base verdict, ``kept`` and ``outlyingness``."""
+    judged = _verdicts(docs, [F.col(id_col).alias("id_")], text_col, lang_col, source_col)
+    return judged.select(F.col("id_").alias(id_col), *COUNTS, "base_failed", "kept", "outlyingness")
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns; texts are never shuffled for it."""
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+              source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that pass, with their own columns."""
     names = docs.columns
-    inner = docs.select(F.struct(*(F.col(c) for c in names)).alias("row_"), F.col(text_col).alias("text_"),
-                        F.col(lang_col).alias("lang_"), F.col(source_col).alias("source_"))
-    counted = with_keys(with_counts(inner, "text_"), "lang_", "source_")
-    return judge(counted, estimates(_vectors(counted))).filter("kept").select("row_.*")
+    key = row_key(id_col, text_col)
+    # Language and source belong to the key: the same text may be usual in one and odd in another.
+    key = F.xxhash64(key, F.coalesce(F.col(lang_col).cast("string"), F.lit("\0")), F.lit("|"), F.coalesce(F.col(source_col).cast("string"), F.lit("\0")))
+    judged = stage(_verdicts(docs, [key.alias("key_")], text_col, lang_col, source_col).select("key_", "kept"), "judged")
+    gone = small(judged.filter("not kept").select("key_").distinct(), "rejected")
+    rows = docs.select(F.struct(*(F.col(c) for c in names)).alias("row_"), key.alias("key_"))
+    return rows.join(bounded(gone, REJECTED), "key_", "left_anti").select("row_.*")
