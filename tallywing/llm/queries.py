@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import decontaminate, lines, packing, partenum, quality, sql
+from tallywing.llm import decontaminate, lines, packing, partenum, quality, secrets, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +59,17 @@ def op6_harmonic_packing(spark: SparkSession, sf: str) -> DataFrame:
 def op5_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Component of every document under links of five-word shingle similarity 0.8 or more."""
     return partenum.link_components(documents(spark, sf).select("doc_id", "text"))
+
+
+@query(sql.SECRETS)
+def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of secrets in every document, by patterns and by entropy."""
+    df = secrets.scan_secrets(documents(spark, sf).select("doc_id", "text")).drop("text")
+
+    def joined(spans: str) -> str:
+        return f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.first, s.stop)), ',')"
+
+    base = f"filter(secrets, s -> s.kind_no < {len(secrets.PATTERNS)})"
+    return df.select(
+        "doc_id", *(F.expr(f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in secrets.PATTERNS),
+        F.sha2(F.expr(joined(base)), 256).alias("base_sha256"), F.expr(joined("secrets")).alias("spans"))

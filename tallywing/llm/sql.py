@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywing.llm import lines, quality as q
+from tallywing.llm import lines, quality as q, secrets
 
 
 def _quality() -> str:
@@ -83,3 +83,48 @@ items as (select doc_id, count(*)::bigint as n_items, string_agg(item, ',' order
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
        sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc left join words using (doc_id) left join items using (doc_id)"""
+
+
+def _any_case(pattern: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in pattern)
+
+
+def _secrets() -> str:
+    assign = secrets.ASSIGN.replace(f"(?i:({secrets.KEYWORDS}))", f"({_any_case(secrets.KEYWORDS)})")
+    rules = [(k, assign if k == "assign" else p, g, n) for k, (p, g, n) in secrets.PATTERNS.items()]
+    rules += [(k, f"[{c}]{{{secrets.WINDOW},}}", 0, secrets.WINDOW) for k, (c, _) in secrets.CLASSES.items()]
+
+    def lit(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    found = " union all ".join(
+        f"select doc_id, {no} as kind_no, '{k}' as kind, unnest(string_split_regex(t, {lit(p)})) as gap,"
+        f" unnest(list_append(regexp_extract_all(t, {lit(p)}), null)) as m, unnest(list_append(regexp_extract_all(t, {lit(p)}, {g}), null)) as g,"
+        f" unnest(range(len(regexp_extract_all(t, {lit(p)})) + 1)) as i, {n} as least from raw where regexp_matches(t, {lit(p)})"
+        for no, (k, p, g, n) in enumerate(rules))
+    limits = " ".join(f"when '{k}' then {secrets.limit(bits)}" for k, (_, bits) in secrets.CLASSES.items())
+    terms = "[" + ", ".join(str(t) for t in secrets.TERMS) + "]"
+    w = secrets.WINDOW
+    return f"""with raw as (select doc_id, coalesce(text, '') as t from documents),
+found as ({found}),
+placed as (select *, sum(length(gap) + coalesce(length(m), 0)) over (partition by doc_id, kind order by i) - length(m) as first from found),
+good as (select doc_id, kind_no, kind, first, first + length(m) as stop, m from placed where m is not null and length(g) >= least),
+win as (select doc_id, kind_no, kind, first, j, substr(m, j + 1, {w}) as win
+        from (select *, unnest(range(length(m) - {w} + 1)) as j from good
+              where kind_no >= {len(secrets.PATTERNS)} and not regexp_matches(m, {lit(secrets.ALLOWED)}))),
+counted as (select doc_id, kind_no, kind, first, j, c, count(*) as n
+            from (select *, unnest(string_split(win, '')) as c from win) group by all),
+high as (select doc_id, kind_no, kind, first + j as first from counted group by doc_id, kind_no, kind, first, j
+         having sum({terms}[n + 1]) <= case kind {limits} end),
+islands as (select *, sum(new) over (partition by doc_id, kind order by first) as island from (
+    select *, case when first - lag(first) over (partition by doc_id, kind order by first) <= {w} then 0 else 1 end as new from high)),
+spans as (select doc_id, kind_no, kind, first, stop from good where kind_no < {len(secrets.PATTERNS)}
+          union all select doc_id, kind_no, kind, min(first), max(first) + {w} from islands group by doc_id, kind_no, kind, island),
+one as (select doc_id, {', '.join(f"count(*) filter (where kind = '{k}')::bigint as n_{k}" for k in secrets.PATTERNS)},
+    string_agg(kind || ':' || first || ':' || stop, ',' order by first, kind_no) filter (where kind_no < {len(secrets.PATTERNS)}) as base,
+    string_agg(kind || ':' || first || ':' || stop, ',' order by first, kind_no) as spans from spans group by doc_id)
+select doc_id, {', '.join(f'coalesce(n_{k}, 0) as n_{k}' for k in secrets.PATTERNS)}, sha256(coalesce(base, '')) as base_sha256,
+       coalesce(spans, '') as spans from raw left join one using (doc_id)"""
+
+
+SECRETS = _secrets()
