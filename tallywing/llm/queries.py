@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import decontaminate, lines, packing, partenum, quality, secrets, sql
+from tallywing.llm import decontaminate, licences, lines, packing, partenum, quality, secrets, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,11 @@ def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return df.select(
         "doc_id", *(F.expr(f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in secrets.PATTERNS),
         F.sha2(F.expr(joined(base)), 256).alias("base_sha256"), F.expr(joined("secrets")).alias("spans"))
+
+
+@query(sql.LICENCES)
+def op9_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Licences of every document, by rules over its sentences."""
+    df = licences.scan_licences(documents(spark, sf).select("doc_id", "text"))
+    return df.select("doc_id", "n_licence_sentences", F.size("licences").cast("bigint").alias("n_licences"),
+                     F.array_join("licences", ",").alias("licences"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywing.llm import lines, quality as q, secrets
+from tallywing.llm import licences, lines, quality as q, secrets
 
 
 def _quality() -> str:
@@ -128,3 +128,19 @@ select doc_id, {', '.join(f'coalesce(n_{k}, 0) as n_{k}' for k in secrets.PATTER
 
 
 SECRETS = _secrets()
+
+_KNOWN = ", ".join(f"('{k}', '{v}')" for k, v in licences.SENTENCES.items())
+_RULES = ", ".join(f"('{licence}', '{' '.join(s)} ')" for licence, s in dict((s, (n, s)) for n, s in licences.RULES).values())
+
+LICENCES = f"""with known (id, wording) as (values {_KNOWN}), rules (licence, sequence) as (values {_RULES}),
+sentence as (select doc_id, unnest(ss) as s, unnest(range(len(ss))) as i
+             from (select doc_id, regexp_split_to_array(coalesce(text, ''), '{licences.BREAK}') as ss from documents)),
+plain as (select doc_id, i, trim(regexp_replace(lower(s), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) as s from sentence),
+line as (select doc_id, string_agg(coalesce(id, '{licences.UNKNOWN}'), ' ' order by i) || ' ' as ids, count(id) as n
+         from plain left join known on s = wording where s <> '' group by doc_id),
+found as (select doc_id, unnest(ms) as m, unnest(range(len(ms))) as k
+          from (select doc_id, regexp_extract_all(ids, '{licences.rule_pattern()}') as ms from line)),
+listed as (select doc_id, count(*) as n, string_agg(licence, ',' order by k) as licences
+           from found join rules on replace(m, '{licences.UNKNOWN} ', '') = sequence group by doc_id)
+select doc_id, coalesce(line.n, 0)::bigint as n_licence_sentences, coalesce(listed.n, 0)::bigint as n_licences, coalesce(licences, '') as licences
+from documents left join line using (doc_id) left join listed using (doc_id)"""
