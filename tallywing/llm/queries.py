@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import decontaminate, licences, lines, packing, partenum, quality, secrets, sql
+from tallywing.llm import decontaminate, lattice, licences, lines, packing, partenum, quality, secrets, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,9 @@ def op9_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
     df = licences.scan_licences(documents(spark, sf).select("doc_id", "text"))
     return df.select("doc_id", "n_licence_sentences", F.size("licences").cast("bigint").alias("n_licences"),
                      F.array_join("licences", ",").alias("licences"))
+
+
+@query()
+def op10_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Word unigram and subword lattice scores of every document."""
+    return lattice.score_texts(documents(spark, sf).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
