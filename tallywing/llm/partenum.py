@@ -8,10 +8,15 @@ depends on their content alone (most elements first), the first ``k + 1`` hold o
 A set near the upper end of its band emits for the next band, too; a set with no more than ``k``
 non-empty partitions emits its first ``k + 1`` single elements besides, for others of this kind.
 
-Candidates share a signature. Their links are found without all pairs of a group: in each round every
+Sets that share a signature with another set are candidates, and these sign again with partitions so fine
+that each holds one element, now ordered by how many candidates have it, rarest first. At most a fifth of
+a set can be missing from a linked one, so the rarest fifth and one more are enough: what very many sets
+share (a passage, a licence line) drops out without losing a pair, and most sets turn out to have no
+partner. Sizes are dealt to steps of a quarter, and only sets of the same or the next step meet. Links are found without all pairs of a group: in each round every
 group compares its members to one hub (the member that shares most with others), hubs leave the group,
-and groups whose members are already connected are done. When what is left over all groups is no more
-than ``PAIRS_PER_ROW`` pairs for each of their rows, these pairs are compared and the join is complete.
+and groups whose members are already connected are done. Rounds go on while each at least halves the pairs
+left; then, or when no more than ``PAIRS_PER_ROW`` pairs are left for each row of the groups, the pairs
+that can link by their sizes and are not yet connected are compared, each once, and the join is complete.
 
 Equal sets are one set from the start. Sets, shingles and signatures are known by 64-bit hashes;
 every candidate pair is compared by its whole sets.
@@ -24,6 +29,7 @@ are not carried by ``link_components`` and all are kept by ``keep_one``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,17 +96,16 @@ def band(m: int) -> int:
 
 
 def partitions(b: int) -> int:
-    """Few elements get more partitions, so that few of these stay empty."""
-    top = 3 * BAND**b
-    return max(1, int(top * (PER_ELEMENT if b > 3 else 0.7))) if b else 1
+    """Small sets get more partitions for each element, so that few of these stay empty by chance."""
+    return max(1, int(3 * BAND**b * (PER_ELEMENT if b > 3 else 0.7))) if b else 1
 
 
-def signatures(s: np.ndarray) -> np.ndarray:
-    """Signatures of one set of sorted hashes."""
-    m = len(s)
-    if not m:
-        return np.empty(0, dtype=np.uint64)
-    k, out = bound(m), []
+def families(s: np.ndarray) -> list[np.ndarray]:
+    """Per band in which a set of sorted hashes meets others: the first ``k + 1`` contents of its partitions.
+
+    Contents come in an order that depends on them alone, most elements first.
+    """
+    m, k, out, odd = len(s), bound(len(s)), [], False
     for b in sorted({band(m), band(m * OF // NEED)}):
         n = partitions(b)
         part = ((s >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
@@ -108,12 +113,15 @@ def signatures(s: np.ndarray) -> np.ndarray:
         count = np.diff(np.r_[first, m])
         content = np.add.reduceat(_mixed(s), first)
         sig = _mixed(content + (part[first] * _ODD[2]) + np.uint64((b + 1) * int(_ODD[3]) % 2**64))
-        if len(first) > k:
-            sig = sig[np.lexsort((sig, -count))[: k + 1]]
-        else:
-            out.append(_mixed(np.sort(s)[: k + 1] + _ODD[4]))
-        out.append(sig)
-    return np.unique(np.concatenate(out))
+        odd |= len(first) <= k
+        out.append(sig[np.lexsort((sig, -count))][: k + 1])
+    if odd:
+        out.append(np.sort(_mixed(s + _ODD[4]))[: k + 1])
+    return out
+
+
+def signatures(s: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate(families(s))) if len(s) else np.empty(0, dtype=np.uint64)
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -143,35 +151,75 @@ def _set_id(s: np.ndarray) -> int | None:
 
 
 def candidates(sets: DataFrame) -> DataFrame:
-    """``sig_``, ``set_``: signatures that different sets emit, with these sets."""
+    """``set_``: sets that share a signature with a different set."""
     rows = sets.select("set_", F.explode("sigs_").alias("sig_"))
     often = small(rows.groupBy("sig_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("sig_"), "often")
-    members = small(rows.join(bounded(often, LISTED), "sig_").distinct(), "members")
-    return _open(members, members.select("set_", F.col("set_").alias("label_")))
+    shared = rows.join(bounded(often, LISTED), "sig_").distinct()
+    members = small(shared, "members")
+    ends = members.groupBy("sig_").agg(F.min("set_").alias("lo_"), F.max("set_").alias("hi_")).filter("lo_ < hi_")
+    return small(members.join(ends.select("sig_"), "sig_").select("set_").distinct(), "candidates")
+
+
+def refined(texts: DataFrame) -> DataFrame:
+    """Of every candidate its rarest elements, where others share them, per size step: ``sig_``, ``set_``.
+
+    With them the set's size ``m_`` and the number ``v_`` of its elements that other candidates have.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingles = Shingles()
+        for batch in batches:
+            sets = [shingles.of(t) for t in batch["text_"]]
+            yield pd.DataFrame({"set_": batch["set_"], "m_": [len(s) for s in sets], "sigs_": [_signed(s) for s in sets]})
+
+    signed = small(texts.select("set_", "text_").mapInPandas(run, "set_ long, m_ long, sigs_ array<long>"), "fine")
+    rows = signed.select("set_", "m_", F.explode("sigs_").alias("sig_"))
+    often = small(rows.groupBy("sig_").agg(F.count("*").alias("times_")).filter("times_ > 1"), "often")
+    shared = rows.join(bounded(often, LISTED), "sig_").groupBy("set_", "m_").agg(
+        F.sort_array(F.collect_list(F.struct("times_", "sig_"))).alias("shared_"))
+    # Elements that no other candidate has come first; what is left of the prefix is taken from the others.
+    need = f"m_ - cast(ceil(m_ * {NEED} / {OF}) as int) + 1"
+    rare = F.expr(f"slice(shared_, 1, cast(greatest(0, {need} - (m_ - size(shared_))) as int))")
+    step = f"cast(floor(ln(m_) / ln({OF / NEED})) as int)"
+    out = shared.select("set_", "m_", F.size("shared_").alias("v_"), F.explode(rare).alias("s_"), F.expr(step).alias("step_"))
+    out = out.select("set_", "m_", "v_", "s_", F.explode(F.expr("array(step_, step_ + 1)")).alias("step_"))
+    return small(out.select(F.xxhash64("s_.sig_", "step_").alias("sig_"), "set_", "m_", "v_"), "members")
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the groups that hold more than one component, with their label and ``size_`` of the group."""
-    labelled = members.select("sig_", "set_").join(labels.distinct(), "set_", "left")
+    labelled = members.select("sig_", "set_", "m_", "v_").join(labels.distinct(), "set_", "left")
     labelled = labelled.withColumn("label_", F.coalesce("label_", "set_"))
     ends = labelled.groupBy("sig_").agg(F.min("label_").alias("lo_"), F.max("label_").alias("hi_"), F.count("*").alias("size_"))
     return small(labelled.join(ends.filter("lo_ < hi_").select("sig_", "size_"), "sig_"), "open")
 
 
+def _fit(a: str, b: str) -> str:
+    """SQL: the common elements can be enough for a link; there are no more than either shares with anyone."""
+    return f"{OF + NEED} * least(v_{a}, v_{b}) >= {NEED} * (m_{a} + m_{b})"
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose whole sets link."""
     left = pairs.join(texts.select(F.col("set_").alias("a"), F.col("text_").alias("text_a")), "a")
     both = left.join(texts.select(F.col("set_").alias("b"), F.col("text_").alias("text_b")), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, last = Shingles(), (None, None)
+        shingles, sets = Shingles(), {}
+
+        def of(name: int, text: str) -> np.ndarray:
+            if name not in sets:
+                if len(sets) > 4000:
+                    sets.clear()
+                sets[name] = shingles.of(text)
+            return sets[name]
+
         for batch in batches:
             keep = []
-            for a, text_a, text_b in zip(batch["a"], batch["text_a"], batch["text_b"]):
-                if last[0] != a:
-                    last = (a, shingles.of(text_a))
-                x, y = last[1], shingles.of(text_b)
-                common = len(np.intersect1d(x, y, assume_unique=True))
+            for a, b, text_a, text_b in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
+                x, y = of(a, text_a), of(b, text_b)
+                at = np.searchsorted(x, y)
+                common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
                 keep.append(OF * common >= NEED * (len(x) + len(y) - common))
             yield batch.loc[keep, ["a", "b"]]
 
@@ -181,14 +229,17 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """``set_``, ``label_`` for the sets that link with another one; others are missing."""
     spark = docs.sparkSession
-    live = candidates(sets)
-    wanted = small(sets.join(live.select("set_").distinct(), "set_").groupBy("set_").agg(F.min("key_").alias("key_")), "wanted")
+    wanted = sets.select("set_", "key_").join(bounded(candidates(sets), LISTED), "set_")
+    wanted = small(wanted.groupBy("set_").agg(F.min("key_").alias("key_")), "wanted")
     rows = docs.select(row_key(id_col, text_col).alias("key_"), F.col(text_col).alias("text_"))
     texts = small(rows.join(bounded(wanted, LISTED), "key_").dropDuplicates(["set_"]).select("set_", "text_"), "texts")
+    members = refined(texts)
+    live = _open(members, members.select("set_", F.col("set_").alias("label_")))
     # How much a set shares with others: the hub order.
     weight = small(live.groupBy("set_").agg(F.sum("size_").alias("weight_")), "weight")
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "set_ long, label_ long")
+    before = math.inf
     while True:
         sizes = live.groupBy("sig_", "label_").agg(F.count("*").alias("n_")).groupBy("sig_").agg(
             F.sum("n_").alias("n_"), F.sum(F.col("n_") * F.col("n_")).alias("same_"))
@@ -196,16 +247,17 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
             F.coalesce(F.sum("n_"), F.lit(0)), F.coalesce(F.sum((F.col("n_") * F.col("n_") - F.col("same_")) / 2), F.lit(0))).first()
         if not rows_left:
             return labels
-        last = pairs_left <= PAIRS_PER_ROW * rows_left
+        last = pairs_left <= PAIRS_PER_ROW * rows_left or 2 * pairs_left > before
+        before = pairs_left
         if last:
-            other = live.select("sig_", F.col("set_").alias("b"), F.col("label_").alias("label_b"))
-            met = live.withColumnRenamed("set_", "a").join(other, "sig_").filter("a < b and label_ != label_b")
+            other = live.select("sig_", F.col("set_").alias("b"), F.col("label_").alias("label_b"), F.col("m_").alias("m_b"), F.col("v_").alias("v_b"))
+            met = live.withColumnRenamed("set_", "a").join(other, "sig_").filter("a < b and label_ != label_b and " + _fit("", "b"))
             pairs, hubs = met.select("a", "b").distinct(), None
         else:
             ranked = live.join(weight, "set_")
-            hubs = ranked.groupBy("sig_").agg(F.max(F.struct("weight_", "set_", "label_")).alias("hub_"))
-            hubs = small(hubs.select("sig_", F.col("hub_.set_").alias("hub_"), F.col("hub_.label_").alias("hub_label_")), "hubs")
-            met = live.join(hubs, "sig_").filter("label_ != hub_label_")
+            hubs = ranked.groupBy("sig_").agg(F.max(F.struct("weight_", "set_", "label_", "m_", "v_")).alias("hub_"))
+            hubs = small(hubs.select("sig_", F.col("hub_.set_").alias("hub_"), F.col("hub_.label_").alias("hub_label_"), F.col("hub_.m_").alias("m_b"), F.col("hub_.v_").alias("v_b")), "hubs")
+            met = live.join(hubs, "sig_").filter("label_ != hub_label_ and " + _fit("", "b"))
             pairs = met.select(F.col("hub_").alias("a"), F.col("set_").alias("b")).distinct()
         links = links.unionAll(_links(pairs, texts))
         labels = small(components(links).select(F.col("node").alias("set_"), F.col("label").alias("label_")), "labels")
