@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import decontaminate, lattice, licences, lines, packing, partenum, quality, secrets, sql
+from tallywing.llm import decontaminate, language, lattice, licences, lines, packing, partenum, quality, secrets, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,9 @@ def op9_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
 def op10_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Word unigram and subword lattice scores of every document."""
     return lattice.score_texts(documents(spark, sf).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document by rank-order profiles."""
+    return language.identify(documents(spark, sf).select("doc_id", "text", "lang"))
