@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import decontaminate, language, lattice, licences, lines, packing, partenum, quality, secrets, sql
+from tallywing.llm import decontaminate, language, lattice, licences, lines, packing, partenum, quality, secrets, sql, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,9 @@ def op10_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
     """Language of every document by rank-order profiles."""
     return language.identify(documents(spark, sf).select("doc_id", "text", "lang"))
+
+
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without 400-byte strings that start elsewhere, too."""
+    return suffixes.drop_repeated_strings(documents(spark, sf).select("doc_id", "text")).drop("kept")
