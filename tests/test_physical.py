@@ -70,7 +70,7 @@ def normal(row):
     return tuple(str(float(v)) if isinstance(v, float) else str(v) for _, v in sorted(row.items()))
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_against_sql(spark, db, name):
     df = queries()[name](spark, SF)
     text = plan(df)
