@@ -44,7 +44,7 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         between = np.ones(len(value), dtype=bool)
         for k in range(1, n - 1):
             between &= inside[k : k + len(value)]
-        parts.append(value[between & (inside[: len(value)] | inside[n - 1 :])])
+        parts.append(value[between])
     return np.unique(np.concatenate(parts), return_counts=True)
 
 

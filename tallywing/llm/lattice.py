@@ -50,7 +50,8 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
                 if len(held) > HELD_WORDS:
                     yield pd.DataFrame({"word": list(held), "n": list(held.values())})
                     held = Counter()
-        yield pd.DataFrame({"word": list(held), "n": list(held.values())}).astype({"n": "int64"})
+        if held:
+            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
     rows = docs.select(F.col(text_col).alias("text")).mapInPandas(run, "word string, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
