@@ -199,8 +199,8 @@ def _fit(a: str, b: str) -> str:
     return f"{OF + NEED} * least(v_{a}, v_{b}) >= {NEED} * (m_{a} + m_{b})"
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) whose whole sets link."""
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) with the number of their ``common`` elements and whether they are ``linked``."""
     left = pairs.join(texts.select(F.col("set_").alias("a"), F.col("text_").alias("text_a")), "a")
     both = left.join(texts.select(F.col("set_").alias("b"), F.col("text_").alias("text_b")), "b")
 
@@ -215,15 +215,16 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             return sets[name]
 
         for batch in batches:
-            keep = []
+            shared, linked = [], []
             for a, b, text_a, text_b in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
                 x, y = of(a, text_a), of(b, text_b)
                 at = np.searchsorted(x, y)
                 common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                keep.append(OF * common >= NEED * (len(x) + len(y) - common))
-            yield batch.loc[keep, ["a", "b"]]
+                shared.append(common)
+                linked.append(OF * common >= NEED * (len(x) + len(y) - common))
+            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "common": shared, "linked": linked})
 
-    return small(both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long"), "links")
+    return small(both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long, common long, linked boolean"), "compared")
 
 
 def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -237,7 +238,7 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
     live = _open(members, members.select("set_", F.col("set_").alias("label_")))
     # How much a set shares with others: the hub order.
     weight = small(live.groupBy("set_").agg(F.sum("size_").alias("weight_")), "weight")
-    links = spark.createDataFrame([], "a long, b long")
+    compared = spark.createDataFrame([], "a long, b long, common long, linked boolean")
     labels = spark.createDataFrame([], "set_ long, label_ long")
     before = math.inf
     while True:
@@ -250,8 +251,13 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
         last = pairs_left <= PAIRS_PER_ROW * rows_left or 2 * pairs_left > before
         before = pairs_left
         if last:
-            other = live.select("sig_", F.col("set_").alias("b"), F.col("label_").alias("label_b"), F.col("m_").alias("m_b"), F.col("v_").alias("v_b"))
+            # Of what two sets share, at most the lesser part lies in a hub they were compared to, the rest outside it.
+            near = compared.groupBy("b").agg(F.max(F.struct("common", "a")).alias("h_")).select(
+                F.col("b").alias("set_"), F.col("h_.a").alias("hub_"), F.col("h_.common").alias("c_"))
+            live = live.join(near, "set_", "left")
+            other = live.select(F.col("hub_").alias("hub_b"), F.col("c_").alias("c_b"), "sig_", F.col("set_").alias("b"), F.col("label_").alias("label_b"), F.col("m_").alias("m_b"), F.col("v_").alias("v_b"))
             met = live.withColumnRenamed("set_", "a").join(other, "sig_").filter("a < b and label_ != label_b and " + _fit("", "b"))
+            met = met.filter(f"not coalesce(hub_ = hub_b and {OF + NEED} * (least(c_, c_b) + least(v_ - c_, v_b - c_b)) < {NEED} * (m_ + m_b), false)")
             pairs, hubs = met.select("a", "b").distinct(), None
         else:
             ranked = live.join(weight, "set_")
@@ -259,8 +265,8 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
             hubs = small(hubs.select("sig_", F.col("hub_.set_").alias("hub_"), F.col("hub_.label_").alias("hub_label_"), F.col("hub_.m_").alias("m_b"), F.col("hub_.v_").alias("v_b")), "hubs")
             met = live.join(hubs, "sig_").filter("label_ != hub_label_ and " + _fit("", "b"))
             pairs = met.select(F.col("hub_").alias("a"), F.col("set_").alias("b")).distinct()
-        links = links.unionAll(_links(pairs, texts))
-        labels = small(components(links).select(F.col("node").alias("set_"), F.col("label").alias("label_")), "labels")
+        compared = compared.unionAll(_compared(pairs, texts))
+        labels = small(components(compared.filter("linked")).select(F.col("node").alias("set_"), F.col("label").alias("label_")), "labels")
         if last:
             return labels
         left = live.join(hubs.select("sig_", F.col("hub_").alias("set_")), ["sig_", "set_"], "left_anti")
