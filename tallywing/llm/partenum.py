@@ -46,6 +46,7 @@ NEED, OF = 80, 100
 #: Size bands: upper sizes grow by this factor; partitions per element at the upper end.
 BAND, PER_ELEMENT = 3, 0.32
 PAIRS_PER_ROW = 4
+COMPARED = "a long, b long, linked boolean, common long, size_a long, misses array<long>, besides array<long>"
 #: Rows (8 bytes of key each) up to which a list of signatures or documents is broadcast.
 LISTED = 4_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -200,7 +201,10 @@ def _fit(a: str, b: str) -> str:
 
 
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) with the number of their ``common`` elements and whether they are ``linked``."""
+    """The pairs (``a``, ``b``) compared by their texts: ``linked``, the number of ``common`` elements, the size of ``a``.
+
+    When half of ``a`` is common, also which elements of it ``b`` misses and which it has besides.
+    """
     left = pairs.join(texts.select(F.col("set_").alias("a"), F.col("text_").alias("text_a")), "a")
     both = left.join(texts.select(F.col("set_").alias("b"), F.col("text_").alias("text_b")), "b")
 
@@ -215,16 +219,27 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             return sets[name]
 
         for batch in batches:
-            shared, linked = [], []
+            out = []
             for a, b, text_a, text_b in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
                 x, y = of(a, text_a), of(b, text_b)
                 at = np.searchsorted(x, y)
-                common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                shared.append(common)
-                linked.append(OF * common >= NEED * (len(x) + len(y) - common))
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "common": shared, "linked": linked})
+                hit = x[np.minimum(at, len(x) - 1)] == y
+                common = int(hit.sum())
+                close = 2 * common >= len(x)
+                out.append((a, b, OF * common >= NEED * (len(x) + len(y) - common), common, len(x),
+                            _signed(np.delete(x, at[hit])) if close else None, _signed(y[~hit]) if close else None))
+            yield pd.DataFrame(out, columns=["a", "b", "linked", "common", "size_a", "misses", "besides"])
+
+    return small(both.select("a", "b", "text_a", "text_b").mapInPandas(run, COMPARED), "compared")
+
 
-    return small(both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long, common long, linked boolean"), "compared")
+def _linked_by_hub(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """Of pairs compared to the same hub, those that link, from what each misses of the hub and has besides."""
+    left, right = (near.withColumnsRenamed({c: f"{c}_{x}" for c in near.columns}) for x in "ab")
+    both = pairs.join(left, F.col("a") == F.col("set__a")).join(right, F.col("b") == F.col("set__b"))
+    common = F.expr("size_a_a - size(array_union(misses_a, misses_b)) + size(array_intersect(besides_a, besides_b))")
+    sizes = F.expr("common_a + size(besides_a) + common_b + size(besides_b)")
+    return both.withColumn("both_", common).filter(OF * F.col("both_") >= NEED * (sizes - F.col("both_"))).select("a", "b")
 
 
 def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -238,7 +253,7 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
     live = _open(members, members.select("set_", F.col("set_").alias("label_")))
     # How much a set shares with others: the hub order.
     weight = small(live.groupBy("set_").agg(F.sum("size_").alias("weight_")), "weight")
-    compared = spark.createDataFrame([], "a long, b long, common long, linked boolean")
+    compared = spark.createDataFrame([], COMPARED)
     labels = spark.createDataFrame([], "set_ long, label_ long")
     before = math.inf
     while True:
@@ -252,21 +267,27 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
         before = pairs_left
         if last:
             # Of what two sets share, at most the lesser part lies in a hub they were compared to, the rest outside it.
-            near = compared.groupBy("b").agg(F.max(F.struct("common", "a")).alias("h_")).select(
-                F.col("b").alias("set_"), F.col("h_.a").alias("hub_"), F.col("h_.common").alias("c_"))
-            live = live.join(near, "set_", "left")
-            other = live.select(F.col("hub_").alias("hub_b"), F.col("c_").alias("c_b"), "sig_", F.col("set_").alias("b"), F.col("label_").alias("label_b"), F.col("m_").alias("m_b"), F.col("v_").alias("v_b"))
+            near = compared.filter("misses is not null").groupBy("b").agg(
+                F.max_by(F.struct("a", "common", "size_a", "misses", "besides"), F.struct("common", "a")).alias("h_"))
+            near = small(near.select(F.col("b").alias("set_"), F.col("h_.a").alias("hub_"), "h_.common", "h_.size_a", "h_.misses", "h_.besides"), "near")
+            live = live.join(near.select("set_", "hub_", F.col("common").alias("c_")), "set_", "left")
+            other = live.select("sig_", F.col("set_").alias("b"), *(F.col(f"{c}_").alias(f"{c}_b") for c in ("label", "m", "v", "hub", "c")))
             met = live.withColumnRenamed("set_", "a").join(other, "sig_").filter("a < b and label_ != label_b and " + _fit("", "b"))
-            met = met.filter(f"not coalesce(hub_ = hub_b and {OF + NEED} * (least(c_, c_b) + least(v_ - c_, v_b - c_b)) < {NEED} * (m_ + m_b), false)")
-            pairs, hubs = met.select("a", "b").distinct(), None
+            met = met.withColumn("same_", F.expr("coalesce(hub_ = hub_b, false)")).filter(
+                f"not same_ or {OF + NEED} * (least(c_, c_b) + least(v_ - c_, v_b - c_b)) >= {NEED} * (m_ + m_b)")
+            pairs = small(met.select("a", "b", "same_").distinct(), "pairs")
+            links = compared.filter("linked").select("a", "b").unionAll(_linked_by_hub(pairs.filter("same_").select("a", "b"), near))
+            pairs = pairs.filter("not same_").select("a", "b")
         else:
             ranked = live.join(weight, "set_")
             hubs = ranked.groupBy("sig_").agg(F.max(F.struct("weight_", "set_", "label_", "m_", "v_")).alias("hub_"))
             hubs = small(hubs.select("sig_", F.col("hub_.set_").alias("hub_"), F.col("hub_.label_").alias("hub_label_"), F.col("hub_.m_").alias("m_b"), F.col("hub_.v_").alias("v_b")), "hubs")
             met = live.join(hubs, "sig_").filter("label_ != hub_label_ and " + _fit("", "b"))
             pairs = met.select(F.col("hub_").alias("a"), F.col("set_").alias("b")).distinct()
-        compared = compared.unionAll(_compared(pairs, texts))
-        labels = small(components(compared.filter("linked")).select(F.col("node").alias("set_"), F.col("label").alias("label_")), "labels")
+            links = compared.filter("linked").select("a", "b")
+        new = _compared(pairs, texts)
+        compared, links = compared.unionAll(new), links.unionAll(new.filter("linked").select("a", "b"))
+        labels = small(components(links).select(F.col("node").alias("set_"), F.col("label").alias("label_")), "labels")
         if last:
             return labels
         left = live.join(hubs.select("sig_", F.col("hub_").alias("set_")), ["sig_", "set_"], "left_anti")
