@@ -209,7 +209,7 @@ def feedback_daily(spark, sf):
 
 
 # Words for the classifier come from another table than the texts it judges.
-WORD_SOURCE = "select distinct unnest(regexp_extract_all(lower(text), '([a-z'']+)')) as word from conversations"
+WORD_SOURCE = "select distinct unnest(regexp_extract_all(lower(text), '([\\p{L}\\p{M}'']+)')) as word from conversations"
 
 
 def conversation_vocabulary(spark, sf):
@@ -220,16 +220,14 @@ def conversation_vocabulary(spark, sf):
     return settle(vocabulary(lexicon, found.filter("length(word) <= 2"), valences))
 
 
-def _accuracy_sql() -> str:
+# The classifiers read texts whose line breaks and tabs became blanks.
+SPACED = CLEAN.replace(r"'[\n\r\t]', ''", r"'[\n\r\t]', ' '")
+
+
+def _classified_sql() -> str:
     labels = ", ".join(f"{label_sql(s, t)} as {n}" for n, (s, t) in zip(LABEL_COLUMNS, WAYS))
-    rows = " union all ".join(
-        f"select '{c}' as classifier, count(*) filter (where {c} = gold) as matches, count(*) as total,"
-        f" round(cast(count(*) filter (where {c} = gold) as double) * 100 / count(*), 6) as accuracy from labelled"
-        for c in LABEL_COLUMNS
-    )
-    return f"""with {CLEAN},
-judged as (select _unit_id as k, airline_sentiment_gold as gold, regexp_extract_all(lower(text), '([a-z'']+)') as ws
-           from clean where airline_sentiment_gold <> 'Unknown'),
+    return f"""with {SPACED},
+judged as (select _unit_id as k, airline_sentiment_gold as gold, regexp_extract_all(lower(text), '([\\p{{L}}\\p{{M}}'']+)') as ws from clean),
 tok as (select k, unnest(ws) as word, unnest(range(len(ws))) as pos from judged),
 vocab_words as ({WORD_SOURCE}),
 t as (select tok.*, case when length(word) % 5 <= 2 and v.word is not null then {UP} - {DOWN} end as delta, length(word) <= 2 as is_stop,
@@ -241,14 +239,30 @@ base as (select k, sum(delta) / count(delta) as score,
 negs as (select *, sum(is_neg::int) over (partition by k order by pos) as c from t),
 plain as (select *, coalesce(lag(c) over (partition by k order by pos), 0) as before from negs where delta is not null and not is_neg),
 flip as (select k, sum(case when (c - before) % 2 = 1 then -delta else delta end) / count(*) as score_negated from plain group by k),
-scored as (select gold, coalesce(score, 0) as score, coalesce(score_no_stop, 0) as score_no_stop,
+scored as (select k, gold, coalesce(score, 0) as score, coalesce(score_no_stop, 0) as score_no_stop,
                   coalesce(score_negated, 0) as score_negated, coalesce(v, 0) / sqrt(coalesce(v, 0) * coalesce(v, 0) + 15) as compound
            from judged left join base using (k) left join flip using (k)),
-labelled as (select gold, {labels} from scored)
-{rows}"""
+labelled as (select k, gold, {labels} from scored)"""
+
+
+def _accuracy_sql() -> str:
+    rows = " union all ".join(
+        f"select '{c}' as classifier, count(*) filter (where {c} = gold) as matches, count(*) as total,"
+        f" round(cast(count(*) filter (where {c} = gold) as double) * 100 / count(*), 6) as accuracy from labelled where gold <> 'Unknown'"
+        for c in LABEL_COLUMNS
+    )
+    return f"{_classified_sql()} {rows}"
 
 
 @query(_accuracy_sql())
 def feedback_accuracy(spark, sf):
     classified = classify_feedback(raw_feedback(spark, sf), conversation_vocabulary(spark, sf))
     return classifier_accuracy(classified).withColumn("accuracy", r6("accuracy"))
+
+
+@query(f"""{_classified_sql()} select k as _unit_id, {", ".join(LABEL_COLUMNS)},
+    {", ".join(f"cast({c} = gold as int) as {c}_is_matching" for c in LABEL_COLUMNS)} from labelled""")
+def feedback_classified(spark, sf):
+    """Every cleaned row with its labels; a filler matches no label."""
+    classified = classify_feedback(raw_feedback(spark, sf), conversation_vocabulary(spark, sf))
+    return classified.select("_unit_id", *LABEL_COLUMNS, *(f"{c}_is_matching" for c in LABEL_COLUMNS))

@@ -204,10 +204,12 @@ def union_by_name(spark, sf):
 
 
 @query("""
-select sha256(cast(o_orderkey as varchar) || '|' || cast(o_custkey as varchar) || '|' || o_orderstatus) as key, o_orderkey
-from orders""")
+select sha256(length(o_orderkey::varchar) || ':' || o_orderkey || '|' || coalesce(length(c) || ':' || c, '-') || '|' || length(s) || ':' || s) as key, o_orderkey
+from (select o_orderkey, nullif(o_custkey, o_custkey // 3 * 3)::varchar as c, o_orderstatus || '|' as s from orders)""")
 def stable_row_key(spark, sf):
-    key = cleaning.stable_key(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"))
+    """With nulls, and with the separator inside a value."""
+    customer = F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey"))
+    key = cleaning.stable_key(F.col("o_orderkey"), customer, F.concat("o_orderstatus", F.lit("|")))
     return table(spark, sf, "orders").select(key.alias("key"), "o_orderkey")
 
 

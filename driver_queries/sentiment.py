@@ -49,7 +49,7 @@ def scored(spark, sf):
 NEGATION_LIST = "'not', 'never', 'no', 'nobody', 'none', 'nor', 'nothing', 'nowhere'"
 # Token-level form: previous scored word by lag, negation words counted by a running sum.
 SCORES = f"""
-raw as (select doc_id, text, regexp_extract_all(lower(text), '([a-z'']+)') as ws from documents),
+raw as (select doc_id, text, regexp_extract_all(lower(text), '([\\p{{L}}\\p{{M}}'']+)') as ws from documents),
 tok as (select doc_id, unnest(ws) as word, unnest(range(len(ws))) as pos from raw),
 vocab_words as (select distinct word from tok),
 lexicon as (select word, {POS} as pos, {UP} as up, {DOWN} as down from vocab_words

@@ -115,7 +115,7 @@ def parse_timestamps(spark, sf):
     )
 
 
-WORDS = "regexp_extract_all(lower(text), '([a-z'']+)')"
+WORDS = "regexp_extract_all(lower(text), '([\\p{L}\\p{M}'']+)')"
 
 
 @query(f"""

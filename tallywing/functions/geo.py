@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tallywing.constants import COORDINATE_PATTERN
+from tallywing.constants import COORDINATE_PATTERN, NULL_MARKER, UNKNOWN
+from tallywing.functions.values import is_missing
 
 
 def parse_pair(text: Column) -> tuple[Column, Column]:
@@ -19,10 +20,10 @@ def find_pair(text: Column) -> tuple[Column, Column]:
 
 
 def coordinates(coord: Column, location: Column) -> tuple[Column, Column]:
-    """From the coordinate field, or from the free-text location where that field is null."""
+    """From the coordinate field, or from the free-text location where that field is missing or a filler."""
     exact, found = parse_pair(coord), find_pair(location)
     return tuple(
-        F.when(coord.isNotNull(), e).otherwise(f) for e, f in zip(exact, found)
+        F.when(~is_missing(coord, (NULL_MARKER, UNKNOWN)), e).otherwise(f) for e, f in zip(exact, found)
     )
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+#: A word's characters: letters and marks of any script, and the apostrophe.
+WORD_CHARACTERS = "[\\p{L}\\p{M}']"
+
 
 def replace_control(text: Column, replacement: str = "") -> Column:
     """Replace each newline, carriage return and tab."""
@@ -46,8 +49,8 @@ def before_comma(text: Column) -> Column:
 
 
 def words(text: Column, fold: bool = True) -> Column:
-    """Lower-case words of a text, in order; ``fold=False`` for a text already in lower case."""
-    return F.regexp_extract_all(F.lower(text) if fold else text, F.lit("([a-z']+)"), F.lit(1))
+    """Lower-case words (letters of any script) in order; ``fold=False`` for a text already in lower case."""
+    return F.regexp_extract_all(F.lower(text) if fold else text, F.lit(f"({WORD_CHARACTERS}+)"), F.lit(1))
 
 
 def top_of_lists(values: Column, counts: Column, n: int) -> Column:

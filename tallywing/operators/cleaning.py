@@ -22,8 +22,12 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def stable_key(*columns: Column) -> Column:
-    """A row key that is the same in every evaluation, from identifying columns."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns]), 256)
+    """A row key that is the same in every evaluation, from identifying columns.
+
+    Each value is written with its length and null as ``-``, so different rows never read the same.
+    """
+    parts = [F.coalesce(F.concat(F.length(c.cast("string")), F.lit(":"), c.cast("string")), F.lit("-")) for c in columns]
+    return F.sha2(F.concat_ws("|", *parts), 256)
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None) -> DataFrame:

@@ -20,11 +20,10 @@ SALTS = 8
 
 
 def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure a lookup, reading at most ``max_rows + 1`` of its rows."""
+    """Measure a lookup by one aggregation over all its rows, merged from each task's sums."""
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in lookup.columns), F.lit(0))
     rows, size = (
-        lookup.limit(max_rows + 1)
-        .select(width.cast("long").alias("w"))
+        lookup.select(width.cast("long").alias("w"))
         .agg(F.count("*"), F.coalesce(F.sum("w"), F.lit(0)))
         .first()
     )
@@ -62,11 +61,11 @@ def without_match(rows: DataFrame, resolved: DataFrame, on: str | Sequence[str])
 
 
 def first_per_key(lookup: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per lookup key, the one with the smallest ``order``; repeatable."""
+    """One row per lookup key, the one with the smallest ``order``, ties by all other columns."""
     rest = [c for c in lookup.columns if c != key]
     return (
         lookup.groupBy(key)
-        .agg(F.min_by(F.struct(*rest), F.col(order)).alias("_kept"))
+        .agg(F.min_by(F.struct(*rest), F.struct(order, *rest)).alias("_kept"))
         .select(key, "_kept.*")
     )
 

@@ -25,13 +25,15 @@ def top_per_group(df: DataFrame, group: str, value: str, n: int = 5, one_per_cou
 
 
 def top_lists(df: DataFrame, group: str, value: str, n: int = 5, name: str = "top_values") -> DataFrame:
-    """The ``n`` most frequent values per group as one array, best first.
+    """The ``n`` most frequent non-null values per group as one array, best first.
 
-    Only ``n`` values per group are ever collected.
+    Only ``n`` values per group are ever collected; a group without a value has an empty array.
     """
-    top = top_per_group(df, group, value, n)
+    top = top_per_group(df.filter(F.col(value).isNotNull()), group, value, n)
     pairs = F.array_sort(F.collect_list(F.struct("rank", value)))
-    return top.groupBy(group).agg(F.transform(pairs, lambda p: p[value]).alias(name))
+    lists = top.groupBy(group).agg(F.transform(pairs, lambda p: p[value]).alias(name))
+    empty = df.groupBy(group).agg(F.count(value).alias("_n")).filter("_n = 0").select(group, F.expr("array()").cast(lists.schema[name].dataType).alias(name))
+    return lists.unionByName(empty)
 
 
 def top_n(df: DataFrame, key: str, n: int, name: str = "n") -> DataFrame:

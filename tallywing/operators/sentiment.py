@@ -20,7 +20,7 @@ from tallywing.constants import (
     TREEBANK_POS,
     UNKNOWN,
 )
-from tallywing.functions.text import words
+from tallywing.functions.text import WORD_CHARACTERS, words
 from tallywing.functions.values import label_by_threshold, same_value
 from tallywing.operators.joins import join_lookup
 
@@ -86,7 +86,7 @@ def _before_negation() -> str:
     """
     stem = os.path.commonprefix(NEGATIONS)
     endings = "|".join(w[len(stem):] for w in NEGATIONS)
-    return f"(?={stem}(?:{endings})(?![a-z']))(?<![a-z'])"
+    return f"(?={stem}(?:{endings})(?!{WORD_CHARACTERS}))(?<!{WORD_CHARACTERS})"
 
 
 def scores(docs: DataFrame, key: str, text: str, vocab: DataFrame) -> DataFrame:

