@@ -266,7 +266,6 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
         last = pairs_left <= PAIRS_PER_ROW * rows_left or 2 * pairs_left > before
         before = pairs_left
         if last:
-            # Of what two sets share, at most the lesser part lies in a hub they were compared to, the rest outside it.
             near = compared.filter("misses is not null").groupBy("b").agg(
                 F.max_by(F.struct("a", "common", "size_a", "misses", "besides"), F.struct("common", "a")).alias("h_"))
             near = small(near.select(F.col("b").alias("set_"), F.col("h_.a").alias("hub_"), "h_.common", "h_.size_a", "h_.misses", "h_.besides"), "near")
@@ -274,8 +273,13 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
             other = live.select("sig_", F.col("set_").alias("b"), *(F.col(f"{c}_").alias(f"{c}_b") for c in ("label", "m", "v", "hub", "c")))
             met = live.withColumnRenamed("set_", "a").join(other, "sig_").filter("a < b and label_ != label_b and " + _fit("", "b"))
             met = met.withColumn("same_", F.expr("coalesce(hub_ = hub_b, false)")).filter(
-                f"not same_ or {OF + NEED} * (least(c_, c_b) + least(v_ - c_, v_b - c_b)) >= {NEED} * (m_ + m_b)")
-            pairs = small(met.select("a", "b", "same_").distinct(), "pairs")
+                f"not same_ or {OF + NEED} * least(c_, c_b) >= {NEED} * (m_ + m_b)").select("a", "b", "same_")
+            # Two sets whose part in their hub is not enough must share an element outside it.
+            outside = live.select("set_", "label_", "m_", "v_").distinct().join(near.select("set_", "hub_", "besides"), "set_")
+            outside = outside.select("set_", "label_", "m_", "v_", "hub_", F.explode("besides").alias("sig_"))
+            other = outside.select("hub_", "sig_", F.col("set_").alias("b"), *(F.col(f"{c}_").alias(f"{c}_b") for c in ("label", "m", "v")))
+            more = outside.withColumnRenamed("set_", "a").join(other, ["hub_", "sig_"]).filter("a < b and label_ != label_b and " + _fit("", "b"))
+            pairs = small(met.unionAll(more.select("a", "b", F.lit(True).alias("same_"))).distinct(), "pairs")
             links = compared.filter("linked").select("a", "b").unionAll(_linked_by_hub(pairs.filter("same_").select("a", "b"), near))
             pairs = pairs.filter("not same_").select("a", "b")
         else:
