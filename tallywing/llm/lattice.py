@@ -34,27 +34,31 @@ HELD_WORDS = 400_000
 SPACE = "▁"
 
 
-def tokens(text: str | None) -> list[str]:
+def tokens(text: str | None) -> list[bytes]:
     """Words in ASCII lower case, split at ASCII white space; the end token is not listed."""
-    return [w.decode() for w in (text or "").encode("utf-8", "replace").lower().split()]
+    return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """``word``, ``n`` over all rows."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """``word``, ``n`` (times in rows that are not ``held``) of all words in rows (``held``, ``text``)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
+        seen: Counter = Counter()
+
+        def taken() -> pd.DataFrame:
+            return pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())})
+
         for batch in batches:
-            for text in batch["text"]:
-                held.update(tokens(text if isinstance(text, str) else None))
-                if len(held) > HELD_WORDS:
-                    yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-                    held = Counter()
-        if held:
-            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+            for is_held, text in zip(batch["held"], batch["text"]):
+                words = tokens(text if isinstance(text, str) else None)
+                seen.update(dict.fromkeys(words, 0) if is_held else words)
+                if len(seen) > HELD_WORDS:
+                    yield taken()
+                    seen.clear()
+        if seen:
+            yield taken()
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInPandas(run, "word string, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.select("held", "text").mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def piece_weights(counts: DataFrame, vocabulary: str, ends: int) -> tuple[dict[str, float], float]:
@@ -114,12 +118,19 @@ def score_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_c
     kind = docs.schema[id_col].dataType.simpleString()
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS == 0, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), held.alias("held"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
-    counts = small(word_counts(rows.filter("not held"), "text"), "counts")
+    counts = small(word_counts(rows), "counts")
     ends, size = rows.agg(F.coalesce(F.sum((~F.col("held")).cast("long")), F.lit(0)),
                           F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     total, distinct = n + ends, v + (ends > 0)
-    weights, end = piece_weights(counts, vocabulary, ends)
+    weights, end = piece_weights(counts.filter("n > 0"), vocabulary, ends)
+
+    def weighed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lattice = Lattice(weights)
+        for batch in batches:
+            yield batch.assign(p=[lattice.score(w) for w in batch["word"]])
+
+    known = small(counts.mapInPandas(weighed, "word string, n long, p double"), "words")
     blocks = max(1, -(-size // BLOCK_BYTES))
     dealt = rows.select("id", "held", "text", F.pmod("key", F.lit(blocks)).alias("block"))
 
@@ -127,20 +138,19 @@ def score_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_c
         words = set()
         for text in frame["text"]:
             words.update(tokens(text if isinstance(text, str) else None))
-        return pd.DataFrame({"word": sorted(words), "block": frame["block"].iloc[0]})
+        return pd.DataFrame({"word": [w.decode() for w in sorted(words)], "block": frame["block"].iloc[0]})
 
     asking = dealt.groupBy("block").applyInPandas(asked, "word string, block long")
-    answers = asking.join(counts, "word", "left").select("block", "word", F.coalesce("n", F.lit(0)).alias("c"))
+    answers = asking.join(known, "word").select("block", "word", F.col("n").alias("c"), "p")
 
     floor = math.log10(ADDED)
     down = math.log10(total + ADDED * (distinct + 1))
 
     def scored(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        lattice = Lattice(weights)
-        at = {w: i for i, w in enumerate(known["word"])}
+        at = {w.encode(): i for i, w in enumerate(known["word"])}
         c = known["c"].to_numpy()
         base = np.where(c > 0, np.log10(c + ADDED), floor) - down
-        p = np.array([lattice.score(w) for w in at])
+        p = known["p"].to_numpy()
         out = []
         for doc, is_held, text in zip(texts["id"].astype(object), texts["held"], texts["text"]):
             ids = np.array([at[w] for w in tokens(text if isinstance(text, str) else None)], dtype=np.int64)
