@@ -1,4 +1,4 @@
-"""What several corpus operators share: words, row identity, staging of small tables, unions of spans."""
+"""What several corpus operators share: words, row identity, and writing and measuring summaries."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywing.session import stage
 
+
 def words(text: str) -> str:
     """SQL: the words of a text column, split at blanks; null gives none."""
     return f"filter(split(coalesce({text}, ''), '[ \\\\t-\\\\r]+'), w -> w != '')"
