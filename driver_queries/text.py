@@ -130,5 +130,5 @@ def tokenize_documents(spark, sf):
 @query("select doc_id, case when length(text) > 0 then sha256(text || ' + test') end as test from documents")
 def udf_hook(spark, sf):
     """A user's own classifier, called on Arrow batches."""
-    tested = classify_with(documents(spark, sf), "text", lambda t: f"{t} + test", "test")
+    tested = classify_with(documents(spark, sf), "text", lambda t: t + " + test", "test")
     return tested.select("doc_id", F.sha2("test", 256).alias("test"))

@@ -187,14 +187,18 @@ def accuracy(df: DataFrame, gold: str, classifiers: Sequence[str] = LABEL_COLUMN
     return long.select("classifier", "matches", "total", share.alias("accuracy"))
 
 
-def classify_with(df: DataFrame, text: str, classifier: Callable[[str], str | None], name: str) -> DataFrame:
-    """Add the labels of a user's own text classifier, called on Arrow batches.
+def classify_with(df: DataFrame, text: str, classifier: Callable[[pd.Series], pd.Series], name: str) -> DataFrame:
+    """Add the labels of a user's own text classifier, which gets a series of texts and returns their labels.
 
-    Null and empty texts get a null label without a call.
+    Null and empty texts get a null label and are not passed on.
     """
 
     @F.pandas_udf("string")
     def run(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda t: classifier(t) if t else None)
+        labels = pd.Series(None, index=batch.index, dtype=object)
+        given = batch[batch.fillna("") != ""]
+        if len(given):
+            labels[given.index] = classifier(given)
+        return labels
 
     return df.withColumn(name, run(F.col(text)))

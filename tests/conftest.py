@@ -9,8 +9,9 @@ from tallywing.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    scratch = str(tmp_path_factory.mktemp("scratch"))
+    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": scratch})
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -89,7 +89,7 @@ def test_labels_and_accuracy(table, vocab, rows):
 
 def test_user_classifier_skips_empty_texts(table, rows):
     df = table([(1, "abc"), (2, ""), (3, None)], "id int, text string")
-    out = S.classify_with(df, "text", lambda t: t.upper(), "mine")
+    out = S.classify_with(df, "text", lambda t: t.str.upper(), "mine")
     assert rows(out, "id", "mine") == [(1, "ABC"), (2, None), (3, None)]
     assert "ArrowEvalPython" in out._jdf.queryExecution().toString()
 
