@@ -221,14 +221,12 @@ def _strings(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["string_", "context_", "o_"])
 
 
-def repeated_starts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``key_``, ``starts_``: runs (first, last) of starts of repeated strings, per document that has any."""
+def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``key_``, ``spans_``: maximal byte runs (first, stop) covered by repeated strings, per document that has any."""
     texts = _texts(docs, id_col, text_col)
-    # A row that repeats id and text counts once; only keys and lengths are compared for it.
     places = texts.filter(f"length(data_) >= {LENGTH}").mapInPandas(_places, PLACES)
-    heads = places.select("key_", "at_", "head_").groupBy("head_").agg(
-        F.min(F.struct("key_", "at_")).alias("lo_"), F.max(F.struct("key_", "at_")).alias("hi_"))
-    often = small(heads.filter("lo_ != hi_").select("head_"), "heads")
+    # Repeated rows make some heads too many here; their places are told apart by key and place below.
+    often = small(places.groupBy("head_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("head_"), "heads")
     live = small(places.join(bounded(often, LISTED), "head_").drop("head_"), "places")
     one = F.struct("key_", "at_", "first_", "last_")
     contexts = live.groupBy("context_").agg(F.min(one).alias("one_"), F.max(one).alias("two_"))
@@ -257,39 +255,33 @@ def repeated_starts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = live.join(verdict, "context_").select("key_", F.explode(F.expr(
         "if(twice_, array(struct(first_ as first, last_ as last)),"
         " filter(transform(os_, o -> struct(at_ - o as first, at_ - o as last)), s -> s.first between first_ and last_))")).alias("s_"))
-    return small(found.groupBy("key_").agg(F.collect_set("s_").alias("starts_")), "starts")
-
-
-def removed_spans(starts) -> list[tuple[int, int]]:
-    """Maximal byte runs covered by strings at the given runs of starts."""
-    out: list[list[int]] = []
-    for first, last in sorted((s["first"], s["last"]) for s in starts):
-        if out and first <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], last + LENGTH)
-        else:
-            out.append([first, last + LENGTH])
-    return [tuple(s) for s in out]
+    place = "array<struct<first:bigint,stop:bigint>>"
+    spans = F.expr(f"""aggregate(runs_, cast(array() as {place}), (a, s) -> if(size(a) > 0 and s.first <= element_at(a, -1).stop,
+        array_append(slice(a, 1, size(a) - 1), struct(element_at(a, -1).first as first, greatest(element_at(a, -1).stop, s.last + {LENGTH}) as stop)),
+        array_append(a, struct(s.first as first, s.last + {LENGTH} as stop))))""")
+    found = found.groupBy("key_").agg(F.sort_array(F.collect_set("s_")).alias("runs_"))
+    return small(found.select("key_", spans.alias("spans_")), "spans")
 
 
 def drop_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``kept`` (remaining bytes), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
     kind = docs.schema[id_col].dataType.simpleString()
-    starts = repeated_starts(docs, id_col, text_col)
-    total = starts.agg(F.coalesce(F.sum(F.size("starts_")), F.lit(0))).first()[0]
+    spans = repeated_spans(docs, id_col, text_col)
+    total = spans.agg(F.coalesce(F.sum(F.size("spans_")), F.lit(0))).first()[0]
     rows = docs.select(F.col(id_col).alias("id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("data_"),
                        row_key(id_col, text_col).alias("key_"))
-    rows = rows.join(F.broadcast(starts) if total <= LISTED else starts, "key_", "left").select("id", "data_", "starts_")
+    rows = rows.join(F.broadcast(spans) if total <= LISTED else spans, "key_", "left").select("id", "data_", "spans_")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc, data, found in zip(batch["id"].astype(object), batch["data_"], batch["starts_"]):
-                data, spans, at, parts = bytes(data), removed_spans(found) if found is not None else [], 0, []
-                for first, stop in spans:
-                    parts.append(data[at:first])
-                    at = stop
+            for doc, data, found in zip(batch["id"].astype(object), batch["data_"], batch["spans_"]):
+                data, gone, at, parts = bytes(data), found if found is not None else [], 0, []
+                for span in gone:
+                    parts.append(data[at : span["first"]])
+                    at = span["stop"]
                 kept = b"".join([*parts, data[at:]])
-                out.append((None if pd.isna(doc) else doc, kept, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+                out.append((None if pd.isna(doc) else doc, kept, len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return rows.mapInPandas(run, f"id {kind}, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
