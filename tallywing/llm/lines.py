@@ -5,17 +5,25 @@ inserted or deleted line moves boundaries only near itself. A chunk is taken int
 lines with words. Chunks found more than once anywhere are compared byte by byte, their first occurrence
 (least id, then least hash of the text, then least line) stays, and the others are removed.
 
+Chunks of that kind have their boundaries a few lines apart, so the ends of a repeated passage and many short
+passages stay (``drop_repeated_chunks``; the SQL of ``op1_line_dedup`` fixes these chunks). For all of a passage
+``drop_repeated_runs`` makes every line with words a boundary: a chunk goes from one such line through the next,
+and chunks overlap, so every run of two or more repeated lines is found whole. The first place of each line
+with words always stays, as no chunk that holds it can have stood before.
+
 Counting reads hashes only; texts are shuffled once to cut out the candidate chunks and once to remove
 lines. A chunk that stands in a third of all rows is counted on the map side, and its rows meet one row
 of the other side in joins that Spark can split.
 
 Defined results: null text has one empty line and stays null; single lines are never removed; a row whose
 id and text both repeat is one document and each copy of the row gets the same text; a null id sorts first;
-an empty table gives no rows; columns of the input keep their values, whatever their names.
+a chunk that overlaps its own first occurrence (one line many times in a row) is not counted as another; an empty table gives no rows; columns of the input keep their values, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from tallywing.llm.common import row_key
@@ -41,6 +49,15 @@ def _with_chunks(df: DataFrame) -> DataFrame:
     )).drop("hashes_", "hits_", "ends_")
 
 
+def _with_pairs(df: DataFrame) -> DataFrame:
+    """Add ``lines_`` and ``chunks_``, which go from each line with words through the next one, to rows with ``text_``."""
+    df = df.withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
+    df = df.withColumn("worded_", F.expr(f"filter(sequence(0, size(lines_) - 1), i -> lines_[i] rlike {WORD})"))
+    return df.withColumn("chunks_", F.expr(
+        "transform(slice(worded_, 1, greatest(size(worded_) - 1, 0)), (w, k) -> struct(w as first, worded_[k + 1] - w + 1 as n))"
+    )).drop("worded_")
+
+
 def _chunks(df: DataFrame, *keep: str) -> DataFrame:
     """One row per multi-line chunk: ``first``, ``n``, ``chunk_``."""
     df = df.select(*keep, "lines_", F.explode(F.expr("filter(chunks_, c -> c.n >= 2)")).alias("c_"))
@@ -48,17 +65,19 @@ def _chunks(df: DataFrame, *keep: str) -> DataFrame:
     return df.filter(f"size(filter(part_, l -> l rlike {WORD})) >= 2").select(*keep, "first", "n", F.array_join("part_", "\n").alias("chunk_"))
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             with_chunks: Callable[[DataFrame], DataFrame] = _with_chunks) -> DataFrame:
     """Per document key (see ``row_key``) the chunks to remove: ``key_``, ``gone_`` (first line, lines)."""
     base = docs.select(row_key(id_col, text_col).alias("key_"), F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    hashed = _chunks(_with_chunks(base), "key_").select("key_", "first", "n", F.xxhash64("chunk_").alias("hash_"))
+    hashed = _chunks(with_chunks(base), "key_").select("key_", "first", "n", F.xxhash64("chunk_").alias("hash_"))
     often = hashed.groupBy("hash_").agg(F.count("*").alias("times_")).filter("times_ > 1")
     wanted = hashed.join(often, "hash_").groupBy("key_").agg(F.collect_set(F.struct("first", "n")).alias("chunks_"))
     # The bytes: cut the candidates out of their texts once and write them.
     cut = base.join(wanted, "key_").withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
     cut = stage(_chunks(cut, "key_", "id_"), "chunks")
     first = cut.groupBy("chunk_").agg(F.min(F.struct("id_", "key_", "first")).alias("kept_"))
-    gone = cut.join(first, "chunk_").filter(~F.struct("id_", "key_", "first").eqNullSafe(F.col("kept_")))
+    # Only chunks with a line in common with their first occurrence, or it itself, stay.
+    gone = cut.join(first, "chunk_").filter("key_ != kept_.key_ or first >= kept_.first + n")
     return gone.groupBy("key_").agg(F.collect_set(F.struct("first", "n")).alias("gone_"))
 
 
@@ -80,3 +99,14 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     df = df.select("row_", kept.alias("kept_text_"), report.alias("lines_report_"))
     cols = [F.col("kept_text_").alias(c) if c == text_col else F.col(f"row_.`{c}`").alias(c) for c in names]
     return df.select(*cols, "lines_report_")
+
+
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row of ``docs`` with all repeated runs of two or more lines with words cut out of its text."""
+    names = docs.columns
+    rows = docs.select(F.struct(*(F.col(c) for c in names)).alias("row_"), row_key(id_col, text_col).alias("key_"), F.col(text_col).alias("text_"))
+    df = rows.join(removals(docs, id_col, text_col, _with_pairs), "key_", "left")
+    df = df.withColumn("lines_", F.expr("if(gone_ is null, null, split(text_, '\\n', -1))"))
+    left = "array_except(sequence(0, size(lines_) - 1), flatten(transform(gone_, g -> sequence(g.first, g.first + g.n - 1))))"
+    kept = F.expr(f"if(gone_ is null, text_, array_join(transform({left}, i -> lines_[i]), '\\n'))").alias("kept_text_")
+    return df.select("row_", kept).select(*(F.col("kept_text_").alias(c) if c == text_col else F.col(f"row_.`{c}`").alias(c) for c in names))

@@ -29,6 +29,39 @@ def test_line_chunks(spark, edge):
     assert lines.drop_repeated_chunks(edge.limit(0)).count() == 0
 
 
+def brute_runs(rows):
+    """Rows without the lines of every chunk (a line with words through the next one) that stood before."""
+    seen, out = {}, []
+    for d, t in sorted(rows):
+        ls, gone = t.split("\n"), set()
+        worded = [i for i, x in enumerate(ls) if x.strip()]
+        for a, b in zip(worded, worded[1:]):
+            first = seen.setdefault(tuple(ls[a : b + 1]), (d, b))
+            if first[0] != d or a > first[1]:
+                gone.update(range(a, b + 1))
+        out.append((d, "\n".join(x for i, x in enumerate(ls) if i not in gone)))
+    return sorted(out, key=str)
+
+
+def test_pipeline_drops_whole_repeated_runs(spark, edge):
+    """Runs of two to nine lines, whole: chunks of a few lines each leave the ends and nearly all short runs."""
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    passages = [[f"passage {p} line {i} {rng.random()}" for i in range(n)] for p, n in enumerate((2, 2, 3, 3, 4, 5, 9))]
+    rows = []
+    for d in range(12):
+        parts = [f"own {d} start"]
+        for p in rng.sample(passages, 4):
+            parts += [*p, *([""] if rng.random() < 0.3 else []), f"own {d} {rng.random()}"]
+        rows.append((d, "\n".join(parts)))
+    rows += [(20, "a b\n\nc d"), (21, "x\na b\n\nc d\ny"), (22, "z\nz\nz"), (23, "- -\n" * 5), (24, "a b\nc d")]
+    got = texts(corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), ""))
+    assert got == brute_runs(rows)
+    assert all(sum(line in t.split("\n") for _, t in got) == 1 for p in passages for line in p)
+    assert texts(lines.drop_repeated_runs(edge)) == texts(edge) and lines.drop_repeated_runs(edge).columns == edge.columns
+
+
 def test_quality_edges(edge):
     rows = {(r.doc_id, r.n_words): r for r in quality.quality_verdicts(edge).collect()}
     assert rows[2, 0].base_failed and not rows[2, 0].kept and rows[3, 0].n_symbols == 0
