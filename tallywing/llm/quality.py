@@ -31,7 +31,9 @@ MIN_GROUP = 100
 #: Share of a chi-square law with six degrees of freedom, its quantile, and the factor that makes
 #: scatter of the inner 75 % (97.5 %) consistent with a normal law.
 CORE_FACTOR, REWEIGHT_CUT, REWEIGHT_FACTOR = 1.36, 14.45, 1.09
-#: Squared distance beyond which a row is rejected.
+#: Squared distance beyond which a row is rejected: 99.9 % quantile of that law.
+FAR = 22.46
+#: The distance in the SQL of ``op2_quality_rules``, which fixes the rows of that query only.
 CUT = 60.0
 #: Least standard deviation of each statistic, in thousandths: a group whose core never shows a
 #: symbol must not reject the first one.
@@ -185,7 +187,7 @@ def estimates(vec: DataFrame) -> DataFrame:
     return small(groups.join(estimate, "grp"), "estimates")
 
 
-def judge(counted: DataFrame, estimate: DataFrame) -> DataFrame:
+def judge(counted: DataFrame, estimate: DataFrame, cut: float = FAR) -> DataFrame:
     """Add ``kept`` and the squared distance ``outlyingness`` (null without words) to counted rows."""
     spark = counted.sparkSession
     table = estimate.withColumnsRenamed({"lang_key": "lk_", "source_key": "sk_"}).drop("grp")
@@ -194,23 +196,23 @@ def judge(counted: DataFrame, estimate: DataFrame) -> DataFrame:
         z = F.expr(f"(f{i} - m{i}{''.join(f' - l{i}{k} * z{k}_' for k in range(i))}) / l{i}{i}")
         df = df.withColumn(f"z{i}_", z)
     df = df.withColumn("outlyingness", F.expr(" + ".join(f"z{i}_ * z{i}_" for i in range(DIM))))
-    df = df.withColumn("kept", F.expr(f"not base_failed and coalesce(outlyingness <= {CUT}, false)"))
+    df = df.withColumn("kept", F.expr(f"not base_failed and coalesce(outlyingness <= {cut}, false)"))
     return df.drop("lk_", "sk_", *table.columns, *(f"z{i}_" for i in range(DIM)))
 
 
-def _verdicts(docs: DataFrame, keep: list[Column], text_col: str, lang_col: str, source_col: str) -> DataFrame:
+def _verdicts(docs: DataFrame, keep: list[Column], text_col: str, lang_col: str, source_col: str, cut: float = FAR) -> DataFrame:
     """``keep``, counts and verdict per row. Counts are written once, without the texts; all later steps read those."""
     rows = docs.select(*keep, F.col(text_col).alias("text_"), F.col(lang_col).alias("lang_"), F.col(source_col).alias("source_"))
     counted = with_keys(with_counts(rows, "text_"), "lang_", "source_").drop("text_", "lang_", "source_")
     counted = stage(counted, "counted")
     vectors = counted.filter("n_words > 0").select("lang_key", "source_key", *(f"f{i}" for i in range(DIM)))
-    return judge(counted, estimates(vectors))
+    return judge(counted, estimates(vectors), cut)
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                     source_col: str = "source") -> DataFrame:
+                     source_col: str = "source", cut: float = FAR) -> DataFrame:
     """One row per document: id, base counts, base verdict, ``kept`` and ``outlyingness``."""
-    judged = _verdicts(docs, [F.col(id_col).alias("id_")], text_col, lang_col, source_col)
+    judged = _verdicts(docs, [F.col(id_col).alias("id_")], text_col, lang_col, source_col, cut)
     return judged.select(F.col("id_").alias(id_col), *COUNTS, "base_failed", "kept", "outlyingness")
 
 

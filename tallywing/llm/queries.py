@@ -36,8 +36,8 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(sql.QUALITY)
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """Base counts and robust-outlier verdict of every document."""
-    return quality.quality_verdicts(documents(spark, sf)).drop("outlyingness")
+    """Base counts and robust-outlier verdict of every document, at the distance its SQL names."""
+    return quality.quality_verdicts(documents(spark, sf), cut=quality.CUT).drop("outlyingness")
 
 
 @query(sql.CONTAMINATION)

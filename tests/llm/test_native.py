@@ -93,6 +93,16 @@ def test_robust_estimate_ignores_a_cluster(spark):
     assert np.allclose([e[f"l{i}{j}"] for i in range(6) for j in range(i + 1)], [lower[i, j] for i in range(6) for j in range(i + 1)])
 
 
+def test_clear_outliers_are_rejected(spark):
+    """Beyond the 99.9 % quantile of the chi-square law; far inside it texts stay."""
+    estimate = {"grp": "g", "lang_key": "va", "source_key": "vb"} | {f"m{i}": 0.0 for i in range(6)}
+    estimate |= {f"l{i}{j}": 100.0 * (i == j) for i in range(6) for j in range(i + 1)}
+    rows = [("va", "vb", False, f, 0, 0, 0, 0, 0) for f in (0, 400, 470, 480, 550, 700, 800)]
+    counted = spark.createDataFrame(rows, "lang_key string, source_key string, base_failed boolean, " + ", ".join(f"f{i} long" for i in range(6)))
+    judged = quality.judge(counted, spark.createDataFrame([estimate])).collect()
+    assert {r.f0: r.kept for r in judged} == {0: True, 400: True, 470: True, 480: False, 550: False, 700: False, 800: False}
+
+
 def entropy_spans(text, letters, bits):
     import re
     out = []
