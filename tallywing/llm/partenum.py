@@ -312,13 +312,23 @@ def _with_component(sets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is that of their component; of rows that repeat an id and a text one stays.
+    """One row of every component: the one with the least id (null last), then the least key, then the least row.
 
     Rows without shingles are no copies of each other and all stay.
     """
     names = docs.columns
     sets = small(set_table(docs, id_col, text_col), "sets")
     found = _with_component(sets, set_components(docs, sets, text_col, id_col))
-    gone = small(found.filter("n_ > 0 and not id_ <=> component_").select("key_").distinct(), "gone")
+    found = found.filter("n_ > 0")
+    first = found.groupBy("label_").agg(F.min(F.struct(F.col("id_").isNull().alias("null_"), "id_", "key_")).alias("kept_"))
+    gone = found.join(first, "label_").filter("key_ != kept_.key_")
+    gone = small(gone.select("key_").distinct(), "gone")
     rows = docs.select(F.struct(*(F.col(c) for c in names)).alias("row_"), row_key(id_col, text_col).alias("key_"))
-    return rows.join(bounded(gone, LISTED), "key_", "left_anti").select("row_.*")
+    rows = rows.join(bounded(gone, LISTED), "key_", "left_anti")
+    # Rows that repeat a key are equal sets and not told apart above; only these are shuffled, one for each task.
+    twice = small(sets.filter("n_ > 0").groupBy("key_").agg(F.count("*").alias("times_")).filter("times_ > 1").select("key_"), "twice")
+    if not twice.take(1):
+        return rows.select("row_.*")
+    twice = bounded(twice, LISTED)
+    one = rows.join(twice, "key_", "left_semi").groupBy("key_").agg(F.min("row_").alias("row_"))
+    return rows.join(twice, "key_", "left_anti").select("row_").unionAll(one.select("row_")).select("row_.*")

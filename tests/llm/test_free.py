@@ -91,6 +91,20 @@ def test_similarity_join_edges(edge):
     assert partenum.link_components(edge.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark, edge):
+    """Repeated rows, near copies under one id, and groups without any id: one row each."""
+    kept = Counter((r.doc_id, r.text) for r in partenum.keep_one(edge).collect())
+    assert max(kept.values()) == 1 and sum(kept.values()) == edge.count() - 2 and (1, edge.first().text) in kept
+    base = " ".join(f"w{i}" for i in range(60))
+    near, other = base + " end", " ".join(f"v{i}" for i in range(60))
+    rows = [(1, base, 1), (1, base, 2), (1, base, 2), (1, near, 1), (2, near, 1), (None, base, 1),
+            (None, other, 1), (None, other, 1), (None, other + " end", 1), (7, None, 1), (7, None, 1), (None, "", 1), (None, "", 1)]
+    got = sorted(map(tuple, partenum.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n long")).collect()), key=str)
+    full = [r for r in got if r[1]]
+    assert len(full) == 2 and {r[0] for r in full} == {1, None} and len(got) == 6
+    assert all(r == (1, base, 1) or r == (1, near, 1) for r in full if r[0]) and all(r[1].startswith(other) for r in full if not r[0])
+
+
 def test_components_of_a_long_path(spark):
     n = 200
     order = list(range(n))
