@@ -1,8 +1,10 @@
 """Licence scan by sentence rules.
 
-A text is cut into sentences, each is normalised (lower case, runs of other characters than letters and
-digits become one blank) and mapped to the identifier of a known licence sentence. The sequence of
-identifiers is then matched from left to right against the licence rules; where several fit, the first
+A text is normalised (lower case, runs of other characters than letters and digits become one blank, so
+comment marks go, too) and cut into sentences, which are mapped to identifiers of known licence sentences.
+Sentences end at final punctuation; at a line's end or a semicolon one may end or go on: the longest known
+wording that starts and ends at such places counts, however it is wrapped, and lines between that are in none
+are one unknown sentence up to a blank line. The sequence of identifiers is then matched from left to right against the licence rules; where several fit, the first
 rule of the list wins, and at most ``GAP`` unknown sentences may stand between two of a rule.
 
 Everything happens inside the row, with built-in expressions. Defined results: null text is empty; a text
@@ -78,6 +80,8 @@ GAP = 2
 #: Every known sentence has one of these words, so texts without any are not cut into sentences.
 MARKS = "(?i)licen[sc]e|permission|redistribut|software|warrant"
 BREAK = r"[.;!?]+(?:\s+|$)|\n"
+#: Where a sentence ends, and where it may end, in the operator. ``BREAK`` is what the SQL ends sentences at.
+HARD, SOFT = r"[.!?]+(?:\s+|$)", r";+(?:\s+|$)"
 UNKNOWN = "-"
 
 
@@ -87,6 +91,16 @@ def rule_pattern() -> str:
     return "|".join(gap.join(f"\\b{s} " for s in sequence) for _, sequence in RULES)
 
 
+def sentence_pattern() -> str:
+    """One pattern over normal text in which ``\\n`` may end a sentence and ``\\x01`` does; longer wordings first.
+
+    Possessive repeats, so that the length of a text does not matter to the matcher's stack.
+    """
+    known = "|".join(w.replace(" ", r"[ \n]+") for w in sorted(SENTENCES.values(), key=len, reverse=True))
+    start, end, line = r"(?<![^\n\x01])", r"(?![^\n\x01])", r"[^\n\x01]++"
+    return f"{start}(?:(?:{known}){end}|{line}(?:\\n(?!(?:{known}){end}){line})*+)"
+
+
 def _sequence_of(match: str) -> str:
     """SQL: a match without the marks of unknown sentences."""
     return f"replace({match}, '{UNKNOWN} ', '')"
@@ -98,8 +112,11 @@ def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
     names, wordings = (", ".join(f"'{x}'" for x in xs) for xs in (SENTENCES, SENTENCES.values()))
     rules = "case " + " ".join(f"when {{0}} = '{' '.join(s)} ' then '{licence}'" for licence, s in RULES) + " end"
     df = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
-    sentences = f"split({text}, '{BREAK.replace(chr(92), chr(92) * 2)}', -1)"
-    plain = f"filter(transform({sentences}, s -> trim(regexp_replace(lower(s), '[^\\\\p{{L}}\\\\p{{N}}]+', ' '))), s -> s != '')"
+    plain = f"lower(translate({text}, '\\u0001', ' '))"
+    for cut, mark in ((HARD, "\\u0001"), (SOFT, "\\n"), (r"[^\p{L}\p{N}\n\x01]+", " "), (r" ?([\n\x01]) ?", "$1"), (r"^ | $", "")):
+        plain = f"regexp_replace({plain}, '{cut.replace(chr(92), chr(92) * 2)}', '{mark}')"
+    plain = f"regexp_extract_all({plain}, '{sentence_pattern().replace(chr(92), chr(92) * 2)}', 0)"
+    plain = f"transform({plain}, s -> regexp_replace(s, '\\\\n+', ' '))"
     known = f"transform({plain}, s -> coalesce(get(array({names}), cast(array_position(array({wordings}), s) as int) - 1), '{UNKNOWN}'))"
     df = df.withColumn(ids, F.expr(f"if({text} rlike '{MARKS}', {known}, cast(array() as array<string>))"))
     pattern = rule_pattern().replace("\\", "\\\\")

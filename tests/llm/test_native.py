@@ -159,6 +159,75 @@ def test_licences(spark, edge):
     assert out.columns == [*edge.columns, "n_licence_sentences", "licences"] and all(not r.licences for r in out.collect())
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM."""
+BSD = """Copyright (c) 2020, Someone
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+{0}Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+{1}Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD_NAMES = """
+{2}Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_wrapped_licences(spark):
+    """Full texts as they stand in files: wrapped, numbered or not, plain or behind comment marks."""
+    full = [(MIT, "MIT", 3), (BSD.format("1. ", "2. "), "BSD-2-Clause", 3), (BSD.format("* ", "* "), "BSD-2-Clause", 3),
+            ((BSD + BSD_NAMES).format("\n1. ", "\n2. ", "\n3. "), "BSD-3-Clause", 4), ((BSD + BSD_NAMES).format("- ", "- ", "- "), "BSD-3-Clause", 4),
+            (GPL.format(2), "GPL-2.0-or-later", 3), (GPL.format(3), "GPL-3.0-or-later", 3), (APACHE, "Apache-2.0", 5)]
+    rows, want = [], {}
+    for text, licence, n in full:
+        for form in (text, text.replace("\n", "\r\n"), *("\n".join(f"{mark} {x}".rstrip() for x in text.split("\n")) for mark in ("#", " *", "//", ";;"))):
+            want[len(rows)] = ([licence], n)
+            rows.append((len(rows), f"int x\n{form}\n\ndef main"))
+    for text, found, n in [("intro line\nLicensed under the\nMIT License\nnext line", ["MIT"], 1), ("Some words\nSPDX-License-Identifier: MIT\nmore", ["MIT"], 1),
+                           ("is not licensed\nunder the MIT license", [], 0), ("licensed under the MIT license or\nanother", [], 0),
+                           ("warranty\n" * 50_000 + "Released under the MIT License", ["MIT"], 1)]:
+        want[len(rows)] = (found, n)
+        rows.append((len(rows), text))
+    got = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.licences, r.n_licence_sentences) for r in got} == want
+
+
 def test_decontamination(spark, edge):
     bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven"), (2, "solo word"), (2, "solo word"), (3, None), (4, "")], "item_id long, text string")
     rows = [(1, "Hi! One, two three four five six seven eight nine ten eleven; bye"), (2, "a SOLO word, and solo  word."), (5, "é solo wordy")]
