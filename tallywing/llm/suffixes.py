@@ -14,8 +14,9 @@ at equal distances. An anchor stands for a run of starts; its context is all the
    that (and all strings of the contexts at a range's ends) are counted by a 128-bit hash, which settles
    the bytes before the anchor.
 
-A range has about ``RANGE`` contexts; equal suffixes are few, because equal contexts were merged before, and a
-range can end between suffixes that agree for long. Defined results: null text is empty; texts shorter
+A range has about ``RANGE`` contexts: it can end between suffixes that agree for long, and between equal ones,
+which the hash of the context puts in an order (a passage after different text gives one context for each
+document, all with the same suffix). Strings leave a range in pieces. Defined results: null text is empty; texts shorter
 than ``LENGTH`` never change; a row that repeats id and text is one document once, so it is not its own copy;
 an empty table gives no rows.
 """
@@ -37,7 +38,7 @@ from tallywing.llm.common import bounded, row_key, small
 
 LENGTH, WINDOW, GRAM = 400, 128, 24
 LEAST = LENGTH - WINDOW + 1
-RANGE, SAMPLE, RUN_BYTES = 50_000, 4000, 24 << 20
+RANGE, SAMPLE, RUN_BYTES, PIECE = 50_000, 4000, 24 << 20, 100_000
 #: Rows up to which lists of hashes or of places are broadcast.
 LISTED = 4_000_000
 _BASE = 0x9E3779B97F4A7C15
@@ -163,16 +164,21 @@ def merged(runs: list[Iterator[tuple[bytes, int, tuple]]]) -> Iterator[tuple[byt
 
 
 def _items(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bytes, bytes, bytes]]:
-    """Suffix from the anchor, bytes before it, hash of the context."""
+    """Suffix from the anchor, hash of the context, bytes before the anchor."""
     for batch in batches:
         for data, places in zip(batch["data_"], batch["places_"]):
             data = bytes(data)
             for p in places:
                 a, lo, hi = p["at_"], p["first_"], p["last_"]
-                yield data[a : hi + LENGTH], data[lo:a], bytes(p["context_"])
+                yield data[a : hi + LENGTH], bytes(p["context_"]), data[lo:a]
 
 
-def _runs(bounds: list[bytes]):
+def range_bounds(picked: list[tuple[bytes, bytes]], ranges: int) -> list[tuple[bytes, bytes]]:
+    """Where ranges end, from a sorted sample of suffixes with the hashes of their contexts."""
+    return sorted({picked[len(picked) * i // ranges] for i in range(1, ranges)}) if picked else []
+
+
+def _runs(bounds: list[tuple[bytes, bytes]]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
 
@@ -180,7 +186,7 @@ def _runs(bounds: list[bytes]):
             held.sort()
             parts: dict[int, list] = {}
             for item in held:
-                parts.setdefault(bisect_right(bounds, item[0]), []).append(item)
+                parts.setdefault(bisect_right(bounds, item[:2]), []).append(item)
             blobs = []
             for part, items in parts.items():
                 lcps, rests = front_coded([i[0] for i in items])
@@ -189,7 +195,7 @@ def _runs(bounds: list[bytes]):
 
         for item in _items(batches):
             held.append(item)
-            size += len(item[0]) + len(item[1])
+            size += len(item[0]) + len(item[2])
             if size > RUN_BYTES:
                 yield flush()
                 held, size = [], 0
@@ -199,13 +205,16 @@ def _runs(bounds: list[bytes]):
     return run
 
 
-def _strings(frame: pd.DataFrame) -> pd.DataFrame:
+def _strings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Merge one range; the strings that other contexts may have: hash, context, distance to the anchor."""
-    runs = [decoded(*pickle.loads(zlib.decompress(bytes(r)))) for r in frame["run_"]]
+    runs = [decoded(*pickle.loads(zlib.decompress(bytes(r)))) for frame in frames for r in frame["run_"]]
     out: list[tuple] = []
 
+    def piece() -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["string_", "context_", "o_"])
+
     def settle(item, agree: int) -> None:
-        suffix, (left, context) = item
+        suffix, (context, left) = item
         # A string with o bytes before the anchor has LENGTH - o from it on.
         for o in range(max(LENGTH - len(suffix), LENGTH - agree, 0), len(left) + 1):
             out.append((xxhash.xxh3_128_digest(left[len(left) - o :] + suffix[: LENGTH - o], seed=o), context, o))
@@ -216,9 +225,12 @@ def _strings(frame: pd.DataFrame) -> pd.DataFrame:
             settle(before, max(agreed, lcp))
             agreed = lcp
         before = (suffix, extra)
+        if len(out) >= PIECE:
+            yield piece()
+            out.clear()
     if before is not None:
         settle(before, LENGTH)
-    return pd.DataFrame(out, columns=["string_", "context_", "o_"])
+    yield piece()
 
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -243,10 +255,9 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ranges = max(1, -(-count // RANGE))
     step = max(1, count // SAMPLE)
     sample = with_data(contexts.filter(F.abs(F.xxhash64("context_")) % step == 0))
-    picked = sorted(bytes(r[0]) for r in sample.mapInPandas(
-        lambda bs: (pd.DataFrame({"s": [i[0] for i in _items([b])]}) for b in bs), "s binary").collect())  # about SAMPLE suffixes
-    bounds = sorted({picked[len(picked) * i // ranges] for i in range(1, ranges)}) if picked else []
-    runs = with_data(contexts).mapInPandas(_runs(bounds), "range_ int, run_ binary")
+    picked = sorted((bytes(s), bytes(c)) for s, c in sample.mapInPandas(
+        lambda bs: (pd.DataFrame([i[:2] for i in _items([b])], columns=["s", "c"]) for b in bs), "s binary, c binary").collect())  # about SAMPLE suffixes
+    runs = with_data(contexts).mapInPandas(_runs(range_bounds(picked, ranges)), "range_ int, run_ binary")
     strings = runs.groupBy("range_").applyInPandas(_strings, "string_ binary, context_ binary, o_ int")
     strings = small(strings.distinct(), "strings")  # a repeated row sends its contexts twice
     again = strings.groupBy("string_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("string_")

@@ -143,6 +143,30 @@ def test_suffix_dedup(spark, monkeypatch, alphabet, ranges):
     assert sorted(tuple(r) for r in got) == brute_removed(rows)
 
 
+def test_a_hot_suffix_spans_ranges(spark, monkeypatch):
+    """A passage after different text in every document: equal suffixes are dealt to ranges of bounded size."""
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(150)) + passage) for i in range(120)]
+    lists = []
+    for _, t in rows:
+        data = t.encode()
+        found = [(a, lo, hi) for a, lo, hi in zip(*(x.tolist() for x in suffixes.anchors(data))) if lo < 150 <= a]
+        lists.append((data, [{"at_": a, "first_": lo, "last_": hi, "context_": hashlib.md5(data[lo : hi + 400]).digest()} for a, lo, hi in found]))
+    frame = suffixes.pd.DataFrame(lists, columns=["data_", "places_"])
+    picked = sorted(i[:2] for i in suffixes._items([frame]))
+    assert len(picked) >= 100 and len({s for s, _ in picked}) <= 3 and len(set(picked)) == len(picked)
+    out = suffixes.pd.concat(suffixes._runs(suffixes.range_bounds(picked, 12))([frame]))
+    sizes = [len(suffixes.pickle.loads(suffixes.zlib.decompress(r))[0]) for r in out["run_"]]
+    assert len(set(out["range_"])) == 12 and sum(sizes) == len(picked) and max(sizes) <= len(picked) // 12 + 1
+    monkeypatch.setattr(suffixes, "RANGE", 10)
+    monkeypatch.setattr(suffixes, "PIECE", 7)
+    got = suffixes.drop_repeated_strings(spark.createDataFrame(rows, "doc_id long, text string")).drop("kept").collect()
+    assert sorted(tuple(r) for r in got) == brute_removed(rows)
+    pieces = list(suffixes._strings(iter([out[out["range_"] == 5]])))
+    assert len(pieces) > 1 and max(map(len, pieces)) <= 7 + suffixes.WINDOW
+
+
 def test_suffix_dedup_edges(spark, edge):
     got = suffixes.drop_repeated_strings(edge)
     assert got.count() == edge.count()
