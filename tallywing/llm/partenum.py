@@ -7,6 +7,8 @@ partitions of a set can differ from a linked set's, so of its non-empty ones, pu
 depends on their content alone (most elements first), the first ``k + 1`` hold one that both sets emit.
 A set near the upper end of its band emits for the next band, too; a set with no more than ``k``
 non-empty partitions emits its first ``k + 1`` single elements besides, for others of this kind.
+This is where the method departs from PartEnum as published, which enumerates subsets of partitions: subsets
+here have one partition, in prefix order, and the second round's have one element (a prefix filter).
 
 Sets that share a signature with another set are candidates, and these sign again with partitions so fine
 that each holds one element, now ordered by how many candidates have it, rarest first. At most a fifth of
