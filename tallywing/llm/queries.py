@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywing.llm import decontaminate, language, lattice, licences, lines, packing, partenum, quality, secrets, sql, suffixes
+from tallywing.llm import (
+    decontaminate, language, lattice, licences, lines, negatives, packing, partenum, pieces, quality, secrets, sql, suffixes, turns)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +100,28 @@ def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without 400-byte strings that start elsewhere, too."""
     return suffixes.drop_repeated_strings(documents(spark, sf).select("doc_id", "text")).drop("kept")
+
+
+@query()
+def op11_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every document by the piece vocabulary, and the text they decode to, as digests."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    df = pieces.decode_ids(pieces.encode_texts(documents(spark, sf).select("doc_id", "text"), model).select("doc_id", "ids"), model)
+    return df.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                     F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                     F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query(sql.TURNS)
+def op12_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Cheapest repair of every conversation after planted damage."""
+    damaged = turns.damage(spark.read.parquet(f"{sf}/conversations.parquet"))
+    return turns.repair(damaged, live_col="live")
+
+
+@query(sql.NEGATIVES)
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after its label was changed for every seventh."""
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)

@@ -144,3 +144,73 @@ listed as (select doc_id, count(*) as n, string_agg(licence, ',' order by k) as
            from found join rules on replace(m, '{licences.UNKNOWN} ', '') = sequence group by doc_id)
 select doc_id, coalesce(line.n, 0)::bigint as n_licence_sentences, coalesce(listed.n, 0)::bigint as n_licences, coalesce(licences, '') as licences
 from documents left join line using (doc_id) left join listed using (doc_id)"""
+
+#: Integer vectors, scores of anchors against all rows, ranks; DuckDB's ``list_reduce`` would be slower than the cross product.
+NEGATIVES = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        [floor(256 * x::double)::bigint for x in embedding] as q
+    from embeddings
+    where label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id, b.label,
+        list_sum([z[1] * z[2] for z in list_zip(a.q, b.q)])::bigint as score
+    from v a, v b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (select anchor_id, anchor_label, vec_id as positive_id, score as positive_score from scored where label = anchor_label
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id, row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id)::int as rank,
+    s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and s.label <> p.anchor_label
+    and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+qualify rank <= 10
+"""
+
+#: Damage by checksum, faults by windows, then one recursion step a row over the four output states. An edit is a
+#: transition of the table ``ways``: insertions before the row's own letter, and what they cost.
+TURNS = r"""
+with recursive raw as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from conversations),
+marked as (select *, xor(list_reduce(list_concat([4294967295::bigint], [ascii(key[i])::bigint for i in range(1, len(key) + 1)]),
+        lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 as fault
+    from raw),
+damaged as (select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+        case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+    from marked, range(2) as copy(n) where fault <> 0 and (n = 0 or fault = 3)),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, left(role, 1) as initial,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare from damaged),
+judged as materialized (select *, case when bare = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+        when right(bare, 1) not in ('.', '!', '?') then 'truncated' else 'fine' end as fault,
+        lag(initial) over (partition by conv_id order by i) || initial as neighbours from placed),
+counted as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) as n,
+        count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+        count(*) filter (fault = 'truncated') as truncated, count(*) filter (neighbours not in ('su', 'ua', 'au')) as illegal
+    from judged group by conv_id),
+inserted(state, edits, body, mid) as (values (0, '', '', 0), (0, 'I', chr(10) || 'user:', 2), (0, 'II', chr(10) || 'user:' || chr(10) || 'assistant:', 3),
+        (1, '', '', 1), (1, 'I', chr(10) || 'user:', 2), (1, 'II', chr(10) || 'user:' || chr(10) || 'assistant:', 3),
+        (2, '', '', 2), (2, 'I', chr(10) || 'assistant:', 3), (3, '', '', 3), (3, 'I', chr(10) || 'user:', 2)),
+kept(mid, initial, state) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+given(mid, role, state) as (values (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+ways as materialized (select i.state, i.edits, i.body, i.mid, 'D' as letter, '' as initial, i.mid as target, '' as role from inserted i
+    union all select i.state, i.edits, i.body, i.mid, 'K', k.initial, k.state, '' from inserted i join kept k using (mid)
+    union all select i.state, i.edits, i.body, i.mid, 'R', '', g.state, g.role from inserted i join given g using (mid)),
+every as materialized (select list({'s': state, 'edits': edits, 'body': body, 'letter': letter, 'initial': initial, 't': target, 'role': role}) as ways
+    from ways),
+path as (select conv_id, 0::bigint as i, [{'cost': 0::bigint, 'audit': '', 'body': ''}, null, null, null] as best
+        from (select distinct conv_id from damaged)
+    union all
+    select p.conv_id, j.i, [list_min([{'cost': p.best[w.s + 1].cost + 5 * length(w.edits) + case w.letter when 'D' then 2 when 'R' then 1 else 0 end
+                + case when w.letter <> 'D' and j.fault = 'truncated' then 5 else 0 end,
+            'audit': p.best[w.s + 1].audit || w.edits || w.letter,
+            'body': p.best[w.s + 1].body || w.body || case w.letter when 'D' then '' when 'K' then chr(10) || j.role || ':' || j.text
+                else chr(10) || w.role || ':' || j.text end}
+        for w in e.ways if w.t = t and p.best[w.s + 1] is not null and (w.letter <> 'K' or w.initial = j.initial)
+            and (w.letter = 'D' or j.fault not in ('blank', 'duplicate'))]) for t in range(4)]
+    from path p join judged j on j.conv_id is not distinct from p.conv_id and j.i = p.i + 1, every e),
+ended as (select p.conv_id, list_min([{'cost': p.best[e.state + 1].cost + 5 * length(e.edits), 'audit': p.best[e.state + 1].audit || e.edits,
+        'body': p.best[e.state + 1].body || e.body} for e in (select list(inserted) from inserted where mid in (0, 3))
+        if p.best[e.state + 1] is not null]) as won
+    from path p join counted c on c.conv_id is not distinct from p.conv_id and c.n = p.i)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+    coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(won.cost, 0) as cost, coalesce(won.audit, '') as audit,
+    sha256(coalesce(substr(won.body, 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join counted c on c.conv_id is not distinct from o.conv_id
+    left join ended e on e.conv_id is not distinct from o.conv_id
+"""
