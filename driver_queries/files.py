@@ -52,11 +52,40 @@ def csv_single_file(spark, sf):
     return shown(read_feedback(spark, path))
 
 
-@query("select count(*) * 2 as rows from documents")
+def named_files(spark, rows, path, names):
+    """Write rows (with a column ``file``) as one CSV file for each value, under the name listed for it."""
+    parts = scratch_path(spark, "parts")
+    options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.repartition("file").write.partitionBy("file").options(**options).csv(parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop.Path(path))
+    for value, name in names.items():
+        (found,) = [s.getPath() for s in files.listStatus(hadoop.Path(f"{parts}/file={value}")) if s.getPath().getName().endswith(".csv")]
+        files.rename(found, hadoop.Path(path, name))
+
+
+@query(f"with {RAW_CTE} select 'f' || (_unit_id % 5) || '.csv' as file_name, count(*) as rows from raw group by 1")
 def csv_rows_per_file(spark, sf):
-    path = scratch_path(spark, "feedback-csv")
-    write_csv(raw_feedback(spark, sf), path)
-    return rows_per_file(read_feedback(spark, path)).agg(F.sum("rows").alias("rows"))
+    """Rows of each file by its name; the combined file is no part of the table."""
+    path, rows = scratch_path(spark, "feedback-csv"), raw_feedback(spark, sf)
+    named_files(spark, rows.withColumn("file", F.expr("_unit_id % 5")), path, {i: f"f{i}.csv" for i in range(5)})
+    named_files(spark, rows.withColumn("file", F.lit(9)), path, {9: "combined_csv.csv"})
+    return rows_per_file(read_feedback(spark, path, file_column="file"), "file")
+
+
+@query(f"with {RAW_CTE} {SHOWN}")
+def csv_headers(spark, sf):
+    """Files whose headers differ in order and case or have more columns, next to a combined file that repeats all rows."""
+    path = scratch_path(spark, "mixed-headers")
+    rows = raw_feedback(spark, sf).withColumn("file", F.expr("_unit_id % 4"))
+    names = list(RAW)
+    layouts = [names, names[::-1], [n.upper() for n in names[13:] + names[:13]], ["extra_first", *names[5:], "_Extra", *names[:5]]]
+    for i, layout in enumerate(layouts):
+        part = rows.filter(F.col("file") == i).withColumns({"extra_first": F.lit("x, y"), "_Extra": F.col("_unit_id")})
+        named_files(spark, part.select(*(F.col(n).alias(n) for n in layout), "file"), path, {i: f"f{i}.csv"})
+    named_files(spark, rows.withColumn("file", F.lit(9)), path, {9: "combined_csv.csv"})
+    return shown(read_feedback(spark, path))
 
 
 @query("""
@@ -92,11 +121,12 @@ def csv_inferred(spark, sf):
     )
 
 
-@query("select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, c_mktsegment from customer")
+@query("""select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, c_mktsegment,
+       round(c_acctbal, 6) as c_acctbal from customer""")
 def csv_strings(spark, sf):
     path = scratch_path(spark, "customer-csv")
     write_csv(table(spark, sf, "customer"), path)
-    return read_strings(spark, path).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return read_strings(spark, path).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", r6(F.col("c_acctbal").cast("double")).alias("c_acctbal"))
 
 
 @query("select doc_id, sha256(text) as text, lang from documents")
@@ -108,6 +138,7 @@ def csv_mixed_encodings(spark, sf):
     options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     docs.filter(latin).write.options(**options, encoding="ISO-8859-1").csv(path)
     docs.filter(~latin).write.mode("append").options(**options).csv(path)
+    named_files(spark, docs.withColumn("file", F.lit(9)), path, {9: "combined_csv.csv"})
     read = read_mixed_encodings(spark, path, "doc_id bigint, text string, lang string")
     return read.select("doc_id", F.sha2("text", 256).alias("text"), "lang")
 

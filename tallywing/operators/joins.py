@@ -1,8 +1,7 @@
 """Lookup, anti and nearest-neighbour joins.
 
-A side is broadcast only after its size was measured; beyond the bound the same join runs shuffled,
-with the lookup repeated once per salt so that one hot key is spread over several tasks. Adaptive
-execution splits what is still too large for one task.
+A side is broadcast only after its size was measured; beyond the bound the same join runs shuffled, with
+keys measured to be hot spread over several tasks (:mod:`tallywing.operators.skew`).
 """
 
 from __future__ import annotations
@@ -12,11 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywing.functions.geo import is_finite, planar_distance
-from tallywing.session import settle
+from tallywing.operators.celltree import build_tree, search_tree
+from tallywing.operators.skew import salted_join
+from tallywing.session import settle, stage
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 8
 
 
 def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -36,23 +36,20 @@ def join_lookup(
     on: str | Sequence[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
     salt_by: Sequence[str] | None = None,
     small: bool | None = None,
+    hot: dict[str, int] | None = None,
 ) -> DataFrame:
     """Join a large table to a lookup on equally named key columns (``left`` or ``inner``).
 
-    ``salt_by`` names the columns whose values spread the rows of a hot key in the shuffled form
-    (default: all). The salt is a hash of the row, so a recomputed task gives the same salts.
-    ``small`` passes on a measurement already made.
+    A lookup that is not just a scan should be staged or settled first: it is read to be measured and again to be
+    joined. ``small`` and ``hot`` pass on measurements already made; ``salt_by`` names the columns whose values spread
+    the rows of a hot key in the shuffled form (default: all).
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(lookup, max_rows) if small is None else small:
         return facts.join(F.broadcast(lookup), keys, how)
-    row_hash = F.xxhash64(*(salt_by or facts.columns))
-    salted = facts.withColumn("_salt", F.pmod(row_hash, F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return salted_join(facts, lookup, keys, how, hot, salt_by)
 
 
 def without_match(rows: DataFrame, resolved: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -132,13 +129,13 @@ def nearest_within(
 
     Both sides name their coordinates ``x`` and ``y``. Adds ``distance``, ``target_id`` and ``keep``.
 
-    The search looks into the 3x3 grid cells around a point, first with a small cell, then with a
-    doubled one for points that found nothing within that radius, up to ``reach``: a hit within the
-    radius is the true nearest, because every target that close lies in the searched cells. It
-    starts where no cell is crowded, so most points see few targets however many there are.
+    When the targets are measured to be few and nowhere crowded, each grid cell's targets are one broadcast
+    row and the points are not shuffled at all. The search looks into the 3x3 cells around a point, first
+    with a small cell, then with a doubled one for points that found nothing within that radius, up to
+    ``reach``: a hit within the radius is the true nearest, because every target that close lies in the
+    searched cells.
 
-    When the targets are measured to be few, each cell's targets are one broadcast row and the
-    points are not shuffled at all. Otherwise candidates are rows of a shuffled join, and points
+    Otherwise the targets become an adaptive cell tree (:mod:`tallywing.operators.celltree`), and points
     sharing coordinates are searched once.
     """
     payload = [target_id, *keep]
@@ -158,8 +155,8 @@ def nearest_within(
             best = best.filter(F.col("_best").isNotNull())
         return best.select(*points.columns, "_best.*")
     spots = points.select(x, y).filter(is_finite(F.col(x)) & is_finite(F.col(y))).distinct()
-    best = _search_rows(spots.withColumn("_best", unknown), places, radii, x, y, payload, small)
-    found = settle(best.filter(F.col("_best").isNotNull()).select(x, y, "_best.*"))
+    tree = build_tree(places, lambda t: fits_broadcast(t, max_rows))
+    found = stage(search_tree(stage(spots, "spots"), tree, reach, x, y, payload).select(x, y, "_best.*"), "nearest")
     return join_lookup(points, found, [x, y], how, max_rows)
 
 
@@ -193,17 +190,3 @@ def _search_lists(best: DataFrame, places: DataFrame, radii: list[float], x: str
         seen = _open_cells(best, radius, x, y).join(F.broadcast(cells), ["_cx", "_cy"], "left")
         best = seen.withColumn("_best", F.coalesce("_best", nearest)).select(*columns)
     return best
-
-
-def _search_rows(
-    best: DataFrame, places: DataFrame, radii: list[float], x: str, y: str, payload: Sequence[str], small: bool
-) -> DataFrame:
-    for radius in radii:
-        distance = planar_distance(F.col(x), F.col(y), F.col("_tx"), F.col("_ty"))
-        hit = F.when(distance <= radius, _hit(distance, F.col("_target"), payload))
-        seen = join_lookup(
-            _open_cells(best, radius, x, y), _neighbour_cells(places, radius), ["_cx", "_cy"], "left",
-            salt_by=[x, y], small=small,
-        )
-        best = seen.select(x, y, F.coalesce("_best", hit).alias("_best")).groupBy(x, y).agg(F.min("_best").alias("_best"))
-    return best

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywing.constants import NULL_MARKER
 from tallywing.operators.joins import join_lookup
 from tallywing.operators.ranking import counts
+from tallywing.operators.selection import code_counts, order_statistics
 from tallywing.session import settle
 
 SKETCH_ACCURACY = 10_000
@@ -17,51 +18,33 @@ SKETCH_ACCURACY = 10_000
 def summarize(df: DataFrame, group: str, value: str, approximate: bool = False) -> DataFrame:
     """mean, median, count, min, max of ``value`` per group; nulls are ignored, all groups kept.
 
-    The exact median never holds a group in one task, as Spark's own ``median`` would (it keeps all
-    distinct values of a group in memory). A bounded sketch first brackets the middle of every
-    group, three times its error to each side; the second pass counts the values outside the bracket
-    and ranks only those inside. ``approximate`` takes the sketch's answer instead.
+    The exact median comes from radix selection (:mod:`tallywing.operators.selection`): no group is ever held in one
+    task, as Spark's own ``median`` would, and the first pass serves all five. ``approximate`` takes the answer of a
+    sketch instead, in one pass.
     """
-    margin = 3.0 / SKETCH_ACCURACY
-    v = F.col("_v")
-    rows = df.select(F.struct(group).alias("_g"), F.col(value).cast("double").alias("_v"), F.col(value).alias("_raw"))
-    points = [0.5] if approximate else [0.5 - margin, 0.5 + margin]
-    summary = rows.groupBy("_g").agg(
-        F.avg(v).alias("mean"),
-        F.count(v).alias("count"),
-        F.min("_raw").alias("min"),
-        F.max("_raw").alias("max"),
-        F.percentile_approx(v, points, SKETCH_ACCURACY).alias("_b"),
-    )
+    raw = F.col("raw_")
+    rows = df.select(F.struct(F.col(group).alias("key")).alias("g_"), F.col(value).cast("double").alias("v_"), F.col(value).alias("raw_"))
     if approximate:
-        done = summary.withColumn("median", F.get("_b", F.lit(0)))
+        middle = F.percentile_approx("v_", 0.5, SKETCH_ACCURACY)
+        done = rows.groupBy("g_").agg(F.avg("v_").alias("mean"), middle.alias("median"), F.count("v_").alias("count"),
+                                      F.min(raw).alias("min"), F.max(raw).alias("max"))
     else:
-        summary = settle(summary)
-        done = summary.join(_exact_medians(rows, summary), "_g", "left")
-    return done.select(F.col(f"_g.{group}").alias(group), "mean", "median", "count", "min", "max")
-
-
-def _exact_medians(rows: DataFrame, summary: DataFrame) -> DataFrame:
-    bracket = summary.filter("count > 0").select(
-        "_g", F.col("count").alias("_total"), F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi")
-    )
-    v, place = F.col("_v"), F.col("_place")
-    tally = (
-        join_lookup(rows.select("_g", "_v").filter(v.isNotNull()), bracket, "_g", "inner")
-        .withColumn("_place", F.when(v < F.col("_lo"), -1).when(v > F.col("_hi"), 1).otherwise(0))
-        .groupBy("_g", "_total", "_place", F.when(place == 0, v).alias("_v"))
-        .agg(F.count("*").alias("_n"))
-    )
-    running = Window.partitionBy("_g").orderBy("_place", "_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = tally.withColumn("_upto", F.sum("_n").over(running))
-
-    def at(position: Column) -> Column:
-        here = (F.col("_upto") - F.col("_n") < position) & (F.col("_upto") >= position)
-        outside = F.raise_error(F.lit("median outside its bracket")).cast("double")
-        return F.max(F.when(here, F.when(place == 0, v).otherwise(outside)))
-
-    middle = (at(F.floor((F.col("_total") + 1) / 2)) + at(F.floor((F.col("_total") + 2) / 2))) / 2
-    return ranked.groupBy("_g").agg(middle.alias("median"))
+        tally = settle(code_counts(rows, F.sum("v_").alias("sum_"), F.min(raw).alias("least_"), F.max(raw).alias("most_")))
+        summary = tally.groupBy("g_").agg((F.sum("sum_") / F.nullif(F.sum("n_"), F.lit(0))).alias("mean"), F.sum("n_").alias("count"),
+                                          F.min("least_").alias("min"), F.max("most_").alias("max"))
+        medians = exact_medians(rows, summary.select("g_", F.col("count").alias("n_")), tally)
+        done = join_lookup(summary, medians, "g_", "left")
+    return done.select(F.col("g_.key").alias(group), "mean", "median", "count", "min", "max")
+
+
+def exact_medians(rows: DataFrame, sizes: DataFrame, tally: DataFrame | None = None) -> DataFrame:
+    """(``g_``, ``median``) of rows (``g_``, ``v_``); ``sizes`` is (``g_``, ``n_``), the values of each group."""
+    middles = F.array(F.floor((F.col("n_") + 1) / 2), F.floor((F.col("n_") + 2) / 2))
+    wanted = sizes.filter("n_ > 0").select("g_", F.posexplode(middles).alias("at_", "rank_"))
+    found = order_statistics(rows, wanted, tally)
+    # Halved before they are added, so that two great values stay finite.
+    both = F.min("value_") / 2 + F.max("value_") / 2
+    return found.groupBy("g_").agg(F.when(F.min("value_") == F.max("value_"), F.min("value_")).otherwise(both).alias("median"))
 
 
 def share_of_total(df: DataFrame, *keys: str) -> DataFrame:

@@ -21,8 +21,8 @@ from tallywing.sources.sinks import materialize, write_csv, write_key_value, wri
 
 
 def clean_job(spark: SparkSession, data_dir: str, out: str, **options) -> DataFrame:
-    """Raw CSV folder to the cleaned table at ``out``, built only when it is not there yet."""
-    return materialize(spark, out, lambda: clean_feedback(read_feedback(spark, data_dir), **options))
+    """Raw CSV folder to the cleaned table at ``out``, built only when the files or the options are others than last time."""
+    return materialize(spark, out, lambda: clean_feedback(read_feedback(spark, data_dir), **options), [data_dir], options)
 
 
 def reasons_job(cleaned: DataFrame, out: str, n: int = 5) -> None:

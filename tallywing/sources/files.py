@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from tallywing.operators.joins import join_lookup
+from tallywing.operators.naming import free
 from tallywing.session import settle
+from tallywing.sources.headers import read_by_header
 from tallywing.sources.schemas import CITIES_SCHEMA, CODES_SCHEMA, COUNTRIES_SCHEMA, RAW_SCHEMA, TYPED_SCHEMA
 
 # How the feedback files quote, and the combined file that repeats the others.
@@ -35,22 +37,25 @@ def read_feedback(
     corrupt_column: str | None = None,
     header: bool = True,
     pattern: str = "*.csv",
+    file_column: str | None = None,
 ) -> DataFrame:
-    """All feedback CSV files of a folder in one scan, without the combined file.
+    """All feedback CSV files of a folder, without the combined file.
 
-    Header names are checked against the schema. A blank field is null. With ``corrupt_column`` a row that does not fit is
-    kept there as text (see :func:`valid_rows`); else its unreadable fields are null.
+    Columns are found by the names in each file's header, in any order and case; a name that a header lacks is an error,
+    other columns are left out. Without ``header`` the schema's order counts. A blank field is null. With
+    ``corrupt_column`` a row that does not fit is kept there as text (see :func:`valid_rows`); else its unreadable
+    fields are null. ``file_column`` adds the name of the row's file.
     """
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    reader = spark.read.options(**{**CSV_OPTIONS, "header": header, "pathGlobFilter": pattern})
+    hint = "a folder of feedback CSV files"
+    if header:
+        return _load(lambda: read_by_header(spark, path, fields, CSV_OPTIONS, pattern, [COMBINED_FILE], corrupt_column, file_column), path, hint)
+    reader = spark.read.options(**{**CSV_OPTIONS, "header": False, "pathGlobFilter": pattern})
     if corrupt_column:
-        # Spark cannot check headers against a schema that also holds the column for bad rows.
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("mode", "PERMISSIVE")
         fields = StructType(fields.fields).add(corrupt_column, StringType())
-    else:
-        reader = reader.option("enforceSchema", False)
-    table = _load(lambda: reader.schema(fields).csv(path), path, "a folder of feedback CSV files")
-    return table.filter(F.col("_metadata.file_name") != COMBINED_FILE)
+    table = _load(lambda: reader.schema(fields).csv(path), path, hint).filter(F.col("_metadata.file_name") != COMBINED_FILE)
+    return table.withColumn(file_column, F.col("_metadata.file_name")) if file_column else table
 
 
 def valid_rows(df: DataFrame, corrupt_column: str) -> DataFrame:
@@ -58,15 +63,16 @@ def valid_rows(df: DataFrame, corrupt_column: str) -> DataFrame:
     return df.filter(F.col(corrupt_column).isNull()).drop(corrupt_column)
 
 
-def rows_per_file(df: DataFrame) -> DataFrame:
-    """(file_name, rows) of a table read from files; one job for all files."""
-    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("rows"))
+def rows_per_file(df: DataFrame, file_column: str = "file_name") -> DataFrame:
+    """(file_name, rows) of a table read with ``file_column``; one job for all files."""
+    return df.groupBy(F.col(file_column).alias("file_name")).agg(F.count("*").alias("rows"))
 
 
-def read_typed(spark: SparkSession, path: str, schema: str = TYPED_SCHEMA) -> DataFrame:
-    """A CSV whose timestamps parse while reading."""
-    reader = spark.read.options(**CSV_OPTIONS, timestampFormat=TYPED_TIME_FORMAT).schema(schema)
-    return _load(lambda: reader.csv(path), path, "a cleaned CSV with typed timestamps")
+def read_typed(spark: SparkSession, path: str, schema: str | StructType = TYPED_SCHEMA) -> DataFrame:
+    """A CSV whose timestamps parse while reading; columns are found by name."""
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    options = {**CSV_OPTIONS, "timestampFormat": TYPED_TIME_FORMAT}
+    return _load(lambda: read_by_header(spark, path, fields, options), path, "a cleaned CSV with typed timestamps")
 
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -81,25 +87,23 @@ def read_strings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_mixed_encodings(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """CSV files that are UTF-8, or else ISO-8859-1, decided per file.
+    """CSV files that are UTF-8, or else ISO-8859-1, decided per file, without the combined file; columns are found by name.
 
     ISO-8859-1 maps every byte to one character and back, so one scan reads all files without loss;
     the text of files whose every line is valid UTF-8 is decoded afterwards. No file is held whole.
     """
-    latin = "ISO-8859-1"
-    raw = spark.read.options(**CSV_OPTIONS, encoding=latin, pathGlobFilter="*.csv").schema(schema)
-    table = _load(lambda: raw.csv(path), path, "a folder of CSV files")
-    table = table.select("*", F.col("_metadata.file_path").alias("_file"))
-    lines = spark.read.options(pathGlobFilter="*.csv").text(path)
-    utf8 = settle(
-        lines.groupBy(F.col("_metadata.file_path").alias("_file"))
-        .agg(F.bool_and(F.is_valid_utf8("value")).alias("_utf8"))
-    )
-    marked = join_lookup(table, utf8, "_file", "left")
+    latin, fields = "ISO-8859-1", StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    (file,) = free(fields.names, "file")
+    options = {**CSV_OPTIONS, "encoding": latin}
+    table = _load(lambda: read_by_header(spark, path, fields, options, skip=[COMBINED_FILE], file_column=file), path, "a folder of CSV files")
+    lines = spark.read.options(pathGlobFilter="*.csv").text(path).filter(F.col("_metadata.file_name") != COMBINED_FILE)
+    (flag,) = free([*fields.names, file], "utf8")
+    utf8 = settle(lines.groupBy(F.col("_metadata.file_name").alias(file)).agg(F.bool_and(F.is_valid_utf8("value")).alias(flag)))
+    marked = join_lookup(table, utf8, file, "left")
     return marked.select(*[
-        F.when(F.col("_utf8"), F.encode(f.name, latin).cast("string")).otherwise(F.col(f.name)).alias(f.name)
+        F.when(F.col(flag), F.encode(f.name, latin).cast("string")).otherwise(F.col(f.name)).alias(f.name)
         if isinstance(f.dataType, StringType) else F.col(f.name)
-        for f in table.drop("_file").schema
+        for f in fields
     ])
 
 
