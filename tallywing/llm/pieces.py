@@ -84,8 +84,8 @@ class PieceModel:
                 self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         self.lines = "\n" not in self.alphabet
-        self.recent: dict[str, np.ndarray] = {}
-        self.older: dict[str, np.ndarray] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _merged(self, token: int):
         """First and last character of a token and its merges in their order, each with the token's ends after it.
@@ -144,8 +144,8 @@ class PieceModel:
                     last[end + 1] = token
         return last
 
-    def segment(self, text: str) -> np.ndarray:
-        """Ids of a text that is cut from its surroundings by the rules above."""
+    def segment(self, text: str) -> bytes:
+        """Ids (native 32-bit) of a text that is cut from its surroundings by the rules above."""
         ids: list[int] = []
         start = 0
         while start < len(text):
@@ -167,55 +167,53 @@ class PieceModel:
                 ids += self._spelled(text[stop])
                 stop += 1
             start = stop
-        return np.array(ids, dtype=np.int32)
+        return np.array(ids, dtype=np.int32).tobytes()
 
     def _spelled(self, char: str) -> list[int]:
         spelled = [self.bytes[b] for b in char.encode("utf-8", "replace")]
         return [self.unknown] if None in spelled else spelled
 
-    def _known(self, segment: str) -> np.ndarray:
-        ids = self.older.get(segment)
+    def _known(self, part: str) -> bytes:
+        """Ids of a part of :meth:`encode`, from the older store or by a prefix table."""
+        ids = self.older.get(part)
         if ids is None:
-            ids = self.segment(segment)
-            if len(segment) > LONGEST:
+            ids = self.segment(part if part[:1] == "\n" and self.lines else SPACE + part)
+            if len(part) > LONGEST:
                 return ids
         if len(self.recent) >= SEGMENTS:
             self.older, self.recent = self.recent, {}
-        self.recent[segment] = ids
+        self.recent[part] = ids
         return ids
 
-    def segments(self, text: str) -> list[str]:
-        """The text with its blanks marked, cut before runs of marks and around line feeds."""
-        parts = (SPACE + text.replace(" ", SPACE)).split(SPACE)[1:]
+    def _spaced(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts some of which are empty: runs of blanks belong to the part behind them, unless a line ends there."""
         out, marks = [], 0
         for part in parts:
-            marks += 1
-            if part:
-                out.append(SPACE * marks + part)
+            ends = self.lines and part[:1] == "\n"
+            marks += not ends
+            if ends and marks:
+                out.append(self.segment(SPACE * marks))
+                marks = 0
+            if ends or part:
+                out.append(self.segment(SPACE * marks + part) if marks > 1 else self.recent.get(part) or self._known(part))
                 marks = 0
         if marks:
-            out.append(SPACE * marks)
-        if self.lines and "\n" in text:
-            out = [s for o in out for s in (self._cut(o) if "\n" in o else (o,))]
+            out.append(self.segment(SPACE * marks))
         return out
 
-    @staticmethod
-    def _cut(segment: str) -> list[str]:
-        pieces = segment.split("\n")
-        out = [pieces[0]]
-        for p in pieces[1:]:
-            out += ["\n", p]
-        return [p for p in out if p]
-
     def encode(self, text: str | None) -> np.ndarray:
+        """Ids of a text. It is cut at blanks and before line feeds; a part's own leading mark is not written out."""
         if not text:
             return np.zeros(0, dtype=np.int32)
-        recent, known = self.recent.get, self._known
-        out = []
-        for s in self.segments(text):
-            ids = recent(s)
-            out.append(known(s) if ids is None else ids)
-        return np.concatenate(out)
+        text = text.replace(SPACE, " ")
+        parts = (text.replace("\n", " \n") if self.lines else text).split(" ")
+        if "" in parts:
+            out = self._spaced(parts)
+        else:
+            out = list(map(self.recent.get, parts))
+            if None in out:
+                out = [self._known(p) if ids is None else ids for p, ids in zip(parts, out)]
+        return np.frombuffer(b"".join(out), dtype=np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: the first blank goes, bytes that are no character become one mark each."""
