@@ -18,7 +18,8 @@ from tallywing.plans.reasons import render_reasons, top_reasons
 from tallywing.plans.reports import country_heat, daily_pivot, sentiment_share
 from tallywing.plans.sentiment import classifier_accuracy, classify_feedback
 from tallywing.plans.trust import trust_by_channel
-from tallywing.session import settle, spread
+from tallywing.session import scratch_path, settle, spread
+from tallywing.sources.sinks import write_parquet
 
 
 def _work_time(key: str) -> str:
@@ -117,6 +118,52 @@ def clean_located(spark, sf):
     return cleaned.groupBy("tweet_location", "tweet_coord").agg(F.count("*").alias("n"))
 
 
+# Another key, NULL markers among the zones, the zone of all rows, mean retweets, and the trusted reason kept.
+OPTION_ZONE = "case when _unit_id % 9 < 4 then 'NULL' else user_timezone end"
+OPTIONS = f"""
+raw as (select {", ".join(f"{e} as {n}" for n, e in RAW.items())}
+        from documents left join labels using (doc_id) cross join (values (0), (1)) c(copy)),
+ded as (select * exclude (rn) replace ({OPTION_ZONE} as user_timezone) from (
+  select *, row_number() over (partition by text, _id order by _unit_id) rn from raw) where rn = 1),
+par as (select * replace (nullif(user_timezone, 'NULL') as user_timezone, nullif(airline, 'NULL') as airline,
+        replace(regexp_replace(text, '[\n\r\t]', ' ', 'g'), '"', '''') as text,
+        regexp_replace(negativereason_gold, '[\n\r\t]', ',', 'g') as negativereason_gold),
+        string_split_regex(negativereason_gold, '\r?\n|&') as parts from ded),
+zone as (select user_timezone as zone from par where user_timezone is not null group by 1 order by count(*) desc, 1 limit 1),
+mean as (select avg(retweet_count) as retweets from par)"""
+KEPT_OPTIONS = ("_region", "_city", "_tainted")
+
+
+def optional_feedback(spark, sf, watch=None):
+    raw = raw_feedback(spark, sf).withColumn("user_timezone", F.expr(OPTION_ZONE))
+    return clean_feedback(
+        raw, drop=KEPT_OPTIONS, line_break=" ", dedup_keys=("text", "_id"), null_columns=("airline", "user_timezone"), zone_by=None,
+        mean_retweets=True, reason_break=",", watch=watch)
+
+
+@query(f"""with {OPTIONS}
+select _unit_id, _id, airline, coalesce(user_timezone, zone) as user_timezone, sha256(text) as text, negativereason_gold,
+    coalesce(trim(parts[1]), negativereason, 'Unknown') as negativereason1, coalesce(trim(parts[2]), 'Unknown') as negativereason2,
+    round(coalesce(cast(retweet_count as double), retweets), 6) as retweet_count
+from par, zone, mean""")
+def clean_options(spark, sf):
+    return optional_feedback(spark, sf).select(
+        "_unit_id", "_id", "airline", "user_timezone", F.sha2("text", 256).alias("text"), "negativereason_gold", "negativereason1",
+        "negativereason2", r6("retweet_count").alias("retweet_count"))
+
+
+@query(f"""with {OPTIONS}
+select 'read' as step, (select count(*) from raw) as rows union all select 'kept', count(*) from ded
+union all select 'zones filled', count(*) filter (where user_timezone is null) from par union all select 'written', count(*) from ded""")
+def clean_accounting(spark, sf):
+    """Row counts of the cleaning steps, observed in the passes that write the cleaned table."""
+    watch = {}
+    written = write_parquet(optional_feedback(spark, sf, watch), scratch_path(spark, "cleaned"))
+    found = [("read", watch["read"].get["rows"]), ("kept", watch["kept"].get["rows"]),
+             ("zones filled", watch["filled"].get["zones"]), ("written", written)]
+    return spark.createDataFrame(found, "step string, rows long")
+
+
 @query(f"""with {CLEAN},
 v as (select airline, case when negativereason1 = 'Unknown' and negativereason2 <> 'NULL' then negativereason2 else negativereason1 end as reason
       from clean where not (airline in ('', 'NULL') or (negativereason1 in ('', 'NULL', 'Unknown') and negativereason2 in ('', 'NULL', 'Unknown')))),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from driver_queries.feedback import RAW, raw_feedback
 from driver_queries.registry import query, r6, table
 from tallywing.operators.ranking import top_per_group
-from tallywing.session import scratch_path
+from tallywing.session import scratch_path, settle
 from tallywing.sources.files import (
     read_country_codes,
     read_countries,
@@ -179,6 +181,37 @@ def materialize_once(spark, sf):
     return materialize(spark, path, never)
 
 
+@query("""
+select 'first' as build, o_orderpriority, count(*) as n from orders group by all
+union all select 'same', o_orderpriority, count(*) from orders group by all
+union all select 'options', o_orderpriority, count(*) from orders where o_orderstatus = 'F' group by all
+union all select 'inputs', o_orderpriority, 2 * count(*) from orders where o_orderstatus = 'F' group by all""")
+def materialize_changes(spark, sf):
+    """Reused while inputs and options are the same; built again when an option or an input file is another."""
+    source, path = scratch_path(spark, "orders"), scratch_path(spark, "summary")
+    orders = table(spark, sf, "orders").select("o_orderpriority", "o_orderstatus")
+    orders.write.parquet(source)
+    parts = []
+
+    def state(name, status, may_build=True):
+        def build():
+            if not may_build:
+                raise AssertionError("built without need")
+            rows = spark.read.parquet(source)
+            rows = rows.filter(F.col("o_orderstatus") == status) if status else rows
+            return rows.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+
+        found = materialize(spark, path, build, [source], {"status": status})
+        parts.append(settle(found.select(F.lit(name).alias("build"), "*")))
+
+    state("first", None)
+    state("same", None, may_build=False)
+    state("options", "F")
+    orders.write.mode("append").parquet(source)
+    state("inputs", "F")
+    return reduce(DataFrame.union, parts)
+
+
 @query("""
 with c as (select p_brand, p_type, count(*) n from part group by all),
 m as (select p_brand, n, max(p_type) p_type from c group by p_brand, n),

@@ -113,15 +113,11 @@ def drop_any_null(spark, sf):
 
 
 @query("""
-with r as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-    row_number() over (partition by l_orderkey, l_linenumber
-                       order by l_partkey, l_suppkey, l_quantity, l_extendedprice) rn from lineitem)
+with r as (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, l_quantity, l_extendedprice,
+    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) rn from lineitem)
 select * exclude (rn) from r where rn = 1""")
 def dedup_keys(spark, sf):
-    rows = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
-    )
-    return cleaning.dedup(rows, ["l_orderkey", "l_linenumber"])
+    return cleaning.dedup(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("select distinct * from (select * from lineitem union all select * from lineitem where l_quantity < 20)")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from driver_queries.registry import query, table
 from tallywing.functions.text import composite_key, split_composite_key, top_of_lists
 from tallywing.operators.cleaning import fill_global_mode, fill_group_mode
 from tallywing.operators.filters import in_domain, known_values, with_reason
-from tallywing.operators.ranking import most_common, most_common_per, top_lists, top_per_group
+from tallywing.operators.hooks import aggregate_with
+from tallywing.operators.ranking import counts, most_common, most_common_per, top_lists, top_per_group
 from tallywing.plans.countries import top_countries
 from tallywing.plans.reasons import render_reasons, top_reasons
 
@@ -37,11 +41,8 @@ with c as (select p_brand, p_type, count(*) n from part group by all),
 r as (select *, row_number() over (partition by p_brand order by n desc, p_type) rk from c)
 select p_brand, string_agg(p_type, '|' order by rk) as top_types from r where rk <= 3 group by p_brand""")
 def top_of_parallel_lists(spark, sf):
-    """The list form: parallel lists of values and counts, zipped, sorted and cut inside one row.
-
-    Only the best five of a group reach its lists, so a row stays small.
-    """
-    tally = top_per_group(table(spark, sf, "part"), "p_brand", "p_type", 5)
+    """The list form: parallel lists of all values of a group and their counts, zipped, sorted and cut inside one row."""
+    tally = counts(table(spark, sf, "part"), "p_brand", "p_type")
     pairs = tally.groupBy("p_brand").agg(F.collect_list(F.struct("p_type", "n")).alias("pairs"))
     best = top_of_lists(F.col("pairs.p_type"), F.col("pairs.n"), 3)
     return pairs.select("p_brand", F.concat_ws("|", best).alias("top_types"))
@@ -197,3 +198,33 @@ def fill_mode_by_group(spark, sf):
         "case when c_nationkey = 3 or c_custkey % 4 = 0 then null else c_mktsegment end as segment",
     )
     return fill_group_mode(rows, "c_nationkey", "segment")
+
+
+def _fold(state, frame):
+    state = Counter() if state is None else state
+    state.update(frame["p_type"].dropna())
+    return state
+
+
+def _merge(one, other):
+    one.update(other)
+    return one
+
+
+def _finish(state):
+    """One value for each count, the greatest, and the five largest counts."""
+    held = {}
+    for value, n in state.items():
+        held[n] = max(value, held.get(n, value))
+    best = sorted(held.items(), reverse=True)[:5]
+    return pd.DataFrame({"p_type": [v for _, v in best], "n": [n for n, _ in best], "rank": range(1, len(best) + 1)})
+
+
+@query("""
+with c as (select p_brand, p_type, count(*) n from part group by all),
+m as (select p_brand, n, max(p_type) p_type from c group by p_brand, n),
+r as (select *, row_number() over (partition by p_brand order by n desc) rk from m)
+select p_brand, p_type, n, cast(rk as bigint) as rank from r where rk <= 5""")
+def top_reasons_hook(spark, sf):
+    """The ranking as a user's own aggregation: states are folded where rows are read, then merged."""
+    return aggregate_with(table(spark, sf, "part"), "p_brand", ["p_type"], _fold, _merge, _finish, "p_type string, n long, rank long")

@@ -119,9 +119,40 @@ g as (select doc_id, word, case pos % 4 when 0 then 'n' when 1 then 'a' when 2 t
 select doc_id, floor(coalesce(sum(delta) / count(delta), 0) * 1e6 + 0.5e0) / 1e6 as score
 from g left join e using (word, p) group by doc_id""")
 def sentiment_tagged(spark, sf):
-    tokens = tokenize(documents(spark, sf), "doc_id", "text").selectExpr("doc_id", "word", f"{TAG} as tag")
+    tokens = tokenize(documents(spark, sf), "doc_id", "text").selectExpr("doc_id", "pos", "word", f"{TAG} as tag")
     scored_docs = tagged_scores(tokens, "doc_id", document_lexicon(settle(document_words(spark, sf))))
-    return scored_docs.withColumn("score", half_up(F.col("score")))
+    return scored_docs.select("doc_id", half_up(F.col("score")).alias("score"))
+
+
+# A word's entries are numbered senses; a second entry of the same part of speech comes first for words of odd length.
+FIRST_SENSE = "1 + length(word) % 2 * 2"
+OTHER_UP = "cast(length(word) * 5 % 8 as double) / 8"
+OTHER_DOWN = "cast(ascii(word) * 3 % 8 as double) / 8"
+
+
+@query(f"""with {SCORES},
+senses as (select word, pos as p, up, down, {FIRST_SENSE} as sense from lexicon
+           union all select word, {POS}, {OTHER_UP}, {OTHER_DOWN}, 2 from vocab_words),
+e as (select word, p, up - down as delta from senses where p in ('n', 'a', 'r')
+      qualify row_number() over (partition by word, p order by sense, up desc, down) = 1),
+g as (select doc_id, pos, tok.word, delta, length(tok.word) <= 2 as is_stop, tok.word in ({NEGATION_LIST}) as is_neg
+      from tok left join e on e.word = tok.word
+          and e.p = case pos % 4 when 0 then 'n' when 1 then 'a' when 2 then 'r' else 'v' end),
+seen as (select *, sum(is_neg::int) over (partition by doc_id order by pos) as c from g),
+first_of as (select *, coalesce(lag(c) over (partition by doc_id order by pos), 0) as before from seen where delta is not null and not is_neg),
+turned as (select doc_id, sum(case when (c - before) % 2 = 1 then -delta else delta end) / count(*) as negated from first_of group by doc_id)
+select g.doc_id, floor(coalesce(sum(delta) / count(delta), 0) * 1e6 + 0.5e0) / 1e6 as score,
+    floor(coalesce(sum(delta) filter (where not is_stop) / nullif(count(delta) filter (where not is_stop), 0), 0) * 1e6 + 0.5e0) / 1e6 as score_no_stop,
+    floor(coalesce(max(negated), 0) * 1e6 + 0.5e0) / 1e6 as score_negated
+from g left join turned using (doc_id) group by g.doc_id""")
+def sentiment_senses(spark, sf):
+    """Tagged tokens against a lexicon with several senses a word: plain, without stop words, and with negation."""
+    words = settle(document_words(spark, sf))
+    first = document_lexicon(words).withColumn("sense", F.expr(FIRST_SENSE))
+    other = words.selectExpr("word", f"{POS} as pos", f"{OTHER_UP} as pos_score", f"{OTHER_DOWN} as neg_score", "2 as sense")
+    tokens = tokenize(documents(spark, sf), "doc_id", "text").selectExpr("doc_id", "pos", "word", f"{TAG} as tag")
+    found = tagged_scores(tokens, "doc_id", first.unionByName(other), words.filter("length(word) <= 2"))
+    return found.withColumns({c: half_up(F.col(c)) for c in ("score", "score_no_stop", "score_negated")})
 
 
 WAYS = (("score", 0.1), ("score_no_stop", 0.1), ("score_negated", 0.1), ("score", 0.2), ("score", 0.05), ("compound", 0.05))
@@ -144,7 +175,7 @@ def sentiment_all(spark, sf):
 @query(f"""with {CLASSIFIED}
 select doc_id, {', '.join(f"cast(coalesce({c} = gold, false) as integer) as {c}_is_matching" for c in LABEL_COLUMNS)} from classified""")
 def sentiment_match_flags(spark, sf):
-    rows = add_labels(gold_documents(spark, sf), "doc_id", "text", document_vocabulary(spark, sf))
+    rows = add_labels(gold_documents(spark, sf), "text", document_vocabulary(spark, sf))
     return match_flags(rows, "gold").select("doc_id", *[f"{c}_is_matching" for c in LABEL_COLUMNS])
 
 
@@ -152,5 +183,5 @@ def sentiment_match_flags(spark, sf):
 {" union all ".join(f'''select '{c}' as classifier, count(*) filter (where {c} = gold) as matches, count(*) as total,
 round(cast(count(*) filter (where {c} = gold) as double) * 100 / count(*), 6) as accuracy from k''' for c in LABEL_COLUMNS)}""")
 def sentiment_accuracy(spark, sf):
-    rows = add_labels(gold_documents(spark, sf), "doc_id", "text", document_vocabulary(spark, sf))
+    rows = add_labels(gold_documents(spark, sf), "text", document_vocabulary(spark, sf))
     return accuracy(rows, "gold").withColumn("accuracy", r6("accuracy"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driver_queries.registry import query, r6, table
-from tallywing.operators import stats
+from tallywing.operators import distinct, stats
 from tallywing.operators.ranking import top_n
 from tallywing.plans import reports
 from tallywing.plans.trust import trust_by_channel
+from tallywing.session import settle
 
 
 def events(spark, sf):
@@ -121,3 +122,27 @@ from s join t using (p_brand)""")
 def group_profile(spark, sf):
     out = reports.group_profile(table(spark, sf, "part"), "p_brand", "p_retailprice", "p_type")
     return out.withColumns({"mean": r6("mean"), "median": r6("median"), "top_reasons": F.concat_ws("|", "top_reasons")})
+
+
+@query("""
+with days as (select distinct cast(ts as date) as d from events),
+spans as (select d as first_day, cast(d + interval 6 day as date) as last_day from days
+          union select min(d), max(d) from days),
+v as (select first_day, last_day, count(distinct event_id) as events, count(distinct user_id) as users
+      from spans join events on cast(ts as date) between first_day and last_day group by all)
+select strftime(first_day, '%Y-%m-%d') as first_day, strftime(last_day, '%Y-%m-%d') as last_day, events, users, true as near_events, true as near_users
+from v""")
+def distinct_over_spans(spark, sf):
+    """Distinct events and users of every week and of all days: counted from the rows, and merged from one sketch a day."""
+    rows = events(spark, sf)
+    days = rows.select(F.to_date("ts").alias("day")).distinct()
+    weeks = days.select(F.col("day").alias("first_day"), F.date_add("day", 6).alias("last_day"))
+    spans = settle(weeks.union(days.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))))
+    out = None
+    for value, name in (("event_id", "events"), ("user_id", "users")):
+        exact = distinct.exact_over(rows, spans, "ts", value).withColumnRenamed("values", name)
+        merged = distinct.distinct_over(settle(distinct.daily_sketches(rows, "ts", value)), spans)
+        near = (F.abs(F.col("values") - F.col(name)) <= F.col(name) * 0.05).alias(f"near_{name}")
+        both = exact.join(merged, ["first_day", "last_day"]).select("first_day", "last_day", name, near)
+        out = both if out is None else out.join(both, ["first_day", "last_day"])
+    return out.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("first_day", "last_day")})

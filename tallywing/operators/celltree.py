@@ -95,8 +95,7 @@ def _box_distance(x: Column, y: Column, cell: Column) -> Column:
 def _joined(rows: DataFrame, table: DataFrame, tree: CellTree, keys: Sequence[str], x: str, y: str) -> DataFrame:
     if tree.small:
         return rows.join(F.broadcast(table), list(keys), "inner")
-    # Written, because the rows are read to find hot cells and again to be joined.
-    return salted_join(stage(rows, "search"), table, keys, "inner", salt_by=[x, y])
+    return salted_join(rows, table, keys, "inner", salt_by=[x, y])
 
 
 def _hits(rows: DataFrame, tree: CellTree, x: str, y: str, payload: Sequence[str]) -> DataFrame:

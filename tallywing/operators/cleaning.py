@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywing.constants import UNKNOWN
 from tallywing.operators.joins import join_lookup
+from tallywing.operators.naming import free
 from tallywing.operators.ranking import most_common, most_common_per
 from tallywing.session import settle
 
@@ -36,8 +37,9 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] |
     Each task keeps one row per key before the shuffle, so many copies of one row cost nothing there.
     """
     order = order_by or [c for c in df.columns if c not in set(keys)] or [F.lit(1)]
-    ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.filter("_rn = 1").drop("_rn")
+    (place,) = free(df, "place_")
+    ranked = df.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter(F.col(place) == 1).drop(place)
 
 
 def dedup_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,9 +70,10 @@ def fill_group_mode(df: DataFrame, group: str, column: str, default: str = UNKNO
 
     Filling the column with a constant first would leave nothing to fill here.
     """
-    modes = settle(most_common_per(df, group, column).select(group, F.col(column).alias("_mode")))
+    (mode,) = free(df, "mode_")
+    modes = settle(most_common_per(df, group, column).select(group, F.col(column).alias(mode)))
     joined = join_lookup(df, modes, group, "left")
-    filled = F.coalesce(F.col(column), F.col("_mode"), F.lit(default))
+    filled = F.coalesce(F.col(column), F.col(mode), F.lit(default))
     return joined.withColumn(column, filled).select(*df.columns)
 
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywing.operators.naming import free
+from tallywing.session import stage
 
 #: Items that the summary holds, and those looked at. The count of an item is too large by at most 3.5 / ITEMS of the rows.
 ITEMS, HOT = 4096, 256
@@ -43,6 +44,12 @@ def heavy_hitters(df: DataFrame, keys: Sequence[str], parts: int | None = None)
     return {item.item: min(MAX_SALTS, -(-item["count"] // fair)) for item in row.top or [] if item["count"] > fair}
 
 
+def _costly(df: DataFrame) -> bool:
+    """Whether computing the table again takes more than a scan."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(step in plan for step in ("Join", "Aggregate", "Window", "MapIn", "Generate", "Sort", "FlatMap"))
+
+
 def salted_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, hot: dict[str, int] | None = None,
                 salt_by: Sequence[str] | None = None) -> DataFrame:
     """Shuffled join (``left`` or ``inner``) of a large table to a lookup on equally named keys.
@@ -53,6 +60,8 @@ def salted_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: s
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     keys = list(keys)
+    # The table is read to be measured and to be joined; what is more than a scan is written once for that.
+    facts = stage(facts, "facts") if _costly(facts) else facts
     hot = heavy_hitters(facts, keys) if hot is None else hot
     (salt,) = free([*facts.columns, *lookup.columns], "salt_")
     with_key, without = facts.filter(~_any_null(keys)), facts.filter(_any_null(keys))

@@ -10,6 +10,7 @@ from tallywing.functions.text import before_comma
 from tallywing.operators.filters import equals_ignoring_case, in_domain
 from tallywing.operators.joins import first_per_key, join_lookup, nearest_within
 from tallywing.operators.ranking import counts
+from tallywing.session import settle
 
 
 def city_codes(cities: DataFrame, countries: DataFrame) -> DataFrame:
@@ -45,7 +46,8 @@ def resolve_countries(
         locate(df, coord, location), targets, reach, target_id="_country_id", keep=["iso3"], how="left"
     )
     city = F.when(F.col("iso3").isNull(), before_comma(F.col(location)))
-    both = join_lookup(near.withColumn("city", city), city_codes(cities, countries), "city", "left")
+    # Rows with a country have no city here, and null keys take no part in the join's shuffle.
+    both = join_lookup(near.withColumn("city", city), settle(city_codes(cities, countries)), "city", "left")
     return (
         both.withColumn("iso3", F.coalesce("iso3", "code"))
         .filter(F.col("iso3").isNotNull())

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tallywing.constants import SENTIMENT_DROP
 from tallywing.operators.sentiment import accuracy, add_labels, match_flags
 from tallywing.plans.clean import clean_feedback
-from tallywing.session import spread, stage
 
 
 def classify_feedback(
@@ -15,13 +14,10 @@ def classify_feedback(
 ) -> DataFrame:
     """All cleaned rows, with six labels and six match flags; a filler in ``gold`` matches nothing.
 
-    Line breaks and tabs become ``line_break``, a blank, so that words on either side stay apart. The
-    cleaned table is written with its row number, so the number means the same row in the token pass
-    and in the join back.
+    Line breaks and tabs become ``line_break``, a blank, so that words on either side stay apart.
     """
     rows = clean_feedback(raw, drop=SENTIMENT_DROP, line_break=line_break)
-    numbered = spread(stage(rows.withColumn("_row", F.monotonically_increasing_id()), "cleaned"), "_row")
-    return match_flags(add_labels(numbered, "_row", "text", vocab), gold).drop("_row")
+    return match_flags(add_labels(rows, "text", vocab), gold)
 
 
 def classifier_accuracy(classified: DataFrame, gold: str = "airline_sentiment_gold") -> DataFrame:

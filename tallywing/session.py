@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(app: str = "tallywing", master: str | None = None, **conf: str) -> SparkSession:
@@ -82,3 +82,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def stage_by_task(df: DataFrame, name: str, task: str, row: str) -> DataFrame:
+    """Write ``df`` with two new key columns, bucketed by the first, without moving a row.
+
+    ``task`` is the number of the task that wrote the row and ``row`` its number there. All rows of a task go to one
+    bucket, so tables that are derived from this one by (``task``, ``row``) and grouped by it come without a shuffle, and
+    so does their join back to it. The table stands in the shared folder under a name of its own in the session's
+    catalog.
+
+    The session is told to accept, in joins too, a partitioning by some of the keys; Spark's default asks for all of
+    them and would move both sides. That changes plans, never rows.
+    """
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    number = F.monotonically_increasing_id()
+    marked = df.select("*", F.shiftright(number, 33).cast("int").alias(task), number.bitwiseAND(F.lit((1 << 33) - 1)).alias(row))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{re.sub('[^a-z0-9]', '_', name.lower())}_{uuid.uuid4().hex}"
+    marked.write.format("parquet").bucketBy(buckets, task).option("path", scratch_path(spark, name)).saveAsTable(table)
+    return spark.table(table)

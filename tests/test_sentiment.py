@@ -76,7 +76,7 @@ def test_labels_and_accuracy(table, vocab, rows):
         [(1, "good", "positive"), (2, "bad", "positive"), (3, "bad", None), (4, "bad", "Unknown"), (5, None, "negative")],
         "id int, text string, gold string",
     )
-    out = S.match_flags(S.add_labels(df, "id", "text", vocab), "gold")
+    out = S.match_flags(S.add_labels(df, "text", vocab), "gold")
     assert rows(out, "id", "sentiment", "sentiment_is_matching") == [
         (1, "positive", 1), (2, "negative", 0), (3, "negative", 0), (4, "negative", 0), (5, None, 0)
     ]
@@ -96,10 +96,51 @@ def test_user_classifier_skips_empty_texts(table, rows):
 
 def test_tagged_words_score_by_their_tag(table, rows):
     tokens = table(
-        [(1, "Fair", "JJ"), (1, "fair", "NN"), (2, "fair", "NNS"), (2, "good", "VB"), (3, "xyz", "DT")],
-        "id int, word string, tag string",
+        [(1, 0, "Fair", "JJ"), (1, 1, "fair", "NN"), (2, 0, "fair", "NNS"), (2, 1, "good", "VB"), (3, 0, "xyz", "DT")],
+        "id int, pos int, word string, tag string",
     )
-    assert rows(S.tagged_scores(tokens, "id", table(LEXICON, SCHEMA))) == [(1, (0.375 - 0.75) / 2), (2, -0.75), (3, 0.0)]
+    found = S.tagged_scores(tokens, "id", table(LEXICON, SCHEMA))
+    assert rows(found, "id", "score") == [(1, (0.375 - 0.75) / 2), (2, -0.75), (3, 0.0)]
+
+
+def test_tagged_negation_and_stop_words_by_the_left_to_right_rule(table):
+    rng, delta = random.Random(3), {"good": 1.0, "bad": -1.0, "the": 0.5}
+    texts = [[rng.choice([*NEGATIONS, "good", "bad", "the", "filler"]) for _ in range(rng.randint(1, 25))] for _ in range(120)]
+    lexicon = [(w, "a", max(d, 0.0), max(-d, 0.0)) for w, d in delta.items()] + [("not", "a", 1.0, 0.0)]
+    tokens = table([(i, p, w, "JJ") for i, t in enumerate(texts) for p, w in enumerate(t)], "id int, pos int, word string, tag string")
+    got = {r.id: r for r in S.tagged_scores(tokens, "id", table(lexicon, SCHEMA), table([("the",)], "word string")).collect()}
+    for i, text in enumerate(texts):
+        total, n, flag = 0.0, 0, False
+        for word in text:
+            if word in NEGATIONS:
+                flag = not flag
+            elif word in delta:
+                total, n, flag = total + (-delta[word] if flag else delta[word]), n + 1, False
+        assert got[i].score_negated == pytest.approx(total / n if n else 0.0)
+        kept = [{**delta, "not": 1.0}[w] for w in text if w in delta and w != "the" or w == "not"]
+        assert got[i].score_no_stop == pytest.approx(sum(kept) / len(kept) if kept else 0.0)
+
+
+def test_the_first_sense_counts(table, rows):
+    lexicon = table([("fair", "a", 1.0, 0.0, 2), ("fair", "a", 0.25, 0.5, 1), ("fair", "n", 1.0, 0.0, 1), ("odd", "n", 0.5, 0.0, 1), ("odd", "n", 0.5, 0.25, 1)],
+                    SCHEMA + ", sense int")
+    assert rows(S.vocabulary(lexicon), "word", "delta") == [("fair", 1.0), ("odd", 0.5)]
+    tokens = table([(1, 0, "fair", "JJ"), (2, 0, "odd", "NN")], "id int, pos int, word string, tag string")
+    assert rows(S.tagged_scores(tokens, "id", lexicon), "id", "score") == [(1, -0.25), (2, 0.5)]
+
+
+def test_labels_move_no_text(spark, table, vocab):
+    """From the scan of the texts to the joined rows there is no exchange, neither for tokens nor for the join back."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = table([(i, "good not bad " * 5, "x") for i in range(50)], "id int, text string, task_ string").repartition(3)
+        out = S.add_labels(df, "text", S.F.broadcast(vocab))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert out.columns == ["id", "text", "task_", *LABEL_COLUMNS] and out.count() == 50
+    assert "ShuffledHashJoin" in plan and "Bucketed: true" in plan
+    assert "Exchange hashpartitioning(_task_" not in plan and "Exchange hashpartitioning(task_" not in plan
 
 
 def test_tokens(table, rows):
