@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tallywing.sources import files, sinks
+from tallywing.sources import files, headers, sinks
 from tallywing.sources.schemas import RAW_SCHEMA
 
 SMALL = "id bigint, text string, n int"
@@ -14,15 +14,68 @@ def test_quoted_fields_and_combined_file(spark, rows, tmp_path):
     (tmp_path / "b.csv").write_text("id,text,n\n3,,3\n")
     (tmp_path / "combined_csv.csv").write_text("id,text,n\n9,all,9\n")
     (tmp_path / "notes.txt").write_text("not a table")
-    df = files.read_feedback(spark, str(tmp_path), SMALL)
-    assert rows(df) == [(1, "a, b", 1), (2, 'line\r\nbreak "q"', 2), (3, None, 3)]
+    df = files.read_feedback(spark, str(tmp_path), SMALL, file_column="file_name")
+    assert rows(df, "id", "text", "n") == [(1, "a, b", 1), (2, 'line\r\nbreak "q"', 2), (3, None, 3)]
     assert rows(files.rows_per_file(df)) == [("a.csv", 2), ("b.csv", 1)]
 
 
-def test_header_names_are_checked(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("id,n,text\n1,2,x\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        files.read_feedback(spark, str(tmp_path), SMALL).collect()
+def headed(tmp_path):
+    (tmp_path / "a.csv").write_text("id,text,n\n1,x,10\n")
+    (tmp_path / "b.csv").write_text("n,TEXT,Id\n20,y,2\n")
+    (tmp_path / "c.csv").write_bytes('\ufeffextra,"n",text,"id",more\r\n"p, q",30,"z\nz",3,\r\n'.encode())
+    (tmp_path / "d.csv").write_text('"two\nlines",id,n,text,id\n0,4,40,w,99\n')
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "combined_csv.csv").write_text("no,such,columns\n1,2,3\n")
+
+
+HEADED = [(1, "x", 10), (2, "y", 20), (3, "z\nz", 30), (4, "w", 40)]
+
+
+@pytest.mark.parametrize("apart", [True, False])
+def test_columns_are_found_by_name(spark, rows, tmp_path, monkeypatch, apart):
+    """Swapped, mixed-case, quoted, extra and repeated names; files that share a task give the same."""
+    headed(tmp_path)
+    if not apart:
+        monkeypatch.setattr(type(spark.conf), "set", lambda self, key, value: None)
+    groups = headers.read_headers(spark, str(tmp_path), skip=[files.COMBINED_FILE])
+    assert [(g.names, len(g.files)) for g in groups] == [
+        (("id", "text", "n"), 1), (("n", "TEXT", "Id"), 1), (("extra", "n", "text", "id", "more"), 1), (("two\nlines", "id", "n", "text", "id"), 1)]
+    assert rows(files.read_feedback(spark, str(tmp_path), SMALL)) == HEADED
+
+
+def test_columns_are_found_by_name_in_other_readers(spark, rows, tmp_path):
+    headed(tmp_path)
+    (tmp_path / "combined_csv.csv").unlink()
+    assert rows(files.read_typed(spark, str(tmp_path), SMALL)) == HEADED
+    assert rows(files.read_mixed_encodings(spark, str(tmp_path), SMALL)) == HEADED
+
+
+@pytest.mark.parametrize("corrupt", [None, "_bad"])
+def test_missing_names_are_an_error_that_names_the_file(spark, tmp_path, corrupt):
+    (tmp_path / "a.csv").write_text("id,text,n\n1,x,2\n")
+    (tmp_path / "b.csv").write_text("b,text,id\n1,x,2\n")
+    with pytest.raises(ValueError, match=r"missing columns \['n'\].*b\.csv"):
+        files.read_feedback(spark, str(tmp_path), SMALL, corrupt_column=corrupt)
+
+
+def test_bad_rows_with_swapped_headers(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text("n,text,id\n1,x,10\nmany,y,20\n3,z\n")
+    df = files.read_feedback(spark, str(tmp_path), SMALL, corrupt_column="_bad").cache()
+    assert rows(files.valid_rows(df, "_bad")) == [(10, "x", 1)]
+    assert rows(df.filter("_bad is not null"), "_bad") == [("3,z",), ("many,y,20",)]
+
+
+def test_one_header_is_one_scan(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.csv").write_text(f"text,id,n\nx,{i},1\n")
+    df = files.read_feedback(spark, str(tmp_path), SMALL)
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1 and df.count() == 5
+
+
+def test_a_folder_without_files_is_empty(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    df = files.read_feedback(spark, str(tmp_path), SMALL, corrupt_column="_bad", file_column="f")
+    assert df.columns == ["id", "text", "n", "_bad", "f"] and df.count() == 0
 
 
 def test_rows_that_do_not_fit_are_reported(spark, rows, tmp_path):
@@ -102,6 +155,81 @@ def test_materialize_builds_once_and_again_after_an_unfinished_write(spark, tabl
     assert built == [1]
 
 
+def test_materialize_follows_options_inputs_and_schema(spark, table, rows, tmp_path):
+    path, source = str(tmp_path / "table"), tmp_path / "in"
+    source.mkdir()
+    (source / "a.csv").write_text("1")
+    built = []
+
+    def build(value):
+        def run():
+            built.append(value)
+            return table([(value,)], "i int")
+        return run
+
+    def call(value, **options):
+        return rows(sinks.materialize(spark, path, build(value), [str(source)], options))
+
+    assert call(1, a=1) == [(1,)] and call(2, a=1) == [(1,)] and built == [1]
+    assert call(3, a=2) == [(3,)] and call(4, a=2) == [(3,)]
+    (source / "b.csv").write_text("2")
+    assert call(5, a=2) == [(5,)]
+    table([(9, 9)], "i int, j int").write.mode("overwrite").parquet(str(tmp_path / "other"))
+    for part in (tmp_path / "table").glob("*.parquet"):
+        part.unlink()
+    for part in (tmp_path / "other").glob("*.parquet"):
+        part.rename(tmp_path / "table" / part.name)
+    assert call(6, a=2) == [(6,)]
+    assert not list(tmp_path.glob(".table*"))
+
+
+def test_a_failed_build_keeps_the_former_table(spark, table, rows, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.materialize(spark, path, lambda: table([(1,)], "i int"), options={"a": 1})
+    broken = table([(1,)], "i int").select(F.raise_error(F.lit("lost")).alias("i"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.materialize(spark, path, lambda: broken, options={"a": 2})
+    assert rows(spark.read.parquet(path)) == [(1,)]
+
+
+@pytest.mark.parametrize("write", [sinks.write_parquet, sinks.write_csv])
+def test_a_failed_write_keeps_the_former_table(spark, table, rows, tmp_path, write):
+    path = str(tmp_path / "out")
+    assert write(table([(1, "a"), (2, "b")], "i int, t string"), path) == 2
+    before = sorted(p.name for p in (tmp_path / "out").iterdir())
+    broken = table([(i, "x") for i in range(20)], "i int, t string").repartition(4).withColumn(
+        "t", F.when(F.col("i") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("t")))
+    with pytest.raises(Exception, match="lost"):
+        write(broken, path)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == before
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    assert write(table([(3, "c")], "i int, t string"), path) == 1
+    read = spark.read.option("header", True).csv if write is sinks.write_csv else spark.read.parquet
+    assert [r.t for r in read(path).collect()] == ["c"]
+
+
+def test_a_table_may_be_replaced_by_its_own_rows(spark, table, rows, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_parquet(table([(1,), (2,)], "i int"), path)
+    sinks.write_parquet(spark.read.parquet(path).filter("i > 1"), path)
+    assert rows(spark.read.parquet(path)) == [(2,)]
+
+
+def test_a_cut_off_switch_is_put_back(spark, table, rows, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_parquet(table([(1,)], "i int"), path)
+    (tmp_path / "out").rename(tmp_path / ".out.former")
+    assert sinks.recover(spark, path) and rows(spark.read.parquet(path)) == [(1,)]
+    assert not sinks.recover(spark, path)
+
+
+def test_observed_counts(spark, table, tmp_path):
+    seen, watch = sinks.observed(table([(1,), (None,)], "i int"), known=F.count("i"), rows=F.count(F.lit(1)))
+    assert sinks.write_parquet(seen, str(tmp_path / "out")) == 2
+    assert watch.get == {"known": 1, "rows": 2}
+    assert sinks.write_parquet(table([], "i int"), str(tmp_path / "none")) == 0
+
+
 def test_reports_to_the_driver_are_bounded(table):
     df = table([(i,) for i in range(5)], "i int")
     assert len(sinks.report_frame(df, max_rows=5)) == 5
