@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 CAPACITY, END, SMALLEST = 4096, 2, 64
-#: Words whose ids a Python worker remembers: those it met first, and as a second store the latest ones.
-REMEMBERED, LATEST = 600_000, 150_000
+#: Words whose ids a Python worker remembers in a store, before it becomes the older of two.
+GENERATION = 700_000
 SCHEMA = ("start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -43,20 +43,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first: dict[bytes, bytes] = {}
-        self.latest: dict[bytes, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[bytes]) -> None:
-        new = sorted(words)
-        for word, ids in zip(new, self._encode([w.decode() for w in new])):
-            if len(self.first) < REMEMBERED:
-                self.first[word] = ids
-            else:
-                self.latest[word] = ids
-
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, bytes]:
         """The word and its closing punctuation, which is split off only after a letter."""
@@ -65,28 +57,43 @@ class WordEncoder:
             return word, b""
         return bare, word[len(bare):]
 
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of new words; they and their parts are remembered."""
+        parts = {w: self._parts(w) for w in words}
+        known = {p: self.recent.get(p) or self.older.get(p) for pair in parts.values() for p in pair if p}
+        new = sorted(p for p, ids in known.items() if ids is None)
+        known.update(zip(new, self._encode([p.decode() for p in new])))
+        known.update({w: known[bare] + known[end] for w, (bare, end) in parts.items() if end})
+        self.recent.update(known)
+        return known
+
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""
-        if len(self.latest) > LATEST:
-            self.latest.clear()
+        if len(self.recent) > GENERATION:
+            self.older, self.recent = self.recent, {}
         raw = [(t or "").encode("utf-8", "replace") for t in texts]
         marked = [b"<|" in r for r in raw]
         split = [[] if m else r.lower().split() for r, m in zip(raw, marked)]
-        first, latest = self.first, self.latest
-        unknown = {w for ws in split for w in ws if w not in first and w not in latest}
-        parts = {w: self._parts(w) for w in unknown}
-        missing = {p for pair in parts.values() for p in pair if p and p not in first and p not in latest}
-        if missing:
-            self._learn(missing)
-        known = {w: b"".join(first.get(p) or latest.get(p) or b"" for p in pair) for w, pair in parts.items()}
+        recent, older, missing, found = self.recent, self.older, set(), []
+        for words in split:
+            ids = list(map(recent.get, words))
+            holes = [i for i, x in enumerate(ids) if x is None]
+            for i in holes:
+                x = older.get(words[i])
+                if x is None:
+                    missing.add(words[i])
+                else:
+                    recent[words[i]] = ids[i] = x
+            found.append((ids, holes))
+        known = self._learn(missing) if missing else {}
         out = []
-        for text, mark, ws in zip(texts, marked, split):
+        for text, mark, words, (ids, holes) in zip(texts, marked, split, found):
             if mark:
                 out.append(self._encode([text])[0])
                 continue
-            ids = [first.get(w) for w in ws]
-            if None in ids:
-                ids = [x if x is not None else known[w] if w in known else latest[w] for x, w in zip(ids, ws)]
+            for i in holes:
+                if ids[i] is None:
+                    ids[i] = known[words[i]]
             out.append(b"".join(ids))
         return out
 

@@ -2,8 +2,8 @@
 
 Every text becomes a vector of transformed statistics. For each language and source the minimum
 covariance determinant (MCD) estimate of centre and scatter is found by concentration steps: take the
-``CORE`` share of the rows with the smallest Mahalanobis distances, estimate again, repeat. A row is
-rejected when its distance from the reweighted estimate passes the cut-off.
+``CORE`` share of the rows with the smallest Mahalanobis distances, estimate again, repeat while the
+determinant of a group falls. A row is rejected when its distance from the reweighted estimate passes the cut-off.
 
 One step reads the vectors once: sums and cross products per (group, distance bucket) merge on the
 map side, and the buckets up to the one that holds the ``CORE`` share are added up. Vectors are
@@ -24,8 +24,8 @@ from tallywing.session import stage
 
 #: Share of a group that the determinant is taken over.
 CORE = 0.75
-#: Concentration steps; later ones no longer change the half on any of the test tables.
-STEPS = 5
+#: Concentration steps at most. They end as soon as no group's determinant falls any more.
+STEPS = 12
 #: Vectors that a group needs for an estimate of its own.
 MIN_GROUP = 100
 #: Share of a chi-square law with six degrees of freedom, its quantile, and the factor that makes
@@ -33,8 +33,6 @@ MIN_GROUP = 100
 CORE_FACTOR, REWEIGHT_CUT, REWEIGHT_FACTOR = 1.36, 14.45, 1.09
 #: Squared distance beyond which a row is rejected: 99.9 % quantile of that law.
 FAR = 22.46
-#: The distance in the SQL of ``op2_quality_rules``, which fixes the rows of that query only.
-CUT = 60.0
 #: Least standard deviation of each statistic, in thousandths: a group whose core never shows a
 #: symbol must not reject the first one.
 FLOORS = (400, 150, 60, 150, 150, 80)
@@ -154,6 +152,15 @@ select grp, {mean}, {cells} from (
   where upto - n < {CORE}e0 * total group by grp) m4_"""
 
 
+def better_sql(old: str, new: str) -> str:
+    """Of two estimates of a group the one with the smaller determinant, the old one among equals."""
+    determinant = " * ".join(f"l{i}{i}" for i in range(DIM))
+    keep = ", ".join(["grp", *(f"m{i}" for i in range(DIM)), *(f"l{i}{j}" for i, j in _PAIRS)])
+    return f"""
+select {keep} from (select *, row_number() over (partition by grp order by {determinant}, age) as place
+  from (select {keep}, 0 as age from {old} union all select {keep}, 1 as age from ({new}) n1_) n2_) n3_ where place = 1"""
+
+
 def grouped_sql(vec: str) -> str:
     """The group each vector is estimated with: language and source, the language, or all."""
     return f"""
@@ -179,15 +186,22 @@ def estimates(vec: DataFrame) -> DataFrame:
         return small(spark.sql(sql, **tables), name)
 
     estimate = run(factor_sql(diagonal_sql(start_sql().replace("from vec", "from {vec}"))), "start", vec=vec)
-    for step in range(STEPS + 1):
-        last = step == STEPS
-        inner = distance_sql("{vec}", "{estimate}", "v.grp")
-        sql = factor_sql(moments_sql(inner, f"d2 <= {REWEIGHT_CUT}e0" if last else None, REWEIGHT_FACTOR if last else CORE_FACTOR))
-        estimate = run(sql, "estimate", vec=vec, estimate=bounded(estimate.withColumnRenamed("grp", "grp2"), GROUPS))
+    inner = distance_sql("{vec}", "{estimate}", "v.grp")
+
+    def improved(sql: str) -> DataFrame:
+        return run(sql, "estimate", vec=vec, old=estimate, estimate=bounded(estimate.withColumnRenamed("grp", "grp2"), GROUPS))
+
+    concentrated = factor_sql(moments_sql(inner, None, CORE_FACTOR))
+    estimate = improved(concentrated)
+    for _ in range(STEPS - 1):
+        before, estimate = estimate, improved(better_sql("{old}", concentrated))
+        if estimate.exceptAll(before).isEmpty():
+            break
+    estimate = improved(factor_sql(moments_sql(inner, f"d2 <= {REWEIGHT_CUT}e0", REWEIGHT_FACTOR)))
     return small(groups.join(estimate, "grp"), "estimates")
 
 
-def judge(counted: DataFrame, estimate: DataFrame, cut: float = FAR) -> DataFrame:
+def judge(counted: DataFrame, estimate: DataFrame) -> DataFrame:
     """Add ``kept`` and the squared distance ``outlyingness`` (null without words) to counted rows."""
     spark = counted.sparkSession
     table = estimate.withColumnsRenamed({"lang_key": "lk_", "source_key": "sk_"}).drop("grp")
@@ -196,23 +210,23 @@ def judge(counted: DataFrame, estimate: DataFrame, cut: float = FAR) -> DataFram
         z = F.expr(f"(f{i} - m{i}{''.join(f' - l{i}{k} * z{k}_' for k in range(i))}) / l{i}{i}")
         df = df.withColumn(f"z{i}_", z)
     df = df.withColumn("outlyingness", F.expr(" + ".join(f"z{i}_ * z{i}_" for i in range(DIM))))
-    df = df.withColumn("kept", F.expr(f"not base_failed and coalesce(outlyingness <= {cut}, false)"))
+    df = df.withColumn("kept", F.expr(f"not base_failed and coalesce(outlyingness <= {FAR}, false)"))
     return df.drop("lk_", "sk_", *table.columns, *(f"z{i}_" for i in range(DIM)))
 
 
-def _verdicts(docs: DataFrame, keep: list[Column], text_col: str, lang_col: str, source_col: str, cut: float = FAR) -> DataFrame:
+def _verdicts(docs: DataFrame, keep: list[Column], text_col: str, lang_col: str, source_col: str) -> DataFrame:
     """``keep``, counts and verdict per row. Counts are written once, without the texts; all later steps read those."""
     rows = docs.select(*keep, F.col(text_col).alias("text_"), F.col(lang_col).alias("lang_"), F.col(source_col).alias("source_"))
     counted = with_keys(with_counts(rows, "text_"), "lang_", "source_").drop("text_", "lang_", "source_")
     counted = stage(counted, "counted")
     vectors = counted.filter("n_words > 0").select("lang_key", "source_key", *(f"f{i}" for i in range(DIM)))
-    return judge(counted, estimates(vectors), cut)
+    return judge(counted, estimates(vectors))
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                     source_col: str = "source", cut: float = FAR) -> DataFrame:
+                     source_col: str = "source") -> DataFrame:
     """One row per document: id, base counts, base verdict, ``kept`` and ``outlyingness``."""
-    judged = _verdicts(docs, [F.col(id_col).alias("id_")], text_col, lang_col, source_col, cut)
+    judged = _verdicts(docs, [F.col(id_col).alias("id_")], text_col, lang_col, source_col)
     return judged.select(F.col("id_").alias(id_col), *COUNTS, "base_failed", "kept", "outlyingness")
 
 

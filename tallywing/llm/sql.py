@@ -35,12 +35,13 @@ vec as (select doc_id, grp, f0, f1, f2, f3, f4, f5 from {vec} join groups using
         last = k == q.STEPS
         inner = q.distance_sql("vec", f"k{k}", "v.grp")
         moments = q.moments_sql(inner, f"d2 <= {q.REWEIGHT_CUT}e0" if last else None, q.REWEIGHT_FACTOR if last else q.CORE_FACTOR)
-        ctes.append(f"e{k + 1} as materialized ({q.factor_sql(moments)}), k{k + 1} as (select * rename (grp as grp2) from e{k + 1})")
+        step = q.factor_sql(moments) if last or not k else q.better_sql(f"e{k}", q.factor_sql(moments))
+        ctes.append(f"e{k + 1} as materialized ({step}), k{k + 1} as (select * rename (grp as grp2) from e{k + 1})")
     final = q.distance_sql("vec", f"k{q.STEPS + 1}", "v.doc_id")
     return f"""with {', '.join(ctes)}
 select c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 10 or 100 * n_repeat_words > 20 * n_words) as base_failed,
-       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and d2 <= {q.CUT} as kept
+       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and d2 <= {q.FAR} as kept
 from counted c left join ({final}) f using (doc_id)"""
 
 
