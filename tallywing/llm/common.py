@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallywing.session import stage
+from tallywing.session import scratch_path
+
+#: Bytes of a table in a broadcast's hash table, counted as its fixed columns and 40 a row, and its texts.
+BROADCAST_BYTES = 64 << 20
 
 
 def words(text: str) -> str:
@@ -27,16 +30,33 @@ def small(df: DataFrame, name: str) -> DataFrame:
     The files tell Spark the size, so a later join broadcasts it only below Spark's own bound and
     shuffles beyond it; a lost executor does not repeat the work behind it.
     """
-    return stage(df, name)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out.staged_path = path
+    return out
 
 
 def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a written table for broadcast when it was counted to have at most ``rows`` rows.
+    """Mark a written table for broadcast when it was counted to have at most ``rows`` rows and to fit 64 MB.
 
     Beyond that the join stays a shuffled one with the same result. Many small files would make Spark's
     own estimate from file sizes too large.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    width = 40 + 8 * len(df.columns)
+    texts = [F.octet_length(f.name) for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    size = F.coalesce(F.sum(sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(width))), F.lit(0))
+    n, held = df.agg(F.count("*"), size).first()
+    return F.broadcast(df) if n <= rows and held <= BROADCAST_BYTES else df
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables once all that was derived from them is written itself."""
+    for table in tables:
+        path = getattr(table, "staged_path", None)
+        if path:
+            at = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def free(df: DataFrame, *names: str) -> list[str]:

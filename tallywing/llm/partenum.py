@@ -36,10 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallywing.llm.common import bounded, row_key, small
+from tallywing.llm.common import bounded, release, row_key, small
 from tallywing.llm.graph import components
 
 WORDS = 5
@@ -49,8 +50,8 @@ NEED, OF = 80, 100
 BAND, PER_ELEMENT = 3, 0.32
 PAIRS_PER_ROW = 4
 COMPARED = "a long, b long, linked boolean, common long, size_a long, misses array<long>, besides array<long>"
-#: Rows (8 bytes of key each) up to which a list of signatures or documents is broadcast.
-LISTED = 4_000_000
+#: Rows up to which a list of documents is broadcast, and bytes of signatures that tasks get as one array.
+LISTED, ARRAY_BYTES = 1_000_000, 64 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 
@@ -153,14 +154,42 @@ def _set_id(s: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
 
 
-def candidates(sets: DataFrame) -> DataFrame:
-    """``set_``: sets that share a signature with a different set."""
+def _shared_signatures(sets: DataFrame) -> DataFrame:
+    """(``set_``, ``sig_``): signatures that more than one row has.
+
+    Their list is sent to the tasks as one sorted array if that takes at most ``ARRAY_BYTES``, else joined.
+    """
     rows = sets.select("set_", F.explode("sigs_").alias("sig_"))
     often = small(rows.groupBy("sig_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("sig_"), "often")
-    shared = rows.join(bounded(often, LISTED), "sig_").distinct()
-    members = small(shared, "members")
+    if 8 * often.count() > ARRAY_BYTES:
+        members = small(rows.join(often, "sig_").distinct(), "members")
+    else:
+        listed = sets.sparkSession.sparkContext.broadcast(np.sort(often.toArrow()["sig_"].to_numpy()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = listed.value
+            for batch in batches:
+                sigs, ends = batch.column("sigs_").values.to_numpy(), batch.column("sigs_").offsets.to_numpy()
+                names = np.repeat(batch.column("set_").to_numpy(), np.diff(ends))
+                sigs = sigs[ends[0] : ends[-1]]
+                at = np.searchsorted(known, sigs)
+                hit = known[np.minimum(at, len(known) - 1)] == sigs if len(known) else np.zeros(len(sigs), dtype=bool)
+                yield pa.RecordBatch.from_arrays([pa.array(names[hit]), pa.array(sigs[hit])], names=["set_", "sig_"])
+
+        found = sets.filter("set_ is not null").select("set_", "sigs_").mapInArrow(run, "set_ long, sig_ long")
+        members = small(found.distinct(), "members")
+        listed.unpersist()
+    release(often)
+    return members
+
+
+def candidates(sets: DataFrame) -> DataFrame:
+    """``set_``: sets that share a signature with a different set."""
+    members = _shared_signatures(sets)
     ends = members.groupBy("sig_").agg(F.min("set_").alias("lo_"), F.max("set_").alias("hi_")).filter("lo_ < hi_")
-    return small(members.join(ends.select("sig_"), "sig_").select("set_").distinct(), "candidates")
+    found = small(members.join(ends.select("sig_"), "sig_").select("set_").distinct(), "candidates")
+    release(members)
+    return found
 
 
 def refined(texts: DataFrame) -> DataFrame:
@@ -186,7 +215,9 @@ def refined(texts: DataFrame) -> DataFrame:
     step = f"cast(floor(ln(m_) / ln({OF / NEED})) as int)"
     out = shared.select("set_", "m_", F.size("shared_").alias("v_"), F.explode(rare).alias("s_"), F.expr(step).alias("step_"))
     out = out.select("set_", "m_", "v_", "s_", F.explode(F.expr("array(step_, step_ + 1)")).alias("step_"))
-    return small(out.select(F.xxhash64("s_.sig_", "step_").alias("sig_"), "set_", "m_", "v_"), "members")
+    members = small(out.select(F.xxhash64("s_.sig_", "step_").alias("sig_"), "set_", "m_", "v_"), "members")
+    release(signed, often)
+    return members
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -244,17 +275,20 @@ def _linked_by_hub(pairs: DataFrame, near: DataFrame) -> DataFrame:
     return both.withColumn("both_", common).filter(OF * F.col("both_") >= NEED * (sizes - F.col("both_"))).select("a", "b")
 
 
-def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``set_``, ``label_`` for the sets that link with another one; others are missing."""
+def set_components(docs: DataFrame, text_col: str, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """The documents (``key_``, ``id_``, ``n_``, ``set_``), and ``set_``, ``label_`` for sets that link with another one."""
     spark = docs.sparkSession
-    wanted = sets.select("set_", "key_").join(bounded(candidates(sets), LISTED), "set_")
+    signed = small(set_table(docs, id_col, text_col), "signed")
+    found = candidates(signed)
+    sets = small(signed.select("key_", "id_", "n_", "set_"), "sets")
+    release(signed)
+    wanted = sets.select("set_", "key_").join(bounded(found, LISTED), "set_")
     wanted = small(wanted.groupBy("set_").agg(F.min("key_").alias("key_")), "wanted")
     rows = docs.select(row_key(id_col, text_col).alias("key_"), F.col(text_col).alias("text_"))
     texts = small(rows.join(bounded(wanted, LISTED), "key_").dropDuplicates(["set_"]).select("set_", "text_"), "texts")
     members = refined(texts)
     live = _open(members, members.select("set_", F.col("set_").alias("label_")))
-    # How much a set shares with others: the hub order.
-    weight = small(live.groupBy("set_").agg(F.sum("size_").alias("weight_")), "weight")
+    release(members)
     compared = spark.createDataFrame([], COMPARED)
     labels = spark.createDataFrame([], "set_ long, label_ long")
     before = math.inf
@@ -264,8 +298,8 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
         rows_left, pairs_left = sizes.agg(
             F.coalesce(F.sum("n_"), F.lit(0)), F.coalesce(F.sum((F.col("n_") * F.col("n_") - F.col("same_")) / 2), F.lit(0))).first()
         if not rows_left:
-            return labels
-        last = pairs_left <= PAIRS_PER_ROW * rows_left or 2 * pairs_left > before
+            return sets, labels
+        last = before < math.inf and (pairs_left <= PAIRS_PER_ROW * rows_left or 2 * pairs_left > before)
         before = pairs_left
         if last:
             near = compared.filter("misses is not null").groupBy("b").agg(
@@ -285,8 +319,8 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
             links = compared.filter("linked").select("a", "b").unionAll(_linked_by_hub(pairs.filter("same_").select("a", "b"), near))
             pairs = pairs.filter("not same_").select("a", "b")
         else:
-            ranked = live.join(weight, "set_")
-            hubs = ranked.groupBy("sig_").agg(F.max(F.struct("weight_", "set_", "label_", "m_", "v_")).alias("hub_"))
+            # The hub shares most elements with others.
+            hubs = live.groupBy("sig_").agg(F.max(F.struct("v_", "m_", "set_", "label_")).alias("hub_"))
             hubs = small(hubs.select("sig_", F.col("hub_.set_").alias("hub_"), F.col("hub_.label_").alias("hub_label_"), F.col("hub_.m_").alias("m_b"), F.col("hub_.v_").alias("v_b")), "hubs")
             met = live.join(hubs, "sig_").filter("label_ != hub_label_ and " + _fit("", "b"))
             pairs = met.select(F.col("hub_").alias("a"), F.col("set_").alias("b")).distinct()
@@ -295,15 +329,15 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str, id_col: str)
         compared, links = compared.unionAll(new), links.unionAll(new.filter("linked").select("a", "b"))
         labels = small(components(links).select(F.col("node").alias("set_"), F.col("label").alias("label_")), "labels")
         if last:
-            return labels
+            return sets, labels
         left = live.join(hubs.select("sig_", F.col("hub_").alias("set_")), ["sig_", "set_"], "left_anti")
-        live = _open(left, labels)
+        spent, live = live, _open(left, labels)
+        release(spent, hubs)
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_shingles`` and ``component_id``, the least id reachable over links."""
-    sets = small(set_table(docs, id_col, text_col), "sets")
-    return _with_component(sets, set_components(docs, sets, text_col, id_col)).select(
+    return _with_component(*set_components(docs, text_col, id_col)).select(
         F.col("id_").alias(id_col), F.col("n_").alias("n_shingles"), F.col("component_").alias("component_id"))
 
 
@@ -319,8 +353,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows without shingles are no copies of each other and all stay.
     """
     names = docs.columns
-    sets = small(set_table(docs, id_col, text_col), "sets")
-    found = _with_component(sets, set_components(docs, sets, text_col, id_col))
+    sets, labels = set_components(docs, text_col, id_col)
+    found = _with_component(sets, labels)
     found = found.filter("n_ > 0")
     first = found.groupBy("label_").agg(F.min(F.struct(F.col("id_").isNull().alias("null_"), "id_", "key_")).alias("kept_"))
     gone = found.join(first, "label_").filter("key_ != kept_.key_")
