@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywing.session import scratch_path
@@ -50,13 +54,33 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if n <= rows and held <= BROADCAST_BYTES else df
 
 
+def as_array(df: DataFrame, column: str) -> Broadcast | None:
+    """A written table's whole numbers as one sorted array for all tasks, or None beyond ``BROADCAST_BYTES``."""
+    if 8 * df.count() > BROADCAST_BYTES:
+        return None
+    return df.sparkSession.sparkContext.broadcast(np.sort(df.select(column).toArrow()[column].to_numpy()))
+
+
+def within(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values a sorted array holds."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def release(*tables: DataFrame) -> None:
-    """Delete staged tables once all that was derived from them is written itself."""
+    """Delete staged tables once all that was derived from them is written itself.
+
+    Shuffle files go when Spark sees that no plan needs them; the collection asked for here lets it see that.
+    """
     for table in tables:
         path = getattr(table, "staged_path", None)
         if path:
             at = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def free(df: DataFrame, *names: str) -> list[str]:

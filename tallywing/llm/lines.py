@@ -1,112 +1,97 @@
 """Removal of repeated multi-line chunks with content-defined boundaries.
 
-Lines are hashed, a rolling hash over the last ``WINDOW`` line hashes chooses where a chunk ends, and so an
-inserted or deleted line moves boundaries only near itself. A chunk is taken into account when it has two
-lines with words. Chunks found more than once anywhere are compared byte by byte, their first occurrence
-(least id, then least hash of the text, then least line) stays, and the others are removed.
-
-Chunks of that kind have their boundaries a few lines apart, so the ends of a repeated passage and many short
-passages stay (``drop_repeated_chunks``; the SQL of ``op1_line_dedup`` fixes these chunks). For all of a passage
-``drop_repeated_runs`` makes every line with words a boundary: a chunk goes from one such line through the next,
-and chunks overlap, so every run of two or more repeated lines is found whole. The first place of each line
-with words always stays, as no chunk that holds it can have stood before.
-
-Counting reads hashes only; texts are shuffled once to cut out the candidate chunks and once to remove
-lines. A chunk that stands in a third of all rows is counted on the map side, and its rows meet one row
-of the other side in joins that Spark can split.
-
-Defined results: null text has one empty line and stays null; single lines are never removed; a row whose
-id and text both repeat is one document and each copy of the row gets the same text; a null id sorts first;
-a chunk that overlaps its own first occurrence (one line many times in a row) is not counted as another; an empty table gives no rows; columns of the input keep their values, whatever their names.
+A rolling hash over the hashes of two neighbouring lines with words (blank lines between them belong to the window)
+moves line by line through every text. Where it takes a value that stands anywhere else, too, a chunk goes on; where
+it does not, the chunk ends. Boundaries thus depend on the lines next to them alone: inserted or deleted lines move none
+elsewhere, and a repeated passage is one chunk from its first line to its last, however short.
+
+Windows that were met more than once are compared byte by byte. Of equal windows the first (least id, then least hash of
+the text, then least line) stays; the others are removed, but for lines that a first one holds. So every repeated
+line pair stands once in what is left: a first occurrence is never cut by a window that overlaps it.
+
+Counting reads hashes only; texts are shuffled once to cut out candidate windows and once to remove lines. A
+window that stands in a third of all rows is counted on the map side, and its rows meet one row of the other side
+in joins that Spark can split.
+
+Defined results: null text has one empty line and stays null; single lines are never removed; of rows that repeat id and
+text (also with null ids) one is treated as above and the others lose everything from their first line with words to
+their last, if there are two; a null id sorts first; a window that overlaps its own first occurrence (one line many
+times in a row) is not counted as another; an empty table gives no rows; columns of the input keep their values,
+whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql import DataFrame, functions as F
+from tallywing.llm.common import release, row_key, small
 
-from tallywing.llm.common import row_key
-from tallywing.session import stage
-
-#: Line hashes below the rolling hash, the odds of a boundary, and the prime the hash is taken modulo.
-WINDOW, DIVISOR, PRIME = 3, 3, 2_147_483_647
-#: Powers of the base 1,000,003 modulo ``PRIME``.
-POWERS = tuple(pow(1_000_003, k, PRIME) for k in range(WINDOW))
 WORD = r"'[^ \\t-\\r]'"
+PLACES = "array<struct<first:int,n:int>>"
 
 
-def _with_chunks(df: DataFrame) -> DataFrame:
-    """Add ``lines_`` and ``chunks_`` (first line and number of lines of each chunk) to rows with ``text_``."""
-    rolling = " + ".join(f"({POWERS[k]} * coalesce(get(hashes_, i - {k}), 0L)) % {PRIME}" for k in range(WINDOW))
-    df = df.withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
-    df = df.withColumn("hashes_", F.expr(f"transform(lines_, l -> cast(conv(substring(md5(l), 1, 15), 16, 10) as bigint) % {PRIME})"))
-    df = df.withColumn("hits_", F.expr(f"transform(hashes_, (h, i) -> ({rolling}) % {PRIME} % {DIVISOR} = 0)"))
-    df = df.withColumn("ends_", F.expr(
-        "filter(sequence(0, size(hits_) - 1), i -> i = size(hits_) - 1 or (hits_[i] and not coalesce(get(hits_, i - 1), false)))"))
-    return df.withColumn("chunks_", F.expr(
-        "transform(ends_, (e, k) -> struct(coalesce(get(ends_, k - 1), -1) + 1 as first, e - coalesce(get(ends_, k - 1), -1) as n))"
-    )).drop("hashes_", "hits_", "ends_")
-
-
-def _with_pairs(df: DataFrame) -> DataFrame:
-    """Add ``lines_`` and ``chunks_``, which go from each line with words through the next one, to rows with ``text_``."""
+def _with_windows(df: DataFrame) -> DataFrame:
+    """Add ``lines_`` and ``windows_`` (first line, lines, rolling hash) to rows with ``text_``."""
     df = df.withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
     df = df.withColumn("worded_", F.expr(f"filter(sequence(0, size(lines_) - 1), i -> lines_[i] rlike {WORD})"))
-    return df.withColumn("chunks_", F.expr(
-        "transform(slice(worded_, 1, greatest(size(worded_) - 1, 0)), (w, k) -> struct(w as first, worded_[k + 1] - w + 1 as n))"
-    )).drop("worded_")
+    df = df.withColumn("hashes_", F.expr("transform(worded_, i -> xxhash64(lines_[i]))"))
+    # Two lines of one hash each; the blank lines between them are compared with the bytes.
+    rolled = f"xxhash64(hashes_[k], hashes_[k + 1], worded_[k + 1] - w)"
+    return df.withColumn("windows_", F.expr(
+        f"transform(slice(worded_, 1, greatest(size(worded_) - 1, 0)), (w, k) -> struct(w as first, worded_[k + 1] - w + 1 as n, {rolled} as hash))"
+    )).drop("worded_", "hashes_")
 
 
-def _chunks(df: DataFrame, *keep: str) -> DataFrame:
-    """One row per multi-line chunk: ``first``, ``n``, ``chunk_``."""
-    df = df.select(*keep, "lines_", F.explode(F.expr("filter(chunks_, c -> c.n >= 2)")).alias("c_"))
-    df = df.select(*keep, "c_.first", "c_.n", F.expr("slice(lines_, c_.first + 1, c_.n)").alias("part_"))
-    return df.filter(f"size(filter(part_, l -> l rlike {WORD})) >= 2").select(*keep, "first", "n", F.array_join("part_", "\n").alias("chunk_"))
-
-
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             with_chunks: Callable[[DataFrame], DataFrame] = _with_chunks) -> DataFrame:
-    """Per document key (see ``row_key``) the chunks to remove: ``key_``, ``gone_`` (first line, lines)."""
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document key (see ``row_key``) the windows to remove and those to leave: ``key_``, ``gone_``, ``stay_``."""
     base = docs.select(row_key(id_col, text_col).alias("key_"), F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    hashed = _chunks(with_chunks(base), "key_").select("key_", "first", "n", F.xxhash64("chunk_").alias("hash_"))
-    often = hashed.groupBy("hash_").agg(F.count("*").alias("times_")).filter("times_ > 1")
-    wanted = hashed.join(often, "hash_").groupBy("key_").agg(F.collect_set(F.struct("first", "n")).alias("chunks_"))
+    hashed = _with_windows(base).select("key_", F.explode("windows_").alias("w_")).select("key_", "w_.*")
+    often = hashed.groupBy("hash").agg(F.count("*").alias("times_")).filter("times_ > 1")
+    wanted = hashed.join(often, "hash").groupBy("key_").agg(F.collect_set(F.struct("first", "n")).alias("places_"))
     # The bytes: cut the candidates out of their texts once and write them.
     cut = base.join(wanted, "key_").withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
-    cut = stage(_chunks(cut, "key_", "id_"), "chunks")
-    first = cut.groupBy("chunk_").agg(F.min(F.struct("id_", "key_", "first")).alias("kept_"))
-    # Only chunks with a line in common with their first occurrence, or it itself, stay.
-    gone = cut.join(first, "chunk_").filter("key_ != kept_.key_ or first >= kept_.first + n")
-    return gone.groupBy("key_").agg(F.collect_set(F.struct("first", "n")).alias("gone_"))
+    chunk = F.expr("transform(places_, p -> struct(p.first as first, p.n as n, array_join(slice(lines_, p.first + 1, p.n), '\\n') as chunk_))")
+    cut = small(cut.select("key_", "id_", F.explode(chunk).alias("c_")).select("key_", "id_", "c_.*"), "windows")
+    first = cut.groupBy("chunk_").agg(F.min(F.struct("id_", "key_", "first")).alias("kept_"), F.count("*").alias("times_")).filter("times_ > 1")
+    met = cut.join(first, "chunk_").select(
+        "key_", F.struct("first", "n").alias("place_"), F.expr("key_ = kept_.key_ and first = kept_.first").alias("is_first_"),
+        # Only windows with a line in common with their first occurrence stay besides it.
+        F.expr("key_ != kept_.key_ or first >= kept_.first + n").alias("is_gone_"))
+    return met.filter("is_first_ or is_gone_").groupBy("key_").agg(
+        F.collect_set(F.when(F.col("is_gone_"), F.col("place_"))).alias("gone_"), F.collect_set(F.when(F.col("is_first_"), F.col("place_"))).alias("stay_"))
 
 
-def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with the repeated chunks cut out of its text, and a struct ``lines_report_``.
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", report_col: str | None = None) -> DataFrame:
+    """Every row of ``docs`` with all repeated runs of two or more lines with words cut out of its text.
 
-    The report has ``n_lines``, ``n_chunks``, ``n_removed_chunks``, ``n_removed_lines``.
+    ``report_col`` adds a struct of ``n_lines``, ``n_removed_lines`` and ``n_removed_runs``.
     """
     names = docs.columns
+    gone = small(removals(docs, id_col, text_col), "removals")
     rows = docs.select(F.struct(*(F.col(c) for c in names)).alias("row_"), row_key(id_col, text_col).alias("key_"), F.col(text_col).alias("text_"))
-    df = _with_chunks(rows.join(removals(docs, id_col, text_col), "key_", "left"))
-    df = df.withColumn("gone_", F.coalesce("gone_", F.expr("array()").cast("array<struct<first:int,n:int>>")))
-    # Chunks as single numbers: the difference of two such arrays takes linear time.
-    code = "transform({}, c -> c.first * 4294967296L + c.n)"
-    df = df.withColumn("kept_", F.expr(f"array_except({code.format('chunks_')}, {code.format('gone_')})"))
-    kept = F.expr("if(text_ is null or size(gone_) = 0, text_, array_join(flatten(transform(kept_, c -> slice(lines_, cast(c div 4294967296 as int) + 1, cast(c % 4294967296 as int)))), '\\n'))")
-    report = F.expr("struct(cast(size(lines_) as bigint) as n_lines, cast(size(chunks_) as bigint) as n_chunks,"
-                    " cast(size(gone_) as bigint) as n_removed_chunks, aggregate(gone_, 0L, (a, g) -> a + g.n) as n_removed_lines)")
-    df = df.select("row_", kept.alias("kept_text_"), report.alias("lines_report_"))
-    cols = [F.col("kept_text_").alias(c) if c == text_col else F.col(f"row_.`{c}`").alias(c) for c in names]
-    return df.select(*cols, "lines_report_")
-
-
-def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with all repeated runs of two or more lines with words cut out of its text."""
-    names = docs.columns
-    rows = docs.select(F.struct(*(F.col(c) for c in names)).alias("row_"), row_key(id_col, text_col).alias("key_"), F.col(text_col).alias("text_"))
-    df = rows.join(removals(docs, id_col, text_col, _with_pairs), "key_", "left")
-    df = df.withColumn("lines_", F.expr("if(gone_ is null, null, split(text_, '\\n', -1))"))
-    left = "array_except(sequence(0, size(lines_) - 1), flatten(transform(gone_, g -> sequence(g.first, g.first + g.n - 1))))"
-    kept = F.expr(f"if(gone_ is null, text_, array_join(transform({left}, i -> lines_[i]), '\\n'))").alias("kept_text_")
-    return df.select("row_", kept).select(*(F.col("kept_text_").alias(c) if c == text_col else F.col(f"row_.`{c}`").alias(c) for c in names))
+    df = _numbered(rows).join(gone, "key_", "left").withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
+
+    def covered(places: str) -> str:
+        return f"flatten(transform(coalesce({places}, cast(array() as {PLACES})), g -> sequence(g.first, g.first + g.n - 1)))"
+
+    # Of a row that is there again all that a window covers goes.
+    worded = f"filter(sequence(0, size(lines_) - 1), i -> lines_[i] rlike {WORD})"
+    df = df.withColumn("removed_", F.expr(
+        f"case when copy_ > 1 then aggregate(array({worded}), cast(array() as array<int>), (a, w) -> if(size(w) < 2, a, sequence(w[0], element_at(w, -1))))"
+        f" when gone_ is null then cast(array() as array<int>) else array_sort(array_except({covered('gone_')}, {covered('stay_')})) end"))
+    left = "array_except(sequence(0, size(lines_) - 1), removed_)"
+    kept = F.expr(f"if(text_ is null or size(removed_) = 0, text_, array_join(transform({left}, i -> lines_[i]), '\\n'))")
+    runs = "size(array_distinct(transform(removed_, (x, k) -> x - k)))"
+    report = F.expr(f"struct(cast(size(lines_) as bigint) as n_lines, cast(size(removed_) as bigint) as n_removed_lines, cast({runs} as bigint) as n_removed_runs)")
+    df = df.select("row_", kept.alias("kept_text_"), report.alias("report_"))
+    columns = [F.col("kept_text_").alias(c) if c == text_col else F.col(f"row_.`{c}`").alias(c) for c in names if c != report_col]
+    return df.select(*columns, *([F.col("report_").alias(report_col)] if report_col else []))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with ``copy_``: 1, 2, ... among rows of one key. Only keys that are there twice are shuffled."""
+    twice = small(rows.groupBy("key_").agg(F.count("*").alias("times_")).filter("times_ > 1").select("key_"), "twice")
+    if twice.isEmpty():
+        return rows.withColumn("copy_", F.lit(1))
+    copies = rows.join(twice, "key_", "left_semi").withColumn("copy_", F.row_number().over(Window.partitionBy("key_").orderBy(F.lit(1))))
+    return rows.join(twice, "key_", "left_anti").withColumn("copy_", F.lit(1)).unionByName(copies)

@@ -40,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallywing.llm.common import bounded, release, row_key, small
+from tallywing.llm.common import as_array, bounded, release, row_key, small, within
 from tallywing.llm.graph import components
 
 WORDS = 5
@@ -50,8 +50,8 @@ NEED, OF = 80, 100
 BAND, PER_ELEMENT = 3, 0.32
 PAIRS_PER_ROW = 4
 COMPARED = "a long, b long, linked boolean, common long, size_a long, misses array<long>, besides array<long>"
-#: Rows up to which a list of documents is broadcast, and bytes of signatures that tasks get as one array.
-LISTED, ARRAY_BYTES = 1_000_000, 64 << 20
+#: Rows up to which a list of documents is broadcast.
+LISTED = 1_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 
@@ -157,23 +157,21 @@ def _set_id(s: np.ndarray) -> int | None:
 def _shared_signatures(sets: DataFrame) -> DataFrame:
     """(``set_``, ``sig_``): signatures that more than one row has.
 
-    Their list is sent to the tasks as one sorted array if that takes at most ``ARRAY_BYTES``, else joined.
+    Their list is sent to the tasks as one sorted array while that is small, else joined.
     """
     rows = sets.select("set_", F.explode("sigs_").alias("sig_"))
     often = small(rows.groupBy("sig_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("sig_"), "often")
-    if 8 * often.count() > ARRAY_BYTES:
+    listed = as_array(often, "sig_")
+    if listed is None:
         members = small(rows.join(often, "sig_").distinct(), "members")
     else:
-        listed = sets.sparkSession.sparkContext.broadcast(np.sort(often.toArrow()["sig_"].to_numpy()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = listed.value
             for batch in batches:
                 sigs, ends = batch.column("sigs_").values.to_numpy(), batch.column("sigs_").offsets.to_numpy()
                 names = np.repeat(batch.column("set_").to_numpy(), np.diff(ends))
                 sigs = sigs[ends[0] : ends[-1]]
-                at = np.searchsorted(known, sigs)
-                hit = known[np.minimum(at, len(known) - 1)] == sigs if len(known) else np.zeros(len(sigs), dtype=bool)
+                hit = within(listed.value, sigs)
                 yield pa.RecordBatch.from_arrays([pa.array(names[hit]), pa.array(sigs[hit])], names=["set_", "sig_"])
 
         found = sets.filter("set_ is not null").select("set_", "sigs_").mapInArrow(run, "set_ long, sig_ long")

@@ -31,8 +31,8 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 @query(sql.LINES)
 def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What removing repeated multi-line chunks leaves of every document."""
-    df = lines.drop_repeated_chunks(documents(spark, sf).select("doc_id", "text"))
-    return df.select("doc_id", "lines_report_.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    df = lines.drop_repeated_runs(documents(spark, sf).select("doc_id", "text"), report_col="report")
+    return df.select("doc_id", "report.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 @query(sql.QUALITY)

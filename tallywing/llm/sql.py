@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywing.llm import licences, lines, quality as q, secrets
+from tallywing.llm import licences, quality as q, secrets
 
 
 def _quality() -> str:
@@ -47,23 +47,19 @@ from counted c left join ({final}) f using (doc_id)"""
 
 QUALITY = _quality()
 
-_ROLLING = " + ".join(
-    f"({p} * coalesce(lag(h, {k}) over d, 0)) % {lines.PRIME}" if k else "h" for k, p in enumerate(lines.POWERS))
-
-LINES = f"""with raw as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
-line as (select doc_id, unnest(ls) as l, unnest(range(len(ls))) as i, len(ls) as n from raw),
-hashed as (select *, ('0x' || substr(md5(l), 1, 15))::bigint % {lines.PRIME} as h from line),
-hit as (select *, ({_ROLLING}) % {lines.PRIME} % {lines.DIVISOR} = 0 as hit from hashed window d as (partition by doc_id order by i)),
-cut as (select *, hit and not coalesce(lag(hit) over (partition by doc_id order by i), false) as cut from hit),
-numbered as (select *, sum(case when cut then 1 else 0 end) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) as c from cut),
-chunk as (select doc_id, coalesce(c, 0) as c, min(i) as first, count(*) as n, string_agg(l, chr(10) order by i) as chunk,
-                 count(*) filter (where regexp_matches(l, '[^ \t\n\x0B\f\r]')) as worded from numbered group by all),
-ranked as (select *, n >= 2 and worded >= 2
-                  and row_number() over (partition by chunk, n >= 2 and worded >= 2 order by doc_id, first) > 1 as gone from chunk)
-select doc_id, sum(n)::bigint as n_lines, count(*)::bigint as n_chunks, count(*) filter (where gone)::bigint as n_removed_chunks,
-       coalesce(sum(n) filter (where gone), 0)::bigint as n_removed_lines,
-       sha256(coalesce(string_agg(chunk, chr(10) order by first) filter (where not gone), '')) as kept_sha256
-from ranked group by doc_id"""
+LINES = """with raw as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+line as (select doc_id, unnest(ls) as l, unnest(range(len(ls))) as i from raw),
+pair as (select doc_id, i as first, lead(i) over (partition by doc_id order by i) as last from line where regexp_matches(l, '[^ \t\n\x0B\f\r]')),
+cut as (select doc_id, first, last, array_to_string(ls[first + 1:last + 1], chr(10)) as chunk from pair join raw using (doc_id) where last is not null),
+ranked as (select *, count(*) over (partition by chunk) as times, first_value(doc_id) over o as doc_0, first_value(first) over o as first_0
+    from cut window o as (partition by chunk order by doc_id, first)),
+gone as (select doc_id, unnest(range(first, last + 1)) as i from ranked where times > 1 and (doc_id <> doc_0 or first > first_0 + last - first)
+    except select doc_id, unnest(range(first, last + 1)) from ranked where times > 1 and doc_id = doc_0 and first = first_0),
+marked as (select line.*, gone.i is not null as removed from line left join gone on gone.doc_id = line.doc_id and gone.i = line.i),
+runs as (select *, removed and not coalesce(lag(removed) over (partition by doc_id order by i), false) as starts from marked)
+select doc_id, count(*)::bigint as n_lines, count(*) filter (where removed)::bigint as n_removed_lines, count(*) filter (where starts)::bigint as n_removed_runs,
+       sha256(coalesce(string_agg(l, chr(10) order by i) filter (where not removed), '')) as kept_sha256
+from runs group by doc_id"""
 
 
 def _bench_words(table: str, key: str) -> str:

@@ -14,11 +14,11 @@ at equal distances. An anchor stands for a run of starts; its context is all the
    that (and all strings of the contexts at a range's ends) are counted by a 128-bit hash, which settles
    the bytes before the anchor.
 
-A range has about ``RANGE`` contexts: it can end between suffixes that agree for long, and between equal ones,
+A range has about ``RANGE`` contexts, and the sample for its bounds grows with the number of ranges: it can end between suffixes that agree for long, and between equal ones,
 which the hash of the context puts in an order (a passage after different text gives one context for each
 document, all with the same suffix). Strings leave a range in pieces. Defined results: null text is empty; texts shorter
-than ``LENGTH`` never change; a row that repeats id and text is one document once, so it is not its own copy;
-an empty table gives no rows.
+than ``LENGTH`` never change; rows that repeat are documents of their own, also under one id or null ids, so such a
+row of ``LENGTH`` bytes or more loses all of them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,13 +32,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from tallywing.llm.common import bounded, row_key, small
+from tallywing.llm.common import as_array, release, row_key, small, within
 
 LENGTH, WINDOW, GRAM = 400, 128, 24
 LEAST = LENGTH - WINDOW + 1
 RANGE, SAMPLE, RUN_BYTES, PIECE = 50_000, 4000, 24 << 20, 100_000
+#: Sampled suffixes for each range.
+PER_RANGE = 8
 #: Rows up to which lists of hashes or of places are broadcast.
 LISTED = 4_000_000
 _BASE = 0x9E3779B97F4A7C15
@@ -77,18 +80,35 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(row_key(id_col, text_col).alias("key_"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("data_"))
 
 
-def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every anchor: ``key_``, ``at_``, ``first_``, ``last_``, hash of the bytes that all its strings have, hash of its context."""
+def _heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of every anchor the hash of the bytes that all its strings have."""
     for batch in batches:
         for at in range(0, len(batch), 64):
-            out = []
-            for key, data in zip(batch["key_"].iloc[at : at + 64], batch["data_"].iloc[at : at + 64]):
-                data = bytes(data)
-                for a, lo, hi in zip(*(x.tolist() for x in anchors(data))):
-                    head = xxhash.xxh3_64_intdigest(data[a : a + LEAST])
-                    context = xxhash.xxh3_128_digest(data[lo : hi + LENGTH], seed=a - lo)
-                    out.append((key, a, lo, hi, head - (1 << 63), context))
-            yield pd.DataFrame(out, columns=["key_", "at_", "first_", "last_", "head_", "context_"])
+            heads = [_head(bytes(d), a) for d in batch["data_"].iloc[at : at + 64] for a in anchors(bytes(d))[0].tolist()]
+            yield pd.DataFrame({"head_": np.array(heads, dtype=np.int64)})
+
+
+def _head(data: bytes, a: int) -> int:
+    return xxhash.xxh3_64_intdigest(data[a : a + LEAST]) - (1 << 63)
+
+
+def _places(often: Broadcast | None):
+    """Every anchor, or those whose head is listed: ``key_``, ``at_``, ``first_``, ``last_``, ``head_``, hash of its context."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 64):
+                out = []
+                for key, data in zip(batch["key_"].iloc[at : at + 64], batch["data_"].iloc[at : at + 64]):
+                    data = bytes(data)
+                    places, first, last = anchors(data)
+                    heads = np.array([_head(data, a) for a in places.tolist()], dtype=np.int64)
+                    hit = np.ones(len(heads), dtype=bool) if often is None else within(often.value, heads)
+                    for a, lo, hi, head in zip(*(x[hit].tolist() for x in (places, first, last, heads))):
+                        out.append((key, a, lo, hi, head, xxhash.xxh3_128_digest(data[lo : hi + LENGTH], seed=a - lo)))
+                yield pd.DataFrame(out, columns=["key_", "at_", "first_", "last_", "head_", "context_"])
+
+    return run
 
 
 PLACES = "key_ long, at_ long, first_ long, last_ long, head_ long, context_ binary"
@@ -236,30 +256,35 @@ def _strings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``key_``, ``spans_``: maximal byte runs (first, stop) covered by repeated strings, per document that has any."""
     texts = _texts(docs, id_col, text_col)
-    places = texts.filter(f"length(data_) >= {LENGTH}").mapInPandas(_places, PLACES)
+    long = texts.filter(f"length(data_) >= {LENGTH}")
     # Repeated rows make some heads too many here; their places are told apart by key and place below.
-    often = small(places.groupBy("head_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("head_"), "heads")
-    live = small(places.join(bounded(often, LISTED), "head_").drop("head_"), "places")
+    heads = long.select("data_").mapInPandas(_heads, "head_ long").groupBy("head_").agg(F.count("*").alias("n_"))
+    often = small(heads.filter("n_ > 1").select("head_"), "heads")
+    listed = as_array(often, "head_")
+    places = long.mapInPandas(_places(listed), PLACES)
+    live = small((places.join(often, "head_") if listed is None else places).drop("head_"), "places")
+    release(often)
     one = F.struct("key_", "at_", "first_", "last_")
     contexts = live.groupBy("context_").agg(F.min(one).alias("one_"), F.max(one).alias("two_"))
     contexts = small(contexts.select("context_", "one_.*", (F.col("one_") != F.col("two_")).alias("twice_")), "contexts")
 
-    distinct = texts.dropDuplicates(["key_"])
+    distinct, lists_ = texts.dropDuplicates(["key_"]), []
 
     def with_data(some: DataFrame) -> DataFrame:
         """The documents of the places, with them; texts are shuffled only when the places are too many to send."""
-        lists = small(some.groupBy("key_").agg(F.collect_list(F.struct("at_", "first_", "last_", "context_")).alias("places_")), "lists")
+        lists_.append(lists := small(some.groupBy("key_").agg(F.collect_list(F.struct("at_", "first_", "last_", "context_")).alias("places_")), "lists"))
         return (texts.join(F.broadcast(lists), "key_") if some.count() <= LISTED // 4 else distinct.join(lists, "key_"))
 
     count = contexts.count()
     ranges = max(1, -(-count // RANGE))
-    step = max(1, count // SAMPLE)
+    step = max(1, count // max(SAMPLE, PER_RANGE * ranges))
     sample = with_data(contexts.filter(F.abs(F.xxhash64("context_")) % step == 0))
     picked = sorted((bytes(s), bytes(c)) for s, c in sample.mapInPandas(
-        lambda bs: (pd.DataFrame([i[:2] for i in _items([b])], columns=["s", "c"]) for b in bs), "s binary, c binary").collect())  # about SAMPLE suffixes
+        lambda bs: (pd.DataFrame([i[:2] for i in _items([b])], columns=["s", "c"]) for b in bs), "s binary, c binary").collect())
     runs = with_data(contexts).mapInPandas(_runs(range_bounds(picked, ranges)), "range_ int, run_ binary")
     strings = runs.groupBy("range_").applyInPandas(_strings, "string_ binary, context_ binary, o_ int")
     strings = small(strings.distinct(), "strings")  # a repeated row sends its contexts twice
+    release(*lists_)
     again = strings.groupBy("string_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("string_")
     offsets = strings.join(again, "string_").groupBy("context_").agg(F.collect_set("o_").alias("os_"))
     verdict = contexts.select("context_", "twice_").join(offsets, "context_", "left").filter("twice_ or os_ is not null")
@@ -271,7 +296,13 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         array_append(slice(a, 1, size(a) - 1), struct(element_at(a, -1).first as first, greatest(element_at(a, -1).stop, s.last + {LENGTH}) as stop)),
         array_append(a, struct(s.first as first, s.last + {LENGTH} as stop))))""")
     found = found.groupBy("key_").agg(F.sort_array(F.collect_set("s_")).alias("runs_"))
-    return small(found.select("key_", spans.alias("spans_")), "spans")
+    # A row that is there twice is covered whole by strings of the other one.
+    twice = small(long.groupBy("key_").agg(F.count("*").alias("n_"), F.first(F.length("data_")).alias("stop_")).filter("n_ > 1"), "twice")
+    whole = twice.select("key_", F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("stop_").cast("long").alias("stop"))).alias("spans_"))
+    found = found.select("key_", spans.alias("spans_")).join(twice.select("key_"), "key_", "left_anti")
+    found = small(found.unionByName(whole), "spans")
+    release(live, contexts, strings, twice)
+    return found
 
 
 def drop_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

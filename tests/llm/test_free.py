@@ -171,7 +171,12 @@ def test_suffix_dedup_edges(spark, edge):
     got = suffixes.drop_repeated_strings(edge)
     assert got.count() == edge.count()
     row = spark.createDataFrame([(1, "q" * 10 + "".join(map(str, range(500))))] * 2, "doc_id long, text string")
-    assert all(r.n_removed == 0 for r in suffixes.drop_repeated_strings(row).collect())  # one document, twice
+    assert all(r.n_removed == r.n_bytes > 400 and r.n_spans == 1 for r in suffixes.drop_repeated_strings(row).collect())
+    text, other = "".join(map(str, range(900, 1200))), "".join(map(str, range(300)))
+    rows = [(None, text), (None, text), (None, other), (3, other[:399]), (3, other[:399]), (4, text + "tail"), (None, None), (None, None)]
+    got = suffixes.drop_repeated_strings(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.n_bytes, r.n_removed) for r in got.collect()) == sorted(
+        [(len(text), len(text))] * 2 + [(len(other), 0), (399, 0), (399, 0), (len(text) + 4, len(text)), (0, 0), (0, 0)])
     assert suffixes.drop_repeated_strings(edge.limit(0)).count() == 0
 
 

@@ -13,34 +13,71 @@ def texts(df):
     return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
 
 
+def windows_of(text):
+    ls = text.split("\n")
+    worded = [i for i, x in enumerate(ls) if x.strip(" \t\n\x0b\x0c\r")]
+    return [(a, b, tuple(ls[a : b + 1])) for a, b in zip(worded, worded[1:])]
+
+
+def brute_runs(rows):
+    """Rows without lines of a window (a line with words through the next one) that stood before, but for first windows' lines."""
+    seen, times, out = {}, Counter(), []
+    for d, t in sorted(rows):
+        for a, b, window in windows_of(t):
+            seen.setdefault(window, (d, a, b))
+            times[window] += 1
+    for d, t in rows:
+        gone, stay = set(), set()
+        for a, b, window in windows_of(t):
+            if times[window] > 1:
+                if seen[window] == (d, a, b):
+                    stay.update(range(a, b + 1))
+                elif seen[window][0] != d or a > seen[window][2]:
+                    gone.update(range(a, b + 1))
+        kept = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone - stay)
+        out.append((d, kept if gone - stay else t))
+    return sorted(out, key=str)
+
+
 def test_line_chunks(spark, edge):
+    """A passage of forty lines between own lines goes whole from all texts but the first, whatever stands around it."""
     rng = random.Random(3)
     passage = "\n".join(f"line {i} of a shared passage {rng.random()}" for i in range(40))
     own = ["\n".join(f"own line {d} {i} {rng.random()}" for i in range(12)) for d in range(3)]
     rows = [(d, f"{t}\n{passage}\n{t[::-1]}") for d, t in enumerate(own)]
-    out = dict(texts(lines.drop_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"))))
+    out = dict(texts(lines.drop_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"))))
     assert out[0] == rows[0][1]
     for d in (1, 2):
-        left = out[d].split("\n")
-        assert [x for x in left if "own" in x or "nwo" in x] == [x for x in rows[d][1].split("\n") if "own" in x or "nwo" in x]
-        assert sum("shared" in x for x in left) <= 12  # boundaries need a few lines to meet again
-    same = lines.drop_repeated_chunks(edge)
-    assert same.columns == [*edge.columns, "lines_report_"] and texts(same) == texts(edge)
-    assert lines.drop_repeated_chunks(edge.limit(0)).count() == 0
+        assert out[d] == f"{own[d]}\n{own[d][::-1]}"
+    same = lines.drop_repeated_runs(edge, report_col="kept")
+    assert same.columns == [*(c for c in edge.columns if c != "kept"), "kept"] and texts(same) == texts(edge)
+    assert lines.drop_repeated_runs(edge.limit(0)).count() == 0
 
 
-def brute_runs(rows):
-    """Rows without the lines of every chunk (a line with words through the next one) that stood before."""
-    seen, out = {}, []
-    for d, t in sorted(rows):
-        ls, gone = t.split("\n"), set()
-        worded = [i for i, x in enumerate(ls) if x.strip()]
-        for a, b in zip(worded, worded[1:]):
-            first = seen.setdefault(tuple(ls[a : b + 1]), (d, b))
-            if first[0] != d or a > first[1]:
-                gone.update(range(a, b + 1))
-        out.append((d, "\n".join(x for i, x in enumerate(ls) if i not in gone)))
-    return sorted(out, key=str)
+def test_lines_lose_no_content(spark):
+    """A first occurrence is not cut by a window that overlaps it: every repeated line pair stands somewhere afterwards."""
+    def run(rows):
+        return dict(texts(lines.drop_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"))))
+
+    assert run([(1, "x1\na\nb"), (2, "a\nb\nc\nd"), (3, "b\nc")]) == {1: "x1\na\nb", 2: "b\nc\nd", 3: ""}
+    rng = random.Random(6)
+    rows = [(d, "\n".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 9)))) for d in range(40)]
+    pairs = Counter(p for _, t in rows for p in zip(t.split("\n"), t.split("\n")[1:]))
+    left = {p for t in run(rows).values() for p in zip(t.split("\n"), t.split("\n")[1:])}
+    assert {p for p, n in pairs.items() if n > 1} <= left and sum(len(t) for t in run(rows).values()) < sum(len(t) for _, t in rows)
+
+
+def test_lines_of_repeated_rows(spark):
+    rows = [(None, "a\nb"), (None, "a\nb"), (None, "c"), (None, "c"), (5, "\ne\n\nf\n"), (5, "\ne\n\nf\n"), (6, None), (6, None)]
+    found = lines.drop_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert texts(found) == sorted([(None, "a\nb"), (None, ""), (None, "c"), (None, "c"), (5, "\ne\n\nf\n"), (5, "\n"), (6, None), (6, None)], key=str)
+
+
+def test_line_recall(spark):
+    """Of lines in repeated runs of two or more, those that stay beyond their first occurrence."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    found = lines.drop_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert texts(found) == brute_runs(rows)
 
 
 def test_pipeline_drops_whole_repeated_runs(spark, edge):
