@@ -120,7 +120,7 @@ def test_reports(raw, rows):
     assert rows(reports.totals(cleaned)) == [("NULL", 0), ("United", 4)]
 
 
-def test_jobs_from_files_to_files(spark, raw, table, rows, tmp_path):
+def test_jobs_from_files_to_files(spark, raw, table, rows, tmp_path, monkeypatch):
     from tallywing.sources.files import read_countries
     from tallywing.sources.sinks import write_csv
 
@@ -132,7 +132,11 @@ def test_jobs_from_files_to_files(spark, raw, table, rows, tmp_path):
     )
     (tmp_path / "codes.tsv").write_text("NOR\tNorway\nFRA\tFrance\n")
     cleaned = jobs.clean_job(spark, data, at("cleaned"))
-    assert rows(cleaned) == rows(jobs.clean_job(spark, "no such folder", at("cleaned")))
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "clean_feedback", None)  # the same files and options: nothing is built
+        assert rows(cleaned) == rows(jobs.clean_job(spark, data, at("cleaned")))
+        with pytest.raises(TypeError):
+            jobs.clean_job(spark, data, at("cleaned"), fill=False)
     jobs.reasons_job(cleaned, at("reasons"))
     assert sorted(r[0] for r in spark.read.text(at("reasons")).collect()) == ["United\tLate_4", "United\tLost_1"]
     resolved = jobs.countries_job(spark, cleaned, at("cities.json"), at("countries.json"), at("resolved"))
@@ -147,3 +151,19 @@ def test_jobs_from_files_to_files(spark, raw, table, rows, tmp_path):
     jobs.report_job(cleaned, resolved, read_countries(spark, at("countries.json")), at("reports"))
     assert spark.read.csv(at("reports/airline_profile"), header=True).first()["top_reasons"] == "Late|Lost"
     assert len(list((tmp_path / "reports").iterdir())) == 6
+
+
+def test_cleaning_options(spark, raw, rows):
+    """Other keys, NULL markers, the zone of all rows, mean retweets and the trusted reason's line breaks."""
+    marked = raw.withColumn("user_timezone", F.when(F.col("_id") % 2 == 0, "NULL").otherwise("Oslo")).withColumn("retweet_count", F.when(F.col("_id") > 2, 4))
+    marked = marked.withColumn("negativereason_gold", F.lit("a\nb\r\tc"))
+    kept = clean_feedback(marked, drop=[], dedup_keys=["_id"], null_columns=["user_timezone"], zone_by=None, mean_retweets=True, reason_break=",")
+    assert kept.count() == raw.select("_id").distinct().count()
+    assert [r[0] for r in kept.select("user_timezone").distinct().collect()] == ["Oslo"]
+    assert {r[0] for r in kept.select("retweet_count").distinct().collect()} == {4.0}
+    assert {r[0] for r in kept.select("negativereason_gold").distinct().collect()} == {"a,b,,c"}
+    plain = clean_feedback(marked, drop=[], dedup_keys=["_id"])
+    assert "NULL" in {r[0] for r in plain.select("user_timezone").distinct().collect()}
+    watch = {}
+    clean_feedback(marked, watch=watch, null_columns=["user_timezone"]).write.format("noop").mode("overwrite").save()
+    assert watch["read"].get["rows"] == raw.count() and watch["kept"].get["rows"] <= raw.count() and watch["filled"].get["zones"] > 0
