@@ -49,6 +49,8 @@ NEED, OF = 80, 100
 #: Size bands: upper sizes grow by this factor; partitions per element at the upper end.
 BAND, PER_ELEMENT = 3, 0.32
 PAIRS_PER_ROW = 4
+#: Least signatures of a set that its rows carry in the last round.
+FIRSTS = 32
 COMPARED = "a long, b long, linked boolean, common long, size_a long, misses array<long>, besides array<long>"
 #: Rows up to which a list of documents is broadcast.
 LISTED = 1_000_000
@@ -193,7 +195,8 @@ def candidates(sets: DataFrame) -> DataFrame:
 def refined(texts: DataFrame) -> DataFrame:
     """Of every candidate its rarest elements, where others share them, per size step: ``sig_``, ``set_``.
 
-    With them the set's size ``m_`` and the number ``v_`` of its elements that other candidates have.
+    With them the set's size ``m_``, the number ``v_`` of its elements that other candidates have, and ``own_``, whether
+    the step is the set's own one or the next.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -212,15 +215,15 @@ def refined(texts: DataFrame) -> DataFrame:
     rare = F.expr(f"slice(shared_, 1, cast(greatest(0, {need} - (m_ - size(shared_))) as int))")
     step = f"cast(floor(ln(m_) / ln({OF / NEED})) as int)"
     out = shared.select("set_", "m_", F.size("shared_").alias("v_"), F.explode(rare).alias("s_"), F.expr(step).alias("step_"))
-    out = out.select("set_", "m_", "v_", "s_", F.explode(F.expr("array(step_, step_ + 1)")).alias("step_"))
-    members = small(out.select(F.xxhash64("s_.sig_", "step_").alias("sig_"), "set_", "m_", "v_"), "members")
+    out = out.select("set_", "m_", "v_", "s_", F.col("step_").alias("own_"), F.explode(F.expr("array(step_, step_ + 1)")).alias("step_"))
+    members = small(out.select(F.xxhash64("s_.sig_", "step_").alias("sig_"), "set_", "m_", "v_", (F.col("own_") == F.col("step_")).alias("own_")), "members")
     release(signed, often)
     return members
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the groups that hold more than one component, with their label and ``size_`` of the group."""
-    labelled = members.select("sig_", "set_", "m_", "v_").join(labels.distinct(), "set_", "left")
+    labelled = members.select("sig_", "set_", "m_", "v_", "own_").join(labels.distinct(), "set_", "left")
     labelled = labelled.withColumn("label_", F.coalesce("label_", "set_"))
     ends = labelled.groupBy("sig_").agg(F.min("label_").alias("lo_"), F.max("label_").alias("hi_"), F.count("*").alias("size_"))
     return small(labelled.join(ends.filter("lo_ < hi_").select("sig_", "size_"), "sig_"), "open")
@@ -303,9 +306,13 @@ def set_components(docs: DataFrame, text_col: str, id_col: str) -> tuple[DataFra
             near = compared.filter("misses is not null").groupBy("b").agg(
                 F.max_by(F.struct("a", "common", "size_a", "misses", "besides"), F.struct("common", "a")).alias("h_"))
             near = small(near.select(F.col("b").alias("set_"), F.col("h_.a").alias("hub_"), "h_.common", "h_.size_a", "h_.misses", "h_.besides"), "near")
-            live = live.join(near.select("set_", "hub_", F.col("common").alias("c_")), "set_", "left")
-            other = live.select("sig_", F.col("set_").alias("b"), *(F.col(f"{c}_").alias(f"{c}_b") for c in ("label", "m", "v", "hub", "c")))
-            met = live.withColumnRenamed("set_", "a").join(other, "sig_").filter("a < b and label_ != label_b and " + _fit("", "b"))
+            firsts = live.groupBy("set_", "own_").agg(F.slice(F.array_sort(F.collect_set("sig_")), 1, FIRSTS).alias("firsts_"))
+            profile = firsts.join(near.select("set_", "hub_", F.col("common").alias("c_")), "set_", "left")
+            live = live.join(profile, ["set_", "own_"], "left")
+            other = live.select("sig_", F.col("set_").alias("b"), *(F.col(f"{c}_").alias(f"{c}_b") for c in ("label", "m", "v", "hub", "c", "firsts", "own")))
+            # Sets of one step meet at that step alone, and a pair that shares several signatures meets at the least it is known to share.
+            once = "(own_ or own_b) and not arrays_overlap(filter(firsts_, s -> s < sig_), firsts_b)"
+            met = live.withColumnRenamed("set_", "a").join(other, "sig_").filter(f"a < b and label_ != label_b and {_fit('', 'b')} and {once}")
             met = met.withColumn("same_", F.expr("coalesce(hub_ = hub_b, false)")).filter(
                 f"not same_ or {OF + NEED} * least(c_, c_b) >= {NEED} * (m_ + m_b)").select("a", "b", "same_")
             # Two sets whose part in their hub is not enough must share an element outside it.
