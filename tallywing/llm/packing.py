@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 CAPACITY, END, SMALLEST = 4096, 2, 64
 #: Words whose ids a Python worker remembers in a store, before it becomes the older of two.
-GENERATION = 700_000
+GENERATION = 1_000_000
 SCHEMA = ("start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 _ENCODERS: dict[str, WordEncoder] = {}
 
