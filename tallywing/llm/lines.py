@@ -45,13 +45,16 @@ def _with_windows(df: DataFrame) -> DataFrame:
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document key (see ``row_key``) the windows to remove and those to leave: ``key_``, ``gone_``, ``stay_``."""
     base = docs.select(row_key(id_col, text_col).alias("key_"), F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    hashed = _with_windows(base).select("key_", F.explode("windows_").alias("w_")).select("key_", "w_.*")
+    # The plain ``explode`` would add a filter that works out all windows inside itself, once more for every line.
+    hashed = _with_windows(base).select("key_", F.explode_outer("windows_").alias("w_")).filter("w_ is not null").select("key_", "w_.*")
     often = hashed.groupBy("hash").agg(F.count("*").alias("times_")).filter("times_ > 1")
     wanted = hashed.join(often, "hash").groupBy("key_").agg(F.collect_set(F.struct("first", "n")).alias("places_"))
     # The bytes: cut the candidates out of their texts once and write them.
-    cut = base.join(wanted, "key_").withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
-    chunk = F.expr("transform(places_, p -> struct(p.first as first, p.n as n, array_join(slice(lines_, p.first + 1, p.n), '\\n') as chunk_))")
-    cut = small(cut.select("key_", "id_", F.explode(chunk).alias("c_")).select("key_", "id_", "c_.*"), "windows")
+    # The outer array has one element, so a text is split once and not again for every window.
+    chunk = F.expr(
+        "transform(array(split(coalesce(text_, ''), '\\n', -1)), ls -> transform(places_, p ->"
+        " struct(p.first as first, p.n as n, array_join(slice(ls, p.first + 1, p.n), '\\n') as chunk_)))[0]")
+    cut = small(base.join(wanted, "key_").select("key_", "id_", F.explode_outer(chunk).alias("c_")).select("key_", "id_", "c_.*"), "windows")
     first = cut.groupBy("chunk_").agg(F.min(F.struct("id_", "key_", "first")).alias("kept_"), F.count("*").alias("times_")).filter("times_ > 1")
     met = cut.join(first, "chunk_").select(
         "key_", F.struct("first", "n").alias("place_"), F.expr("key_ = kept_.key_ and first = kept_.first").alias("is_first_"),
