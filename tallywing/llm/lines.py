@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallywing.llm.common import release, row_key, small
+from tallywing.llm.common import row_key, small
 
 WORD = r"'[^ \\t-\\r]'"
 PLACES = "array<struct<first:int,n:int>>"
@@ -70,7 +70,7 @@ def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``report_col`` adds a struct of ``n_lines``, ``n_removed_lines`` and ``n_removed_runs``.
     """
     names = docs.columns
-    gone = small(removals(docs, id_col, text_col), "removals")
+    gone = removals(docs, id_col, text_col)
     rows = docs.select(F.struct(*(F.col(c) for c in names)).alias("row_"), row_key(id_col, text_col).alias("key_"), F.col(text_col).alias("text_"))
     df = _numbered(rows).join(gone, "key_", "left").withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
 
