@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywing.functions.geo import is_finite, planar_distance
 from tallywing.operators.celltree import build_tree, search_tree
-from tallywing.operators.skew import salted_join
+from tallywing.operators.naming import free
+from tallywing.operators.skew import any_null, salted_join
 from tallywing.session import settle, stage
 
 BROADCAST_ROWS = 1_000_000
@@ -52,6 +53,52 @@ def join_lookup(
     return salted_join(facts, lookup, keys, how, hot, salt_by)
 
 
+#: Rows of the frequent keys' lookup. Of words, half a million cover all but some hundredths of a corpus.
+FREQUENT_ROWS = BROADCAST_ROWS // 2
+#: Steps into which a doubling of a key's count is cut.
+LEVELS_PER_DOUBLING = 8
+
+
+def frequent_keys(facts: DataFrame, keys: Sequence[str], max_rows: int, max_bytes: int) -> DataFrame:
+    """The most frequent keys of ``facts``, as many as both bounds allow; keys that occur once are left out.
+
+    Counts add up before the shuffle. The driver gets one row for each level of counts, some hundred whatever the table.
+    """
+    size, level = free(list(keys), "n_", "level_")
+    counts = facts.filter(~any_null(keys)).groupBy(*keys).agg(F.count("*").alias(size)).filter(F.col(size) > 1)
+    counts = settle(counts.select(*keys, F.floor(F.log2(size) * LEVELS_PER_DOUBLING).alias(level)))
+    width = sum((F.octet_length(F.col(k).cast("string")) + 8 for k in keys), F.lit(0)).cast("long")
+    levels = counts.groupBy(level).agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).orderBy(F.desc(level)).collect()
+    rows = size_ = 0
+    least = None
+    for found in levels:
+        rows, size_ = rows + found["rows"], size_ + found["bytes"]
+        if rows > max_rows or size_ > max_bytes:
+            break
+        least = found[level]
+    return counts.filter(F.col(level) >= F.lit(least) if least is not None else F.lit(False)).select(*keys)
+
+
+def join_by_frequency(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str], max_rows: int = FREQUENT_ROWS,
+                      counted: DataFrame | None = None) -> DataFrame:
+    """Left join to a lookup that may be beyond the broadcast bound, for keys of which few hold most rows, as words do.
+
+    The frequent keys' lookup rows are broadcast, so only rows of rare keys are shuffled; no rare key holds many rows.
+    ``facts`` is computed twice rather than written: meant for rows that come from a scan by expressions. ``counted``
+    is a cheaper table with the same keys, as often, if there is one. The lookup should be staged or settled.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    if fits_broadcast(lookup):
+        return facts.join(F.broadcast(lookup), keys, "left")
+    known = frequent_keys(facts if counted is None else counted, keys, max_rows, BROADCAST_BYTES // 2)
+    (mark,) = free([*facts.columns, *lookup.columns], "known_")
+    theirs = lookup.join(F.broadcast(known), keys, "left_semi")
+    common = settle(known.join(theirs, keys, "left").withColumn(mark, F.lit(True)))
+    seen = facts.join(F.broadcast(common), keys, "left")
+    rare = F.col(mark).isNull() & ~any_null(keys)
+    return seen.filter(~rare).drop(mark).unionByName(seen.filter(rare).select(*facts.columns).join(lookup, keys, "left"))
+
+
 def without_match(rows: DataFrame, resolved: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key does not occur in ``resolved``."""
     return rows.join(resolved, on, "left_anti")

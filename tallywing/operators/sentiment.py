@@ -22,7 +22,7 @@ from tallywing.constants import (
 )
 from tallywing.functions.text import WORD_CHARACTERS, words
 from tallywing.functions.values import label_by_threshold, same_value
-from tallywing.operators.joins import join_lookup
+from tallywing.operators.joins import join_by_frequency, join_lookup
 from tallywing.operators.naming import free
 from tallywing.session import settle, stage_by_task
 
@@ -89,7 +89,7 @@ def tagged_scores(tokens: DataFrame, key: str, lexicon: DataFrame, stop_words: D
     )
     entries = settle(entries)
     marked = tokens.select(F.col(key).alias("_key"), F.col("pos").alias("_at"), F.lower("word").alias("_word"), lexicon_pos(F.col("tag")).alias("_pos"))
-    found = join_lookup(marked, entries, ["_word", "_pos"], "left")
+    found = join_by_frequency(marked, entries, ["_word", "_pos"])
     if stop_words is None:
         found = found.withColumn("_stop", F.lit(None).cast("boolean"))
     else:
@@ -149,7 +149,9 @@ def scores(docs: DataFrame, key: str | Sequence[str], text: str, vocab: DataFram
         .select(*keys, "_has_text", F.posexplode_outer(F.split("_lower", _before_negation())).alias("run", "_run_text"))
         .select(*keys, "_has_text", "run", F.posexplode_outer(words(F.col("_run_text"), fold=False)).alias("pos", "word"))
     )
-    found = join_lookup(tokens, vocab, "word", "left", salt_by=[*keys, "run", "pos"])
+    # Cutting a text at negation words leaves its words as they are, so they can be counted without.
+    plain_words = docs.select(F.explode(words(body)).alias("word"))
+    found = join_by_frequency(tokens, vocab, "word", counted=plain_words)
     delta = F.col("delta")
     kept = F.when(~F.col("is_stop"), delta)
     plain = F.when(~F.col("word").isin(*NEGATIONS), delta)

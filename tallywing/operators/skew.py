@@ -25,7 +25,8 @@ def _encoded(keys: Sequence[str]) -> Column:
     return F.concat_ws("", *(F.concat(F.length(t), F.lit(":"), t) for t in texts))
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
+    """Whether one of the key columns is null."""
     out = F.lit(False)
     for k in keys:
         out = out | F.col(k).isNull()
@@ -38,7 +39,7 @@ def heavy_hitters(df: DataFrame, keys: Sequence[str], parts: int | None = None)
     Null keys are not counted, as they join nothing. At most ``HOT`` keys reach the driver.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    known = df.filter(~_any_null(keys)).select(_encoded(keys).alias("key"))
+    known = df.filter(~any_null(keys)).select(_encoded(keys).alias("key"))
     row = known.agg(F.count("*").alias("rows"), F.expr(f"approx_top_k(key, {HOT}, {ITEMS})").alias("top")).first()
     fair = max(1, row.rows // parts)
     return {item.item: min(MAX_SALTS, -(-item["count"] // fair)) for item in row.top or [] if item["count"] > fair}
@@ -64,8 +65,8 @@ def salted_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: s
     facts = stage(facts, "facts") if _costly(facts) else facts
     hot = heavy_hitters(facts, keys) if hot is None else hot
     (salt,) = free([*facts.columns, *lookup.columns], "salt_")
-    with_key, without = facts.filter(~_any_null(keys)), facts.filter(_any_null(keys))
-    other = lookup.filter(~_any_null(keys))
+    with_key, without = facts.filter(~any_null(keys)), facts.filter(any_null(keys))
+    other = lookup.filter(~any_null(keys))
     if hot:
         salts = F.create_map(*[x for k, n in hot.items() for x in (F.lit(k), F.lit(n))])
         many = F.coalesce(F.try_element_at(salts, _encoded(keys)), F.lit(1))

@@ -201,3 +201,15 @@ def test_agreement_and_disagreement(table, rows):
     df = table([("p", "p"), ("n", "p"), (None, "p")], "gold string, label string")
     assert tuple(stats.agreement(df, "gold", "label").first()) == (1, 2)
     assert rows(stats.disagreements(df, "gold", "label")) == [("n", "p")]
+
+
+def test_join_by_frequency_is_a_left_join(table, rows, monkeypatch):
+    """Frequent, rare, unmatched and null keys, repeated lookup rows, and any bound on the frequent keys."""
+    facts = table([("a", i) for i in range(40)] + [("b", i) for i in range(9)] + [("x", 1), ("x", 2), ("c", 1), (None, 1), (None, 2), ("y", 3)], "k string, i int")
+    lookup = table([("a", 1), ("b", 2), ("b", 3), ("c", 4), (None, 5), ("z", 6)], "k string, n int")
+    expected = rows(facts.join(lookup, "k", "left"))
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **k: False)
+    for max_rows in (0, 1, 2, 100):
+        assert rows(joins.join_by_frequency(facts, lookup, "k", max_rows)) == expected
+    assert rows(joins.frequent_keys(facts, ["k"], 1, 1 << 20)) == [("a",)]
+    assert rows(joins.frequent_keys(facts, ["k"], 2, 1 << 20)) == [("a",), ("b",)]

@@ -71,6 +71,22 @@ def test_large_vocabulary_goes_the_shuffled_way(table, vocab, monkeypatch, rows)
     assert rows(S.scores(df, "id", "text", vocab)) == expected
 
 
+def test_large_vocabulary_moves_rare_words_only(table, vocab, monkeypatch, rows, spark):
+    """Beyond the broadcast bound no token is written, and the frequent words' tokens are joined where they are."""
+    df = table([(i, f"not good the bad no great good once{i}") for i in range(20)] + [(20, "bad not fair"), (21, "lonely"), (22, None)], "id int, text string")
+    expected = rows(S.scores(df, "id", "text", vocab))
+    monkeypatch.setattr("tallywing.operators.joins.fits_broadcast", lambda *a, **k: False)
+    written = []
+    monkeypatch.setattr("tallywing.operators.skew.stage", lambda table, name: written.append(name) or table)
+    out = S.scores(df, "id", "text", vocab)
+    assert rows(out) == expected and not written
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    tokens = table([(1, 0, "Fair", "JJ"), (1, 1, "fair", "JJ"), (2, 0, "fair", "NNS"), (2, 1, None, "VB"), (3, 0, "xyz", "DT"), (4, 0, "good", "JJ")],
+                   "id int, pos int, word string, tag string")
+    found = S.tagged_scores(tokens, "id", table(LEXICON, SCHEMA))
+    assert rows(found, "id", "score") == [(1, 0.375), (2, -0.75), (3, 0.0), (4, 1.0)] and not written
+
+
 def test_labels_and_accuracy(table, vocab, rows):
     df = table(
         [(1, "good", "positive"), (2, "bad", "positive"), (3, "bad", None), (4, "bad", "Unknown"), (5, None, "negative")],
