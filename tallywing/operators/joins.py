@@ -7,6 +7,7 @@ keys measured to be hot spread over several tasks (:mod:`tallywing.operators.ske
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -182,8 +183,10 @@ def nearest_within(
     ``reach``: a hit within the radius is the true nearest, because every target that close lies in the
     searched cells.
 
-    Otherwise the targets become an adaptive cell tree (:mod:`tallywing.operators.celltree`), and points
-    sharing coordinates are searched once.
+    Otherwise points sharing coordinates are searched once. The same search runs level by level, up to the greatest
+    radius at which no point looks at more than ``list_bound`` targets, and only with the points still open; lists too
+    large to broadcast are joined shuffled. For points that found nothing there the targets become an adaptive cell
+    tree (:mod:`tallywing.operators.celltree`).
     """
     payload = [target_id, *keep]
     places = settle(
@@ -201,9 +204,13 @@ def nearest_within(
         if how == "inner":
             best = best.filter(F.col("_best").isNotNull())
         return best.select(*points.columns, "_best.*")
-    spots = points.select(x, y).filter(is_finite(F.col(x)) & is_finite(F.col(y))).distinct()
-    tree = build_tree(places, lambda t: fits_broadcast(t, max_rows))
-    found = stage(search_tree(stage(spots, "spots"), tree, reach, x, y, payload).select(x, y, "_best.*"), "nearest")
+    spots = stage(points.select(x, y).filter(is_finite(F.col(x)) & is_finite(F.col(y))).distinct(), "spots")
+    bounded = [r for k, r in zip(range(len(radii) - 1, -1, -1), radii) if fullest.get(k, 0) * NEIGHBOURS <= list_bound]
+    parts, spots = _search_levels(spots, places, bounded, x, y, payload, small)
+    if not parts or bounded[-1] < reach and not spots.isEmpty():
+        tree = build_tree(places, lambda t: fits_broadcast(t, max_rows))
+        parts.append(search_tree(spots, tree, reach, x, y, payload))
+    found = stage(reduce(DataFrame.union, [p.select(x, y, "_best.*") for p in parts]), "nearest")
     return join_lookup(points, found, [x, y], how, max_rows)
 
 
@@ -225,14 +232,38 @@ def _nearest_listed(near: Column, radius: float, x: Column, y: Column, payload:
     return F.array_min(F.filter(hits, lambda h: h["distance"] <= radius))
 
 
+def _listed_cells(places: DataFrame, radius: float) -> DataFrame:
+    """(``_cx``, ``_cy``, ``_near``): the targets that can be seen from each cell."""
+    near = F.collect_list(F.struct("_tx", "_ty", "_target")).alias("_near")
+    return _neighbour_cells(places, radius).groupBy("_cx", "_cy").agg(near)
+
+
+def _search_levels(spots: DataFrame, places: DataFrame, radii: list[float], x: str, y: str, payload: Sequence[str],
+                   small: bool) -> tuple[list[DataFrame], DataFrame]:
+    """Tables (``x``, ``y``, ``_best``) of the spots that found a target within a radius, and the spots that found none.
+
+    Each level is written once, so the next one starts from its open spots alone. ``small`` tells that a level's lists
+    may be broadcast.
+    """
+    parts: list[DataFrame] = []
+    for radius in radii:
+        cells = _listed_cells(places, radius)
+        cells = cells if small else stage(cells, "cells")
+        at = spots.withColumns({"_cx": _cell(F.col(x), radius), "_cy": _cell(F.col(y), radius)})
+        near = join_lookup(at, cells, ["_cx", "_cy"], "left", salt_by=[x, y], small=small)
+        nearest = _nearest_listed(F.col("_near"), radius, F.col(x), F.col(y), payload)
+        seen = stage(near.select(x, y, nearest.alias("_best")), "level")
+        parts.append(seen.filter(F.col("_best").isNotNull()))
+        spots = seen.filter(F.col("_best").isNull()).select(x, y)
+        if spots.isEmpty():
+            break
+    return parts, spots
+
+
 def _search_lists(best: DataFrame, places: DataFrame, radii: list[float], x: str, y: str, payload: Sequence[str]) -> DataFrame:
     columns = best.columns
     for radius in radii:
-        cells = (
-            _neighbour_cells(places, radius)
-            .groupBy("_cx", "_cy")
-            .agg(F.collect_list(F.struct("_tx", "_ty", "_target")).alias("_near"))
-        )
+        cells = _listed_cells(places, radius)
         nearest = _nearest_listed(F.col("_near"), radius, F.col(x), F.col(y), payload)
         seen = _open_cells(best, radius, x, y).join(F.broadcast(cells), ["_cx", "_cy"], "left")
         best = seen.withColumn("_best", F.coalesce("_best", nearest)).select(*columns)

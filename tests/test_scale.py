@@ -179,3 +179,29 @@ def test_inner_names_do_not_meet_the_users_columns(table, rows):
     df = table([(1, "a", "x", "m"), (1, "b", None, "n"), (2, "c", "y", "o")], "k int, place_ string, v string, mode_ string")
     assert rows(cleaning.dedup(df, ["k"])) == [(1, "a", "x", "m"), (2, "c", "y", "o")]
     assert rows(cleaning.fill_group_mode(df, "k", "v")) == [(1, "a", "x", "m"), (1, "b", "x", "n"), (2, "c", "y", "o")]
+
+
+def test_crowded_targets_leave_the_tree_to_far_points(table, monkeypatch):
+    """Where the reach sees too many targets, smaller radii settle the points near them; only the others go down a tree."""
+    rng = random.Random(5)
+    targets = [(i, rng.uniform(0, 4), rng.uniform(0, 4)) for i in range(600)] + [(900, 1.0, 1.0), (800, 1.0, 1.0), (901, None, 0.0)]
+    points = [(i, rng.uniform(0, 4), rng.uniform(0, 4)) for i in range(150)] + [(300, 1.0, 1.0), (301, 1.0, 1.0), (302, None, 1.0), (303, float("nan"), 1.0)]
+    far = [(400 + i, rng.uniform(-30, 0), rng.uniform(-30, 0)) for i in range(20)]
+    schema, searched = "longitude double, latitude double", []
+    search = joins.search_tree
+    monkeypatch.setattr(joins, "search_tree", lambda spots, *a: searched.append(spots.count()) or search(spots, *a))
+
+    def check(points, max_rows):
+        near = joins.nearest_within(table(points, f"p int, {schema}"), table(targets, f"id int, {schema}"), 20.0, how="left", max_rows=max_rows)
+        got = {r.p: (r.distance, r.id) for r in near.collect()}
+        assert len(got) == len(points)
+        for p, x, y in points:
+            best = min(((math.sqrt((x - tx) * (x - tx) + (y - ty) * (y - ty)), i) for i, tx, ty in targets
+                        if x is not None and tx is not None), default=(99, None))
+            assert got[p] == (best if best[0] <= 20.0 else (None, None))
+
+    for max_rows in (joins.BROADCAST_ROWS, 0):
+        check(points, max_rows)
+        assert not searched
+        check(points + far, max_rows)
+        assert 0 < searched.pop() <= len(far)
