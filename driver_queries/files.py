@@ -54,25 +54,14 @@ def csv_single_file(spark, sf):
     return shown(read_feedback(spark, path))
 
 
-#: Bytes of text that go to one folder of files, about.
-FOLDER_BYTES = 48 * 1024 * 1024
+def named_files(spark, rows, path, names):
+    """Write rows (with a column ``file``): each task writes, in a folder of its own, one CSV file for each value, under the name listed for it.
 
-
-def folder_of(spark, sf, key):
-    """Number of the folder of the row with this key, and how many folders there are: each holds its own files.
-
-    No file and no task that writes one grows with the table; the folders become more.
+    So no row is shuffled, and neither a file nor a task that writes one grows with the table; the folders become more.
     """
-    size = table(spark, sf, "documents").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    folders = 1 + size // FOLDER_BYTES
-    return F.pmod(F.xxhash64(key), F.lit(folders)).alias("folder"), folders
-
-
-def named_files(spark, rows, path, names, folders):
-    """Write rows (with columns ``folder`` and ``file``) as one CSV file for each value in each folder, under the name listed for it."""
     parts = scratch_path(spark, "parts")
     options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.repartition(folders * len(names), "folder", "file").write.partitionBy("folder", "file").options(**options).csv(parts)
+    rows.withColumn("folder", F.spark_partition_id()).write.partitionBy("folder", "file").options(**options).csv(parts)
     hadoop = spark._jvm.org.apache.hadoop.fs
     files = hadoop.Path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
     for folder in (s.getPath() for s in files.listStatus(hadoop.Path(parts)) if s.isDirectory()):
@@ -80,7 +69,7 @@ def named_files(spark, rows, path, names, folders):
         files.mkdirs(to)
         for value, name in names.items():
             at = hadoop.Path(folder, f"file={value}")
-            if files.exists(at):  # a small folder may lack a value
+            if files.exists(at):  # a task may have no row of a value
                 (found,) = [s.getPath() for s in files.listStatus(at) if s.getPath().getName().endswith(".csv")]
                 files.rename(found, hadoop.Path(to, name))
 
@@ -88,24 +77,23 @@ def named_files(spark, rows, path, names, folders):
 @query(f"with {RAW_CTE} select 'f' || (_unit_id % 5) || '.csv' as file_name, count(*) as rows from raw group by 1")
 def csv_rows_per_file(spark, sf):
     """Rows of each file by its name; the combined file is no part of the table."""
-    path, (folder, folders) = scratch_path(spark, "feedback-csv"), folder_of(spark, sf, "_unit_id")
-    rows = raw_feedback(spark, sf).select("*", folder)
-    named_files(spark, rows.withColumn("file", F.expr("_unit_id % 5")), path, {i: f"f{i}.csv" for i in range(5)}, folders)
-    named_files(spark, rows.withColumn("file", F.lit(9)), path, {9: "combined_csv.csv"}, folders)
+    path, rows = scratch_path(spark, "feedback-csv"), raw_feedback(spark, sf)
+    named_files(spark, rows.withColumn("file", F.expr("_unit_id % 5")), path, {i: f"f{i}.csv" for i in range(5)})
+    named_files(spark, rows.withColumn("file", F.lit(9)), path, {9: "combined_csv.csv"})
     return rows_per_file(read_feedback(spark, f"{path}/*", file_column="file"), "file")
 
 
 @query(f"with {RAW_CTE} {SHOWN}")
 def csv_headers(spark, sf):
     """Files whose headers differ in order and case or have more columns, next to a combined file that repeats all rows."""
-    path, (folder, folders) = scratch_path(spark, "mixed-headers"), folder_of(spark, sf, "_unit_id")
-    rows = raw_feedback(spark, sf).select("*", folder, F.expr("_unit_id % 4").alias("file"))
+    path = scratch_path(spark, "mixed-headers")
+    rows = raw_feedback(spark, sf).withColumn("file", F.expr("_unit_id % 4"))
     names = list(RAW)
     layouts = [names, names[::-1], [n.upper() for n in names[13:] + names[:13]], ["extra_first", *names[5:], "_Extra", *names[:5]]]
     for i, layout in enumerate(layouts):
         part = rows.filter(F.col("file") == i).withColumns({"extra_first": F.lit("x, y"), "_Extra": F.col("_unit_id")})
-        named_files(spark, part.select(*(F.col(n).alias(n) for n in layout), "folder", "file"), path, {i: f"f{i}.csv"}, folders)
-    named_files(spark, rows.withColumn("file", F.lit(9)), path, {9: "combined_csv.csv"}, folders)
+        named_files(spark, part.select(*(F.col(n).alias(n) for n in layout), "file"), path, {i: f"f{i}.csv"})
+    named_files(spark, rows.withColumn("file", F.lit(9)), path, {9: "combined_csv.csv"})
     return shown(read_feedback(spark, f"{path}/*"))
 
 
@@ -153,13 +141,13 @@ def csv_strings(spark, sf):
 @query("select doc_id, sha256(text) as text, lang from documents")
 def csv_mixed_encodings(spark, sf):
     """Texts that ISO-8859-1 can hold go to files of that encoding, the others to UTF-8 files."""
-    path, (folder, folders) = scratch_path(spark, "mixed-csv"), folder_of(spark, sf, "doc_id")
+    path = scratch_path(spark, "mixed-csv")
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     latin = ~F.col("text").rlike("[^\\x00-\\xff]")
     options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     docs.filter(latin).write.options(**options, encoding="ISO-8859-1").csv(f"{path}/texts")
     docs.filter(~latin).write.mode("append").options(**options).csv(f"{path}/texts")
-    named_files(spark, docs.select("*", folder, F.lit(9).alias("file")), path, {9: "combined_csv.csv"}, folders)
+    named_files(spark, docs.withColumn("file", F.lit(9)), path, {9: "combined_csv.csv"})
     read = read_mixed_encodings(spark, f"{path}/*", "doc_id bigint, text string, lang string")
     return read.select("doc_id", F.sha2("text", 256).alias("text"), "lang")
 

@@ -242,10 +242,11 @@ def test_reports_to_the_driver_are_bounded(table):
 
 
 def test_files_of_a_large_table_are_many_not_large(spark, rows, tmp_path, monkeypatch):
-    """The CSV queries lay their files in more folders for more text, and read the same rows from them."""
-    docs = [(i, f'text, {i} "q"\n' * 20 + ("ä" if i % 3 else "ж"), "en", "web", 100) for i in range(60)]
-    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(i, i % 2) for i in range(0, 60, 4)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    """The CSV queries leave each task's rows in files of its own: no file, the combined one either, holds the table."""
+    docs = [(i, f'text, {i} "q"\n' * 20 + ("ä" if i % 3 else "ж"), "en", "web", 100) for i in range(200)]
+    made = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    made.repartition(8, "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(0, 200, 4)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     kept, paths = queries.scratch_path, []
 
     def watched(spark, name):
@@ -253,14 +254,9 @@ def test_files_of_a_large_table_are_many_not_large(spark, rows, tmp_path, monkey
         return paths[-1]
 
     monkeypatch.setattr(queries, "scratch_path", watched)
-    for folder_bytes in (1 << 30, 2000):
-        monkeypatch.setattr(queries, "FOLDER_BYTES", folder_bytes)
-        got = [rows(registry.QUERIES[name](spark, str(tmp_path))) for name in ("csv_rows_per_file", "csv_headers", "csv_mixed_encodings")]
-        if folder_bytes == 2000:
-            assert got == before
-        before = got
-    assert before[0] == [(f"f{i}.csv", 24) for i in range(5)] and len(before[1]) == 120
-    assert before[2] == sorted((i, hashlib.sha256(t.encode()).hexdigest(), "en") for i, t, *_ in docs)
-    for path in (p for p in paths[len(paths) // 2:] if "parts" not in p):
-        sizes = [f.stat().st_size for f in Path(path).glob("*/combined_csv.csv")]
-        assert len(sizes) > 5 and max(sizes) < sum(sizes) / 4
+    counts, all_rows, texts = (rows(registry.QUERIES[n](spark, str(tmp_path))) for n in ("csv_rows_per_file", "csv_headers", "csv_mixed_encodings"))
+    assert counts == [(f"f{i}.csv", 80) for i in range(5)] and sorted(r[0] for r in all_rows) == list(range(400))
+    assert texts == sorted((i, hashlib.sha256(t.encode()).hexdigest(), "en") for i, t, *_ in docs)
+    for path in (p for p in paths if "parts-" not in p):
+        sizes = [f.stat().st_size for f in Path(path).rglob("combined_csv.csv")]
+        assert len(sizes) > 2 and max(sizes) < sum(sizes) / 2
