@@ -10,9 +10,13 @@ at equal distances. An anchor stands for a run of starts; its context is all the
 2. Of every context one copy is sorted by its suffix from the anchor. Tasks sort runs and send them
    front-coded, dealt to ranges whose bounds are sampled; per range a loser tree merges them, and uses the
    lengths of common prefixes, so that known prefixes are never compared again.
-3. Neighbours in that order tell how far a context agrees with any other one. Strings that can repeat by
-   that (and all strings of the contexts at a range's ends) are counted by a 128-bit hash, which settles
-   the bytes before the anchor.
+3. Neighbours in that order tell how far a context agrees with any other one. Contexts that hold one string stand
+   next to each other, so strings that can repeat by that are counted in the task, while it passes them, by a
+   128-bit hash, which settles the bytes before the anchor. Only of strings that can also stand beyond a range's
+   ends (or were met while ``HELD`` others were open) one row each is left to be counted among ranges.
+
+Texts are not shuffled for that: tasks find the contexts to sort again by their places, which are broadcast up to
+``LISTED`` of them; beyond that the documents are joined to lists of them.
 
 A range has about ``RANGE`` contexts, and the sample for its bounds grows with the number of ranges: it can end between suffixes that agree for long, and between equal ones,
 which the hash of the context puts in an order (a passage after different text gives one context for each
@@ -42,6 +46,8 @@ LEAST = LENGTH - WINDOW + 1
 RANGE, SAMPLE, RUN_BYTES, PIECE = 50_000, 4000, 24 << 20, 100_000
 #: Sampled suffixes for each range.
 PER_RANGE = 8
+#: Strings counted at a time while a range is merged.
+HELD = 500_000
 #: Rows up to which lists of hashes or of places are broadcast.
 LISTED = 4_000_000
 _BASE = 0x9E3779B97F4A7C15
@@ -92,6 +98,10 @@ def _head(data: bytes, a: int) -> int:
     return xxhash.xxh3_64_intdigest(data[a : a + LEAST]) - (1 << 63)
 
 
+def _context(data: bytes, a: int, lo: int, hi: int) -> bytes:
+    return xxhash.xxh3_128_digest(data[lo : hi + LENGTH], seed=a - lo)
+
+
 def _places(often: Broadcast | None):
     """Every anchor, or those whose head is listed: ``key_``, ``at_``, ``first_``, ``last_``, ``head_``, hash of its context."""
 
@@ -105,7 +115,7 @@ def _places(often: Broadcast | None):
                     heads = np.array([_head(data, a) for a in places.tolist()], dtype=np.int64)
                     hit = np.ones(len(heads), dtype=bool) if often is None else within(often.value, heads)
                     for a, lo, hi, head in zip(*(x[hit].tolist() for x in (places, first, last, heads))):
-                        out.append((key, a, lo, hi, head, xxhash.xxh3_128_digest(data[lo : hi + LENGTH], seed=a - lo)))
+                        out.append((key, a, lo, hi, head, _context(data, a, lo, hi)))
                 yield pd.DataFrame(out, columns=["key_", "at_", "first_", "last_", "head_", "context_"])
 
     return run
@@ -193,6 +203,27 @@ def _items(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bytes, bytes, byte
                 yield data[a : hi + LENGTH], bytes(p["context_"]), data[lo:a]
 
 
+def _numbers(keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One number for each place; places that share one by chance are only sorted besides."""
+    return (keys.astype(np.int64).view(np.uint64) + at.astype(np.uint64) * np.uint64(_BASE)).view(np.int64)
+
+
+def _listed(chosen: Broadcast):
+    """Of every document that has chosen places its bytes and these places."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, numbers = chosen.value
+        for batch in batches:
+            batch, lists = batch[within(keys, batch["key_"].to_numpy())], []
+            for key, data in zip(batch["key_"], batch["data_"]):
+                data, found = bytes(data), anchors(bytes(data))
+                hit = within(numbers, _numbers(np.array([key]), found[0]))
+                lists.append([{"at_": a, "first_": lo, "last_": hi, "context_": _context(data, a, lo, hi)} for a, lo, hi in zip(*(x[hit].tolist() for x in found))])
+            yield pd.DataFrame({"data_": batch["data_"].tolist(), "places_": lists})
+
+    return run
+
+
 def range_bounds(picked: list[tuple[bytes, bytes]], ranges: int) -> list[tuple[bytes, bytes]]:
     """Where ranges end, from a sorted sample of suffixes with the hashes of their contexts."""
     return sorted({picked[len(picked) * i // ranges] for i in range(1, ranges)}) if picked else []
@@ -226,31 +257,63 @@ def _runs(bounds: list[tuple[bytes, bytes]]):
 
 
 def _strings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Merge one range; the strings that other contexts may have: hash, context, distance to the anchor."""
+    """Merge one range; per context the distances to its anchor of strings that repeat.
+
+    Rows with a hash (``string_``) are of strings that may stand in other ranges, too, one for each.
+    """
     runs = [decoded(*pickle.loads(zlib.decompress(bytes(r)))) for frame in frames for r in frame["run_"]]
     out: list[tuple] = []
+    repeated: dict[bytes, list[int]] = {}
+    #: By distance to the anchor: strings of the contexts that share the bytes from the anchor on, and who has them.
+    met: dict[int, dict[bytes, list[bytes]]] = {}
+    held, reach = 0, LENGTH  # contexts so far agree with the first one up to there; beyond the ends of a range anything can agree
+
+    def pieces(least: int) -> Iterator[pd.DataFrame]:
+        if len(repeated) >= least:
+            out.extend((None, context, found) for context, found in repeated.items())
+            repeated.clear()
+        if len(out) >= least:
+            for at in range(0, len(out), PIECE):
+                yield pd.DataFrame(out[at : at + PIECE], columns=["string_", "context_", "os_"])
+            out.clear()
 
-    def piece() -> pd.DataFrame:
-        return pd.DataFrame(out, columns=["string_", "context_", "o_"])
+    def close(agree: int) -> Iterator[pd.DataFrame]:
+        """Decide the strings that reach further than what the next context shares."""
+        nonlocal held
+        for o in [o for o in met if LENGTH - o > agree]:
+            for string, contexts in met.pop(o).items():
+                held -= 1
+                if len(contexts) > 1:
+                    for context in contexts:
+                        repeated.setdefault(context, []).append(o)
+                if agree < 0 or LENGTH - o <= reach:
+                    out.append((string, contexts[0], [o]))
+            yield from pieces(PIECE)
 
     def settle(item, agree: int) -> None:
+        nonlocal held
         suffix, (context, left) = item
         # A string with o bytes before the anchor has LENGTH - o from it on.
         for o in range(max(LENGTH - len(suffix), LENGTH - agree, 0), len(left) + 1):
-            out.append((xxhash.xxh3_128_digest(left[len(left) - o :] + suffix[: LENGTH - o], seed=o), context, o))
+            strings = met.setdefault(o, {})
+            string = xxhash.xxh3_128_digest(left[len(left) - o :] + suffix[: LENGTH - o], seed=o)
+            held += string not in strings
+            strings.setdefault(string, []).append(context)
 
-    before, agreed = None, LENGTH  # beyond the ends of a range anything can agree
+    before, agreed = None, LENGTH
     for suffix, lcp, extra in merged(runs):
         if before is not None:
             settle(before, max(agreed, lcp))
-            agreed = lcp
+            yield from close(lcp)
+            agreed, reach = lcp, min(reach, lcp)
+            if held > HELD:  # as if a range ended here
+                yield from close(-1)
+                reach = LENGTH
         before = (suffix, extra)
-        if len(out) >= PIECE:
-            yield piece()
-            out.clear()
     if before is not None:
         settle(before, LENGTH)
-    yield piece()
+        yield from close(-1)
+    yield from pieces(0)
 
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -281,12 +344,21 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     sample = with_data(contexts.filter(F.abs(F.xxhash64("context_")) % step == 0))
     picked = sorted((bytes(s), bytes(c)) for s, c in sample.mapInPandas(
         lambda bs: (pd.DataFrame([i[:2] for i in _items([b])], columns=["s", "c"]) for b in bs), "s binary, c binary").collect())
-    runs = with_data(contexts).mapInPandas(_runs(range_bounds(picked, ranges)), "range_ int, run_ binary")
-    strings = runs.groupBy("range_").applyInPandas(_strings, "string_ binary, context_ binary, o_ int")
-    strings = small(strings.distinct(), "strings")  # a repeated row sends its contexts twice
+    into_runs, chosen = _runs(range_bounds(picked, ranges)), None
+    if count <= LISTED:
+        at = contexts.select("key_", "at_").toArrow()
+        keys = at["key_"].to_numpy()
+        chosen = docs.sparkSession.sparkContext.broadcast((np.unique(keys), np.sort(_numbers(keys, at["at_"].to_numpy()))))
+        find = _listed(chosen)
+        runs = long.mapInPandas(lambda batches: into_runs(find(batches)), "range_ int, run_ binary")
+    else:
+        runs = with_data(contexts).mapInPandas(into_runs, "range_ int, run_ binary")
+    # A repeated row may send its contexts twice; those that no other row has then count as repeated, and the row goes whole below.
+    strings = small(runs.groupBy("range_").applyInPandas(_strings, "string_ binary, context_ binary, os_ array<int>"), "strings")
     release(*lists_)
-    again = strings.groupBy("string_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("string_")
-    offsets = strings.join(again, "string_").groupBy("context_").agg(F.collect_set("o_").alias("os_"))
+    again = strings.filter("string_ is not null").groupBy("string_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("string_")
+    offsets = strings.filter("string_ is null").drop("string_").unionByName(strings.join(again, "string_").drop("string_"))
+    offsets = offsets.groupBy("context_").agg(F.array_distinct(F.flatten(F.collect_list("os_"))).alias("os_"))
     verdict = contexts.select("context_", "twice_").join(offsets, "context_", "left").filter("twice_ or os_ is not null")
     found = live.join(verdict, "context_").select("key_", F.explode(F.expr(
         "if(twice_, array(struct(first_ as first, last_ as last)),"

@@ -167,6 +167,35 @@ def test_a_hot_suffix_spans_ranges(spark, monkeypatch):
     assert len(pieces) > 1 and max(map(len, pieces)) <= 7 + suffixes.WINDOW
 
 
+def near_copies(n):
+    rng = random.Random(5)
+    body = "".join(rng.choice("abcdefgh ") for _ in range(2000))
+    return [(i, body[: 600 + 7 * i] + f"<{i}>" + body[600 + 7 * i :]) for i in range(n)]
+
+
+def test_suffix_strings_are_counted_in_their_range():
+    """Only strings at a range's ends leave it one by one; of the others a context's distances do."""
+    lists = []
+    for _, t in near_copies(40):
+        data = t.encode()
+        found = zip(*(x.tolist() for x in suffixes.anchors(data)))
+        lists.append((data, [{"at_": a, "first_": lo, "last_": hi, "context_": hashlib.md5(data[lo : hi + 400]).digest()} for a, lo, hi in found]))
+    frame = suffixes.pd.DataFrame(lists, columns=["data_", "places_"])
+    out = suffixes.pd.concat(suffixes._runs([])([frame]))
+    strings = suffixes.pd.concat(suffixes._strings(iter([out])))
+    assert len(strings) < sum(len(places) for _, places in lists) + 2 * suffixes.WINDOW
+
+
+@pytest.mark.parametrize("listed, held", [(4_000_000, 500_000), (4_000_000, 3), (0, 50)])
+def test_suffix_dedup_ways(spark, monkeypatch, listed, held):
+    """Places found again in their texts or joined to them, and strings that are more than a task holds."""
+    monkeypatch.setattr(suffixes, "LISTED", listed)
+    monkeypatch.setattr(suffixes, "HELD", held)
+    rows = near_copies(25)
+    got = suffixes.drop_repeated_strings(spark.createDataFrame(rows + rows[:2], "doc_id long, text string")).drop("kept").collect()
+    assert sorted(tuple(r) for r in got) == brute_removed(rows + rows[:2])
+
+
 def test_suffix_dedup_edges(spark, edge):
     got = suffixes.drop_repeated_strings(edge)
     assert got.count() == edge.count()
