@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallywing.llm.common import row_key, small
+from tallywing.llm.common import bounded, row_key, small
 
 #: Words of a window.
 WINDOW = 10
@@ -103,7 +103,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     found = small(hits(docs, item_windows(benchmark, item_col, item_text), text_col, id_col), "hits")
     rows = docs.select(F.struct(*(F.col(c) for c in names)).alias("row_"), row_key(id_col, text_col).alias("key_"), F.col(text_col).alias("text_"))
     if remove == "documents":
-        return rows.join(found.select("key_"), "key_", "left_anti").select("row_.*")
+        # Keys counted to be few go to the texts, which are shuffled only beyond that.
+        return rows.join(bounded(found.select("key_"), MAX_WINDOWS), "key_", "left_anti").select("row_.*")
     if remove != "spans":
         raise ValueError(f"remove {remove!r}: documents or spans")
     df = rows.join(found.select("key_", "spans_"), "key_", "left")

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallywing.llm.common import row_key, small
+from tallywing.llm.common import release, row_key, small
 
 WORD = r"'[^ \\t-\\r]'"
 PLACES = "array<struct<first:int,n:int>>"
@@ -60,8 +60,11 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "key_", F.struct("first", "n").alias("place_"), F.expr("key_ = kept_.key_ and first = kept_.first").alias("is_first_"),
         # Only windows with a line in common with their first occurrence stay besides it.
         F.expr("key_ != kept_.key_ or first >= kept_.first + n").alias("is_gone_"))
-    return met.filter("is_first_ or is_gone_").groupBy("key_").agg(
-        F.collect_set(F.when(F.col("is_gone_"), F.col("place_"))).alias("gone_"), F.collect_set(F.when(F.col("is_first_"), F.col("place_"))).alias("stay_"))
+    found = small(met.filter("is_first_ or is_gone_").groupBy("key_").agg(
+        F.collect_set(F.when(F.col("is_gone_"), F.col("place_"))).alias("gone_"), F.collect_set(F.when(F.col("is_first_"), F.col("place_"))).alias("stay_")), "removals")
+    # The windows, and the texts shuffled to cut them, are off the disk before texts are shuffled again.
+    release(cut)
+    return found
 
 
 def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", report_col: str | None = None) -> DataFrame:

@@ -99,6 +99,33 @@ def test_pipeline_drops_whole_repeated_runs(spark, edge):
     assert texts(lines.drop_repeated_runs(edge)) == texts(edge) and lines.drop_repeated_runs(edge).columns == edge.columns
 
 
+def test_line_windows_leave_the_disk(spark, monkeypatch):
+    """Windows with their bytes are deleted before the texts are shuffled again."""
+    staged, keep = {}, lines.small
+    monkeypatch.setattr(lines, "small", lambda df, name: staged.setdefault(name, keep(df, name)))
+    rows = [(i, f"a{i}\nshared one\nshared two") for i in range(5)]
+    out = lines.drop_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"))
+    at = spark._jvm.org.apache.hadoop.fs.Path(staged["windows"].staged_path)
+    assert not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    assert sorted(r.text for r in out.collect()) == ["a0\nshared one\nshared two", "a1", "a2", "a3", "a4"]
+
+
+def test_decontamination_leaves_texts_where_they_are(spark, monkeypatch):
+    """Few keys are broadcast whatever Spark guesses from their files."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([("a", rows[2][1])], "item_id string, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = decontaminate.decontaminate(docs, items)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(r.doc_id for r in out.collect()) == [0, 1, 3, 4, 5]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_quality_edges(edge):
     rows = {(r.doc_id, r.n_words): r for r in quality.quality_verdicts(edge).collect()}
     assert rows[2, 0].base_failed and not rows[2, 0].kept and rows[3, 0].n_symbols == 0
