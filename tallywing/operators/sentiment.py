@@ -88,7 +88,10 @@ def tagged_scores(tokens: DataFrame, key: str, lexicon: DataFrame, stop_words: D
         .agg(F.min_by(F.col("pos_score") - F.col("neg_score"), F.struct(*_first_sense(lexicon))).alias("_delta"))
     )
     entries = settle(entries)
-    marked = tokens.select(F.col(key).alias("_key"), F.col("pos").alias("_at"), F.lower("word").alias("_word"), lexicon_pos(F.col("tag")).alias("_pos"))
+    # Other parts of speech have no entry: without a key these tokens are neither counted nor shuffled to look them up.
+    part = lexicon_pos(F.col("tag"))
+    part = F.when(part.isin(*SCORED_POS), part).alias("_pos")
+    marked = tokens.select(F.col(key).alias("_key"), F.col("pos").alias("_at"), F.lower("word").alias("_word"), part)
     found = join_by_frequency(marked, entries, ["_word", "_pos"])
     if stop_words is None:
         found = found.withColumn("_stop", F.lit(None).cast("boolean"))

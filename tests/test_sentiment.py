@@ -162,3 +162,13 @@ def test_labels_move_no_text(spark, table, vocab):
 def test_tokens(table, rows):
     df = table([(1, "One, two\none")], "id int, text string")
     assert rows(S.tokenize(df, "id", "text")) == [(1, 0, "one"), (1, 1, "two"), (1, 2, "one")]
+
+
+def test_tokens_that_no_entry_can_have_are_not_looked_up(table, monkeypatch):
+    """Verbs and tags without a part of speech have no key, so they are neither counted nor shuffled."""
+    seen, join = [], S.join_by_frequency
+    monkeypatch.setattr(S, "join_by_frequency", lambda facts, *more: seen.append(facts) or join(facts, *more))
+    tokens = table([(1, 0, "good", "JJ"), (1, 1, "run", "VBD"), (1, 2, "no", "XX"), (1, 3, "fair", "NN")], "id long, pos long, word string, tag string")
+    (got,) = S.tagged_scores(tokens, "id", table(LEXICON, SCHEMA)).collect()
+    assert {r["_word"]: r["_pos"] for r in seen[0].collect()} == {"good": "a", "run": None, "no": None, "fair": "n"}
+    assert (got.score, got.score_negated) == (0.125, 0.875)
