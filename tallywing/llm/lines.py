@@ -9,9 +9,9 @@ Windows that were met more than once are compared byte by byte. Of equal windows
 the text, then least line) stays; the others are removed, but for lines that a first one holds. So every repeated
 line pair stands once in what is left: a first occurrence is never cut by a window that overlaps it.
 
-Counting reads hashes only; texts are shuffled once to cut out candidate windows and once to remove lines. A
-window that stands in a third of all rows is counted on the map side, and its rows meet one row of the other side
-in joins that Spark can split.
+Counting reads hashes only. Texts are not shuffled: the rows are written once, bucketed by the task that writes them, and
+candidate windows and removals come to them by task and row number. A window that stands in a third of all rows is counted
+on the map side, and its rows meet one row of the other side in joins that Spark can split.
 
 Defined results: null text has one empty line and stays null; single lines are never removed; of rows that repeat id and
 text (also with null ids) one is treated as above and the others lose everything from their first line with words to
@@ -25,9 +25,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallywing.llm.common import release, row_key, small
+from tallywing.session import spread, stage_by_task
 
 WORD = r"'[^ \\t-\\r]'"
 PLACES = "array<struct<first:int,n:int>>"
+#: Where a row stands in the staged table.
+PLACE = ["task_", "at_"]
 
 
 def _with_windows(df: DataFrame) -> DataFrame:
@@ -42,27 +45,29 @@ def _with_windows(df: DataFrame) -> DataFrame:
     )).drop("worded_", "hashes_")
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document key (see ``row_key``) the windows to remove and those to leave: ``key_``, ``gone_``, ``stay_``."""
-    base = docs.select(row_key(id_col, text_col).alias("key_"), F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
+def removals(rows: DataFrame) -> DataFrame:
+    """Per row (``task_``, ``at_``) the windows to remove and those to leave: ``gone_``, ``stay_``.
+
+    ``rows`` are those of a staged table, with ``key_``, ``id_`` and ``text_``. Rows of one key count as one document.
+    """
     # The plain ``explode`` would add a filter that works out all windows inside itself, once more for every line.
-    hashed = _with_windows(base).select("key_", F.explode_outer("windows_").alias("w_")).filter("w_ is not null").select("key_", "w_.*")
+    hashed = _with_windows(rows).select(*PLACE, F.explode_outer("windows_").alias("w_")).filter("w_ is not null").select(*PLACE, "w_.*")
     often = hashed.groupBy("hash").agg(F.count("*").alias("times_")).filter("times_ > 1")
-    wanted = hashed.join(often, "hash").groupBy("key_").agg(F.collect_set(F.struct("first", "n")).alias("places_"))
+    wanted = hashed.join(often, "hash").groupBy(*PLACE).agg(F.collect_set(F.struct("first", "n")).alias("places_"))
     # The bytes: cut the candidates out of their texts once and write them.
     # The outer array has one element, so a text is split once and not again for every window.
     chunk = F.expr(
         "transform(array(split(coalesce(text_, ''), '\\n', -1)), ls -> transform(places_, p ->"
         " struct(p.first as first, p.n as n, array_join(slice(ls, p.first + 1, p.n), '\\n') as chunk_)))[0]")
-    cut = small(base.join(wanted, "key_").select("key_", "id_", F.explode_outer(chunk).alias("c_")).select("key_", "id_", "c_.*"), "windows")
+    cut = rows.join(wanted.hint("shuffle_hash"), PLACE).select(*PLACE, "key_", "id_", F.explode_outer(chunk).alias("c_"))
+    cut = small(cut.select(*PLACE, "key_", "id_", "c_.*"), "windows")
     first = cut.groupBy("chunk_").agg(F.min(F.struct("id_", "key_", "first")).alias("kept_"), F.count("*").alias("times_")).filter("times_ > 1")
     met = cut.join(first, "chunk_").select(
-        "key_", F.struct("first", "n").alias("place_"), F.expr("key_ = kept_.key_ and first = kept_.first").alias("is_first_"),
+        *PLACE, F.struct("first", "n").alias("place_"), F.expr("key_ = kept_.key_ and first = kept_.first").alias("is_first_"),
         # Only windows with a line in common with their first occurrence stay besides it.
         F.expr("key_ != kept_.key_ or first >= kept_.first + n").alias("is_gone_"))
-    found = small(met.filter("is_first_ or is_gone_").groupBy("key_").agg(
+    found = small(met.filter("is_first_ or is_gone_").groupBy(*PLACE).agg(
         F.collect_set(F.when(F.col("is_gone_"), F.col("place_"))).alias("gone_"), F.collect_set(F.when(F.col("is_first_"), F.col("place_"))).alias("stay_")), "removals")
-    # The windows, and the texts shuffled to cut them, are off the disk before texts are shuffled again.
     release(cut)
     return found
 
@@ -70,12 +75,18 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", report_col: str | None = None) -> DataFrame:
     """Every row of ``docs`` with all repeated runs of two or more lines with words cut out of its text.
 
-    ``report_col`` adds a struct of ``n_lines``, ``n_removed_lines`` and ``n_removed_runs``.
+    ``report_col`` adds a struct of ``n_lines``, ``n_removed_lines`` and ``n_removed_runs``. The rows are written to the
+    shared folder once and read from there: ``release`` of the result deletes them when it is written itself.
     """
     names = docs.columns
-    gone = removals(docs, id_col, text_col)
-    rows = docs.select(F.struct(*(F.col(c) for c in names)).alias("row_"), row_key(id_col, text_col).alias("key_"), F.col(text_col).alias("text_"))
-    df = _numbered(rows).join(gone, "key_", "left").withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
+    spread_docs = spread(docs, row_key(id_col, text_col))
+    staged = stage_by_task(spread_docs.select(F.struct(*(F.col(c) for c in names)).alias("row_")), "line_texts", *PLACE)
+    id_, text_ = f"row_.`{id_col}`", f"row_.`{text_col}`"
+    rows = staged.select(*PLACE, row_key(id_, text_).alias("key_"), F.col(id_).alias("id_"), F.col(text_).alias("text_"))
+    gone = removals(rows)
+    # A bucket's removals are as few as its rows; looked up by hash, they spare sorting the texts.
+    df = staged.select("row_", *PLACE, F.col(text_).alias("text_")).join(gone.hint("shuffle_hash"), PLACE, "left")
+    df = _numbered(df, rows.select(*PLACE, "key_")).withColumn("lines_", F.expr("split(coalesce(text_, ''), '\\n', -1)"))
 
     def covered(places: str) -> str:
         return f"flatten(transform(coalesce({places}, cast(array() as {PLACES})), g -> sequence(g.first, g.first + g.n - 1)))"
@@ -91,13 +102,16 @@ def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     report = F.expr(f"struct(cast(size(lines_) as bigint) as n_lines, cast(size(removed_) as bigint) as n_removed_lines, cast({runs} as bigint) as n_removed_runs)")
     df = df.select("row_", kept.alias("kept_text_"), report.alias("report_"))
     columns = [F.col("kept_text_").alias(c) if c == text_col else F.col(f"row_.`{c}`").alias(c) for c in names if c != report_col]
-    return df.select(*columns, *([F.col("report_").alias(report_col)] if report_col else []))
+    df = df.select(*columns, *([F.col("report_").alias(report_col)] if report_col else []))
+    df.staged_path = staged.staged_path
+    return df
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Rows with ``copy_``: 1, 2, ... among rows of one key. Only keys that are there twice are shuffled."""
-    twice = small(rows.groupBy("key_").agg(F.count("*").alias("times_")).filter("times_ > 1").select("key_"), "twice")
+def _numbered(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """``df`` with ``copy_``: 1, 2, ... among rows of one key. Only ``keys`` (``task_``, ``at_``, ``key_``) are shuffled, without texts."""
+    twice = small(keys.groupBy("key_").agg(F.count("*").alias("times_")).filter("times_ > 1").select("key_"), "twice")
     if twice.isEmpty():
-        return rows.withColumn("copy_", F.lit(1))
-    copies = rows.join(twice, "key_", "left_semi").withColumn("copy_", F.row_number().over(Window.partitionBy("key_").orderBy(F.lit(1))))
-    return rows.join(twice, "key_", "left_anti").withColumn("copy_", F.lit(1)).unionByName(copies)
+        return df.withColumn("copy_", F.lit(1))
+    copy = F.row_number().over(Window.partitionBy("key_").orderBy(*PLACE))
+    copies = small(keys.join(twice, "key_").select(*PLACE, copy.alias("copy_")).filter("copy_ > 1"), "copies")
+    return df.join(copies.hint("shuffle_hash"), PLACE, "left").withColumn("copy_", F.coalesce("copy_", F.lit(1)))

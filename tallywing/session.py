@@ -101,5 +101,8 @@ def stage_by_task(df: DataFrame, name: str, task: str, row: str) -> DataFrame:
     marked = df.select("*", F.shiftright(number, 33).cast("int").alias(task), number.bitwiseAND(F.lit((1 << 33) - 1)).alias(row))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{re.sub('[^a-z0-9]', '_', name.lower())}_{uuid.uuid4().hex}"
-    marked.write.format("parquet").bucketBy(buckets, task).option("path", scratch_path(spark, name)).saveAsTable(table)
-    return spark.table(table)
+    path = scratch_path(spark, name)
+    marked.write.format("parquet").bucketBy(buckets, task).option("path", path).option("compression", "zstd").saveAsTable(table)
+    out = spark.table(table)
+    out.staged_path = path
+    return out

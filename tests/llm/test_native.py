@@ -110,6 +110,29 @@ def test_line_windows_leave_the_disk(spark, monkeypatch):
     assert sorted(r.text for r in out.collect()) == ["a0\nshared one\nshared two", "a1", "a2", "a3", "a4"]
 
 
+def test_lines_leave_texts_where_they_are(spark):
+    """Windows and removals come to the staged rows; joins that shuffle or sort texts are not in the plan, however large the tables."""
+    rows = [(i, f"own {i}\nshared one\nshared two\nown {i} end") for i in range(9)] + [(None, None), (None, "x\ny"), (None, "x\ny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lines.drop_repeated_runs(docs)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        shuffled = [x for x in plan.split("\n") if "Exchange" in x]
+        assert shuffled and all("task_" in x for x in shuffled) and not any("row_" in x or "text_" in x for x in shuffled)
+        got = texts(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    own = [(i, f"own {i}\nown {i} end") for i in range(1, 9)]
+    assert got == sorted([rows[0], *own, (None, None), (None, "x\ny"), (None, "")], key=str)
+    at = spark._jvm.org.apache.hadoop.fs.Path(out.staged_path)
+    assert at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    lines.release(out)
+    assert not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def test_decontamination_leaves_texts_where_they_are(spark, monkeypatch):
     """Few keys are broadcast whatever Spark guesses from their files."""
     rows = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(6)]
