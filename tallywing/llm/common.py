@@ -6,12 +6,14 @@ import gc
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallywing.session import scratch_path
 
 #: Bytes of a table in a broadcast's hash table, counted as its fixed columns and 40 a row, and its texts.
 BROADCAST_BYTES = 64 << 20
+#: Bytes of rows that a Python worker gets at once.
+BATCH_BYTES = 4 << 20
 
 
 def words(text: str) -> str:
@@ -68,6 +70,16 @@ def within(known: np.ndarray, values: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Send rows to Python workers in batches of ``BATCH_BYTES``, unless the session names a size of its own.
+
+    A batch of texts stands in the executor's buffers and in the worker, there as Arrow and as objects; Spark's default
+    is 64 MB a task. The session keeps the setting. It changes how many rows come at once, never rows.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def release(*tables: DataFrame) -> None:
     """Delete staged tables once all that was derived from them is written itself.
 

@@ -25,11 +25,13 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from tallywing.llm.common import short_batches
+
 CAPACITY, END, SMALLEST = 4096, 2, 64
 #: Words whose ids a Python worker remembers in a store, before it becomes the older of two.
 GENERATION = 1_000_000
 SCHEMA = ("start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
 class WordEncoder:
@@ -39,10 +41,10 @@ class WordEncoder:
     their ids can be remembered. Texts with a mark of a special token go to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = GENERATION):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -69,7 +71,7 @@ class WordEncoder:
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""
-        if len(self.recent) > GENERATION:
+        if len(self.recent) > self.remembered:
             self.older, self.recent = self.recent, {}
         raw = [(t or "").encode("utf-8", "replace") for t in texts]
         marked = [b"<|" in r for r in raw]
@@ -98,11 +100,11 @@ class WordEncoder:
         return out
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, remembered: int = GENERATION) -> WordEncoder:
     """The encoder of this Python worker; what it remembers lasts over tasks and never changes ids."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, remembered) not in _ENCODERS:
+        _ENCODERS[path, remembered] = WordEncoder(path, remembered)
+    return _ENCODERS[path, remembered]
 
 
 class Packer:
@@ -158,12 +160,16 @@ class Packer:
         return self.capacity if rest >= self.capacity else 1 << max(0, rest.bit_length() - 1)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: id, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``."""
+def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", remembered: int = GENERATION) -> DataFrame:
+    """One row per piece: id, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``.
+
+    ``remembered`` words (about 200 bytes each) are kept in each of a worker's two stores; fewer take more time and less memory.
+    """
+    short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path).texts
+        encode = encoder(tokenizer_path, remembered).texts
         packer = Packer(TaskContext.get().partitionId() << 36)
         end = np.array([END], dtype="<u4").tobytes()
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallywing.llm.common import as_array, bounded, release, row_key, small, within
+from tallywing.llm.common import as_array, bounded, release, row_key, short_batches, small, within
 from tallywing.llm.graph import components
 
 WORDS = 5
@@ -52,6 +52,8 @@ PAIRS_PER_ROW = 4
 #: Least signatures of a set that its rows carry in the last round.
 FIRSTS = 32
 COMPARED = "a long, b long, linked boolean, common long, size_a long, misses array<long>, besides array<long>"
+#: Words and, when texts are compared, elements of sets whose hashes a task remembers.
+KNOWN_WORDS, KNOWN_ELEMENTS = 200_000, 2_000_000
 #: Rows up to which a list of documents is broadcast.
 LISTED = 1_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -77,7 +79,7 @@ class Shingles:
         if len(words) < self.size:
             return np.array([xxhash.xxh64_intdigest(b"\n".join(words))], dtype=np.uint64)
         known = self.words
-        if len(known) > 500_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         for w in set(words).difference(known):
             known[w] = xxhash.xxh64_intdigest(w)
@@ -89,6 +91,24 @@ class Shingles:
         return np.unique(_mixed(total))
 
 
+class Sets:
+    """Sets of texts by name; remembers those met lately, as far as their elements are no more than ``KNOWN_ELEMENTS``."""
+
+    def __init__(self):
+        self.shingles, self.sets, self.held = Shingles(), {}, 0
+
+    def of(self, name: int, text: str) -> np.ndarray:
+        if name in self.sets:
+            return self.sets[name]
+        s = self.shingles.of(text)
+        if self.held + len(s) > KNOWN_ELEMENTS:
+            self.sets.clear()
+            self.held = 0
+        self.sets[name] = s
+        self.held += len(s)
+        return s
+
+
 def bound(m: int) -> int:
     """Most elements by which a set of ``m`` can differ from a linked one."""
     return (m + m * OF // NEED) * (OF - NEED) // (OF + NEED)
@@ -243,15 +263,7 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = left.join(texts.select(F.col("set_").alias("b"), F.col("text_").alias("text_b")), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, sets = Shingles(), {}
-
-        def of(name: int, text: str) -> np.ndarray:
-            if name not in sets:
-                if len(sets) > 4000:
-                    sets.clear()
-                sets[name] = shingles.of(text)
-            return sets[name]
-
+        of = Sets().of
         for batch in batches:
             out = []
             for a, b, text_a, text_b in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
@@ -279,6 +291,7 @@ def _linked_by_hub(pairs: DataFrame, near: DataFrame) -> DataFrame:
 def set_components(docs: DataFrame, text_col: str, id_col: str) -> tuple[DataFrame, DataFrame]:
     """The documents (``key_``, ``id_``, ``n_``, ``set_``), and ``set_``, ``label_`` for sets that link with another one."""
     spark = docs.sparkSession
+    short_batches(spark)
     signed = small(set_table(docs, id_col, text_col), "signed")
     found = candidates(signed)
     sets = small(signed.select("key_", "id_", "n_", "set_"), "sets")

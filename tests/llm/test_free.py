@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from tallywing.llm import language, lattice, packing, partenum, suffixes
+from tallywing.llm import common, language, lattice, packing, partenum, suffixes
 from tallywing.llm.graph import components
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -302,3 +302,38 @@ def test_lattice_sums_all_segmentations():
 
     for word in ("ab", "abba", "éa", "baab"):
         assert math.isclose(lattice.Lattice(weights).score(word), math.log(every("▁" + word)), rel_tol=1e-12)
+
+
+@pytest.mark.parametrize("operator", [lambda d: packing.pack(d, WORDS), lambda d: partenum.link_components(d)])
+def test_workers_get_texts_in_short_batches(spark, operator):
+    """Before, a worker got up to 64 MB of texts at once, and held them several times."""
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    long_texts = spark.range(0, 2000, 1, 1).selectExpr("id as doc_id", "repeat(cast(id as string), 3000) as text")
+    try:
+        spark.conf.unset(limit)
+        operator(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+        found = [r.n for r in long_texts.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) > 4 * common.BATCH_BYTES and max(found) < 2 * common.BATCH_BYTES
+        spark.conf.set(limit, "1m")  # the user's own setting stays
+        operator(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+        assert spark.conf.get(limit) in ("1m", "1048576", "1048576b")
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_workers_remember_no_more_than_asked(monkeypatch):
+    texts = [" ".join(f"w{i}x{j}" for j in range(50)) for i in range(60)]
+    plain, short = packing.WordEncoder(WORDS), packing.WordEncoder(WORDS, 100)
+    assert [x for t in texts for x in short.texts([t])] == plain.texts(texts)
+    assert len(short.recent) <= 150 and len(short.older) <= 150 and len(plain.recent) >= 3000
+    monkeypatch.setattr(partenum, "KNOWN_ELEMENTS", 100)
+    sets = partenum.Sets()
+    for i, t in enumerate(texts * 2):
+        assert list(sets.of(i % 60, t)) == list(partenum.Shingles().of(t))
+        assert sets.held == sum(map(len, sets.sets.values())) <= 100
